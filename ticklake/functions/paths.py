@@ -44,5 +44,4 @@ def exchange_of(path: Column) -> Column:
 
 def under_prefix(path: Column, prefix: str) -> Column:
     """Paths of exactly this asset: ``<prefix>_<ms>.json``, not those of a longer sibling name."""
-    rest = F.substring(path, len(prefix) + 1, 1 << 20)
-    return F.startswith(path, F.lit(prefix)) & rest.rlike(r"^_\d+\.json$")
+    return path.rlike(rf"^\Q{prefix}\E_\d+\.json$")
