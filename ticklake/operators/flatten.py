@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ticklake.contracts import SNAPSHOT, TICKER
-from ticklake.functions.times import epoch_ms_of, to_epoch_ms
+from ticklake.functions.times import epoch_ms_of
 
 # Venue field names on the left, contract names on the right.
 RENAMES = {
@@ -135,9 +135,3 @@ def with_mismatch(rows: DataFrame, configured_exchange: str) -> DataFrame:
     differs = F.col("exchange_id").isNotNull() & (F.col("exchange_id") != F.lit(configured_exchange))
     return rows.withColumn("exchange_mismatch", differs)
 
-
-__all__ = [
-    "as_records", "conform", "drop_all_null", "empty_tickers", "flatten", "is_snapshot",
-    "non_null_counts", "parse_json_text", "to_epoch_ms", "to_tickers", "transform",
-    "union_records", "with_mismatch",
-]

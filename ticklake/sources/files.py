@@ -55,6 +55,7 @@ def read_snapshots(
     multi_line: bool = True,
     on_missing: str = "empty",
     on_corrupt: str = "fail",
+    glob: str = "*.json",
 ) -> DataFrame:
     """All snapshot files below ``path`` as ``(metadata, data, file_path)``; sidecars are left out.
 
@@ -62,7 +63,7 @@ def read_snapshots(
     ``fail``, or ``quarantine`` to keep the text of unreadable records in ``_corrupt_record``.
     ``multi_line`` reads one object per file, each in one task; JSON lines are split instead.
     """
-    found = _json(spark, path, SNAPSHOT, "*.json", multi_line, on_missing, on_corrupt)
+    found = _json(spark, path, SNAPSHOT, glob, multi_line, on_missing, on_corrupt)
     return found.filter(~paths.is_sidecar(F.col("file_path")))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +24,7 @@ _STORED = T.StructType(
         T.StructField("run_timestamp", LONG),
     ]
 )
+_PLANNED = T.StructType([*MANIFEST.struct.fields, T.StructField("load_id", STRING)])
 _LOGGED = T.StructType([*MANIFEST.struct.fields, T.StructField("recorded_at", LONG)])
 
 # The same snapshot may be landed by several runs.
@@ -39,6 +42,7 @@ class SnapshotLake:
         self.spark = spark
         self.snapshot_root = f"{root.rstrip('/')}/snapshots"
         self.manifest_root = f"{root.rstrip('/')}/manifest"
+        self.loads_root = f"{root.rstrip('/')}/loads"
 
     def land(self, snapshots: DataFrame, dataset: str, run_id: str, run_timestamp: int) -> None:
         """Write snapshots, then record them as not loaded."""
@@ -74,13 +78,18 @@ class SnapshotLake:
             recorded_at=run_timestamp,
         )
 
-    def _stored(self) -> DataFrame:
+    def _scan(self, reader: Callable[[], DataFrame], schema: T.StructType) -> DataFrame:
+        """A part of the lake; what was never written reads as empty."""
         try:
-            stored = self.spark.read.schema(_STORED).json(self.snapshot_root)
+            return reader()
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            stored = self.spark.createDataFrame([], _STORED)
+            return self.spark.createDataFrame([], schema)
+
+    def _stored(self) -> DataFrame:
+        read = self.spark.read.schema(_STORED)
+        stored = self._scan(lambda: read.json(self.snapshot_root), _STORED)
         return stored.withColumn("extraction_timestamp", to_epoch_ms(F.col("metadata.timestamp")))
 
     def _record(self, entries: DataFrame, recorded_at: int) -> None:
@@ -90,26 +99,34 @@ class SnapshotLake:
 
     def manifest(self) -> DataFrame:
         """Current state: one row per snapshot, from its last record."""
-        try:
-            log = self.spark.read.schema(_LOGGED).parquet(self.manifest_root)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            log = self.spark.createDataFrame([], _LOGGED)
+        read = self.spark.read.schema(_LOGGED)
+        log = self._scan(lambda: read.parquet(self.manifest_root), _LOGGED)
         return latest_by(log, list(MANIFEST.key), ["run_timestamp", "recorded_at", "loaded"]).select(
             *MANIFEST.columns
         )
 
     def snapshots(self, chosen: DataFrame | None = None) -> DataFrame:
-        """``(metadata, data)`` of the chosen manifest rows (all by default), in their last version."""
-        chosen = self.manifest() if chosen is None else chosen
-        same = [F.col(f"s.{c}").eqNullSafe(F.col(f"c.{c}")) for c in VERSION_KEY]
-        return (
-            self._stored()
-            .alias("s")
-            .join(chosen.select(*VERSION_KEY).alias("c"), same, "left_semi")
-            .select("metadata", "data")
+        """``(metadata, data)`` of the chosen manifest rows (all by default), in their last version.
+
+        The landing runs of the chosen rows bound the directories that are listed and read.
+        """
+        stored = self._stored()
+        if chosen is None:
+            chosen = self.manifest()
+        else:
+            run = F.col("run_timestamp")
+            stored = stored.filter(
+                (run >= chosen.agg(F.min("run_timestamp")).scalar())
+                & (run <= chosen.agg(F.max("run_timestamp")).scalar())
+            )
+        # A snapshot may lack its venue or instant, so those two compare NULLs as equal.
+        same = (F.col("s.dataset") == F.col("c.dataset")) & (
+            F.col("s.run_timestamp") == F.col("c.run_timestamp")
         )
+        for c in ("exchange_id", "extraction_timestamp"):
+            same = same & F.col(f"s.{c}").eqNullSafe(F.col(f"c.{c}"))
+        versions = chosen.select(*VERSION_KEY)
+        return stored.alias("s").join(versions.alias("c"), same, "left_semi").select("metadata", "data")
 
     def snapshot(self, dataset: str, exchange_id: str, extraction_timestamp: int) -> DataFrame:
         """One given snapshot; that it is not there is an error."""
@@ -123,11 +140,33 @@ class SnapshotLake:
             raise FileNotFoundError(f"No snapshot {dataset}/{exchange_id}/{extraction_timestamp}")
         return self.snapshots(chosen)
 
-    def mark_loaded(self, target: DataFrame, recorded_at: int) -> None:
-        """Record every snapshot whose rows are in ``target``. Run it after the rows are committed;
-        a repeated run records the same facts again."""
+    def pending_in(self, target: DataFrame) -> DataFrame:
+        """Snapshots still flagged as not loaded although ``target`` has their rows."""
         key = ["exchange_id", "extraction_timestamp"]
-        done = target.select(*key).distinct()
         pending = self.manifest().filter(~F.col("loaded"))
-        marked = pending.join(done, key, "left_semi").withColumn("loaded", F.lit(True))
-        self._record(marked.select(*MANIFEST.columns), recorded_at)
+        return pending.join(target.select(*key).distinct(), key, "left_semi").select(*MANIFEST.columns)
+
+    def mark_loaded(self, entries: DataFrame, recorded_at: int) -> None:
+        """Record manifest rows as loaded, after their rows are committed. Repeating it is harmless."""
+        self._record(
+            entries.withColumn("loaded", F.lit(True)).select(*MANIFEST.columns), recorded_at
+        )
+
+    def planned(self, load_id: str) -> DataFrame:
+        """The manifest rows a load set out to load."""
+        read = self.spark.read.schema(_PLANNED)
+        plans = self._scan(lambda: read.parquet(self.loads_root), _PLANNED)
+        return plans.filter(F.col("load_id") == load_id).select(*MANIFEST.columns)
+
+    def plan(self, load_id: str, chosen: DataFrame) -> DataFrame:
+        """Fix what a load takes, before anything is written. A repeated load keeps its first plan,
+        so it rewrites exactly what it wrote before."""
+        if self.planned(load_id).isEmpty():
+            (
+                chosen.select(*MANIFEST.columns, F.lit(load_id).alias("load_id"))
+                .write.partitionBy("load_id")
+                .mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .parquet(self.loads_root)
+            )
+        return self.planned(load_id)
