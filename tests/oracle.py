@@ -51,7 +51,6 @@ def compare(df: DataFrame, connection: duckdb.DuckDBPyConnection, sql: str) -> i
 
 
 def _kin(kind: str) -> str:
-    return {
-        "bigint": "int64", "int": "int32", "varchar": "string", "bool": "boolean",
-        "number": "number",
-    }.get(kind.lower(), kind.lower())
+    """One name per type, whichever engine reports it."""
+    same = {"integer": "int", "varchar": "string", "bool": "boolean"}
+    return same.get(kind.lower(), kind.lower())

@@ -55,14 +55,14 @@ def quality_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passed.unionByName(kept_out)
 
 
-_BARS = """
+BARS = """
     SELECT {bucket} AS "timestamp", arg_min(last, tick_id) AS open, max(last) AS high,
            min(last) AS low, arg_max(last, tick_id) AS close, sum(base_volume) AS volume,
            exchange_id AS exchange, symbol
     FROM {source} GROUP BY 1, exchange_id, symbol"""
 
 
-@query(f"WITH {TICKS} " + _BARS.format(bucket="ticker_timestamp_ms // 21600000 * 21600000", source="ticks"))
+@query(f"WITH {TICKS} " + BARS.format(bucket="ticker_timestamp_ms // 21600000 * 21600000", source="ticks"))
 def tick_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Six-hour candles."""
     return bars(bind.ticks(spark, sf_dir), 6 * HOUR_MS)
@@ -70,7 +70,7 @@ def tick_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     f"WITH {TRADES} "
-    + _BARS.format(bucket="ticker_timestamp_ms // 2592000000 * 2592000000", source="trades")
+    + BARS.format(bucket="ticker_timestamp_ms // 2592000000 * 2592000000", source="trades")
 )
 def trade_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Thirty-day candles of the larger trade table."""
@@ -80,7 +80,7 @@ def trade_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     f"""WITH {TICKS},
     shifted AS (SELECT tick_id, exchange_id, symbol, ticker_timestamp_ms, last - 5 AS last, base_volume FROM ticks),
-    bars AS ({_BARS.format(bucket="ticker_timestamp_ms // 21600000 * 21600000", source="shifted")})
+    bars AS ({BARS.format(bucket="ticker_timestamp_ms // 21600000 * 21600000", source="shifted")})
     SELECT 'timestamp_present' AS rule, count(*) AS checked, 0::BIGINT AS violations FROM bars
     """
     + " ".join(

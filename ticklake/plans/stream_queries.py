@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+from ticklake.contracts import OHLCV
 from ticklake.operators import envelope, flatten
 from ticklake.operators.writers import TickerTable
-from ticklake.plans.domain_sql import LATEST, MANIFEST, TICKER_COLUMNS, TICKS
-from ticklake.plans.quality_queries import _BARS
+from ticklake.plans.domain_sql import LATEST, MANIFEST, TICKER_COLUMNS
+from ticklake.plans.quality_queries import BARS
 from ticklake.plans.registry import query
 from ticklake.plans.snapshot_queries import LATEST_TICKERS
 from ticklake.session import scratch_dir
@@ -67,3 +67,24 @@ def stream_late_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
         _land(ticks.filter(part), f"{root}/landing")
         _dedup_run(spark, root, table)
     return table.read().drop("date")
+
+
+@query(
+    f"""WITH {LATEST},
+    timed AS (SELECT * REPLACE (ticker_timestamp_ms AS tick_id) FROM latest),
+    bars AS ({BARS.format(bucket="ticker_timestamp_ms // 21600000 * 21600000", source="timed")})
+    SELECT * FROM bars
+    WHERE "timestamp" + 21600000 <= (SELECT max(ticker_timestamp_ms) FROM latest) - 21600000"""
+)
+def stream_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Six-hour candles of landed tickers, each written once its window can no longer change."""
+    root = scratch_dir(spark, "bars")
+    _land(bind.ticks(spark, sf_dir), f"{root}/landing")
+    rows = flatten.transform(ingest.stream_snapshots(spark, f"{root}/landing"))
+    candles = ingest.stream_bars(rows, "6 hours")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{root}/bars/batch_id={batch_id}")
+
+    ingest.start(candles, write, f"{root}/checkpoint").awaitTermination()
+    return spark.read.schema(OHLCV.struct).parquet(f"{root}/bars").select(*OHLCV.columns)

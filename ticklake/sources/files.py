@@ -18,7 +18,7 @@ def _missing(error: AnalysisException) -> bool:
     return error.getCondition() == "PATH_NOT_FOUND"
 
 
-def _json(
+def _scan(
     spark: SparkSession,
     path: str | list[str],
     schema: T.StructType,
@@ -27,25 +27,28 @@ def _json(
     on_missing: str,
     on_corrupt: str,
 ) -> DataFrame:
-    if on_corrupt == "quarantine":
-        schema = T.StructType([*schema.fields, T.StructField(CORRUPT, STRING)])
     reader = (
-        spark.read.schema(schema)
-        .option("multiLine", multi_line)
-        .option("recursiveFileLookup", True)
+        spark.read.option("recursiveFileLookup", True)
         .option("pathGlobFilter", glob)
-        .option("mode", "PERMISSIVE" if on_corrupt == "quarantine" else "FAILFAST")
-        .option("columnNameOfCorruptRecord", CORRUPT)
         .option("ignoreMissingFiles", on_missing == "empty")
     )
+    source = F.col("_metadata.file_path").alias("file_path")
     try:
-        scanned = reader.json(path)
+        if on_corrupt == "quarantine":
+            # Parsed from text, since a JSON scan refuses to filter on the corrupt text alone.
+            text = reader.option("wholetext", multi_line).text(path).select("value", source)
+            with_text = T.StructType([*schema.fields, T.StructField(CORRUPT, STRING)])
+            options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+            parsed = F.from_json("value", with_text, options).alias("parsed")
+            return text.select(parsed, "file_path").select("parsed.*", "file_path")
+        strict = reader.schema(schema).option("multiLine", multi_line).option("mode", "FAILFAST")
+        return strict.json(path).select("*", source)
     except AnalysisException as error:
         if on_missing == "empty" and _missing(error):
-            empty = T.StructType([*schema.fields, T.StructField("file_path", STRING)])
+            extra = [CORRUPT, "file_path"] if on_corrupt == "quarantine" else ["file_path"]
+            empty = T.StructType([*schema.fields, *[T.StructField(c, STRING) for c in extra]])
             return spark.createDataFrame([], empty)
         raise
-    return scanned.select("*", F.col("_metadata.file_path").alias("file_path"))
 
 
 def read_snapshots(
@@ -63,7 +66,7 @@ def read_snapshots(
     ``fail``, or ``quarantine`` to keep the text of unreadable records in ``_corrupt_record``.
     ``multi_line`` reads one object per file, each in one task; JSON lines are split instead.
     """
-    found = _json(spark, path, SNAPSHOT, glob, multi_line, on_missing, on_corrupt)
+    found = _scan(spark, path, SNAPSHOT, glob, multi_line, on_missing, on_corrupt)
     return found.filter(~paths.is_sidecar(F.col("file_path")))
 
 
@@ -76,7 +79,7 @@ def split_corrupt(scanned: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def read_sidecars(spark: SparkSession, path: str, *, multi_line: bool = True) -> DataFrame:
     """Run metadata files below ``path``; an unreadable one keeps NULL fields, so it counts as unloaded."""
-    scanned = _json(
+    scanned = _scan(
         spark, path, SIDECAR, f"*{paths.SIDECAR_SUFFIX}", multi_line, "empty", "quarantine"
     )
     return scanned.withColumn("extraction_timestamp", truncated_ms(F.col("timestamp")))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -49,6 +51,18 @@ def dedup_stream(
     return first.drop("_salt").dropDuplicatesWithinWatermark(list(keys))
 
 
+def start(
+    rows: DataFrame,
+    write: Callable[[DataFrame, int], None],
+    checkpoint: str,
+    every: str | None = None,
+) -> StreamingQuery:
+    """Hand each micro-batch to ``write``. Without ``every`` the query takes what is there and stops."""
+    writer = rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
+    return writer.start()
+
+
 def start_ingest(
     rows: DataFrame,
     table: TickerTable,
@@ -56,18 +70,9 @@ def start_ingest(
     name: str = "ingest",
     every: str | None = None,
 ) -> StreamingQuery:
-    """Append each micro-batch to the table under its own load id.
-
-    A batch replayed after a failure carries the same id and replaces itself. Without ``every``
-    the query takes what is there and stops.
-    """
-
-    def append(batch: DataFrame, batch_id: int) -> None:
-        table.append(batch, f"{name}-{batch_id:08d}")
-
-    writer = rows.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint)
-    writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
-    return writer.start()
+    """Append each micro-batch to the table under its own load id, so that a batch replayed after a
+    failure replaces itself."""
+    return start(rows, lambda batch, n: table.append(batch, f"{name}-{n:08d}"), checkpoint, every)
 
 
 def ingest(
