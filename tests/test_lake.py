@@ -1,0 +1,137 @@
+"""Landing, the manifest, and the two jobs."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from ticklake.operators.flatten import transform
+from ticklake.operators.writers import TickerTable
+from ticklake.plans.pipeline import extract, load_backlog, load_one
+from ticklake.session import scratch_dir
+from ticklake.sources.lake import SnapshotLake
+
+from .conftest import rows
+from .test_snapshots import lines, snapshot, ticks
+
+STATE = ("snapshot_path", "exchange_id", "extraction_timestamp", "run_id", "run_timestamp", "loaded")
+
+
+def tick(n, t, symbol="A", exchange="e", last=1.0):
+    return {"tick_id": n, "exchange_id": exchange, "symbol": symbol, "extraction_timestamp": t, "last": last}
+
+
+@pytest.fixture
+def lake(spark):
+    return SnapshotLake(spark, scratch_dir(spark, "lake"))
+
+
+@pytest.fixture
+def table(spark):
+    return TickerTable(spark, scratch_dir(spark, "table"))
+
+
+def test_an_empty_lake_reads_as_empty(lake, table):
+    assert lake.manifest().count() == 0
+    assert lake.snapshots().count() == 0
+    assert table.read().count() == 0
+    assert load_backlog(lake, table, "l1", 1).count() == 0
+
+
+def test_only_snapshots_can_be_landed(spark, lake):
+    with pytest.raises(TypeError, match="Snapshots expected"):
+        lake.land(spark.range(1), "raw_tickers", "r", 1)
+
+
+def test_landing_records_what_it_wrote(spark, lake):
+    extract(ticks(spark, tick(1, 100), tick(2, 100, "B"), tick(3, 200)), lake, "raw_tickers", "r1", 5)
+    assert rows(lake.manifest(), *STATE) == [
+        ("e/raw/tickers_100.json", "e", 100, "r1", 5, False),
+        ("e/raw/tickers_200.json", "e", 200, "r1", 5, False),
+    ]
+    assert rows(transform(lake.snapshots()), "symbol", "extraction_timestamp") == [("A", 100), ("A", 200), ("B", 100)]
+
+
+def test_landing_the_same_run_again_replaces(spark, lake):
+    for last in (1.0, 2.0):
+        extract(ticks(spark, tick(1, 100, last=last)), lake, "raw_tickers", "r1", 5)
+    assert rows(transform(lake.snapshots()), "last") == [(2.0,)]
+
+
+def test_a_later_run_supersedes_a_snapshot_and_unloads_it(spark, lake, table):
+    extract(ticks(spark, tick(1, 100, last=1.0), tick(2, 200, last=1.0)), lake, "raw_tickers", "r1", 5)
+    load_backlog(lake, table, "l1", 6)
+    extract(ticks(spark, tick(1, 100, last=9.0)), lake, "raw_tickers", "r2", 7)
+    assert rows(transform(lake.snapshots()), "extraction_timestamp", "last") == [(100, 9.0), (200, 1.0)]
+    assert rows(lake.manifest(), "extraction_timestamp", "loaded") == [(100, False), (200, True)]
+
+
+def test_single_snapshot(spark, lake):
+    extract(ticks(spark, tick(1, 100), tick(2, 200, "B")), lake, "raw_tickers", "r1", 5)
+    assert rows(load_one(spark, lake, "raw_tickers", "e", 200), "symbol") == [("B",)]
+    with pytest.raises(FileNotFoundError):
+        load_one(spark, lake, "raw_tickers", "e", 300)
+
+
+@pytest.mark.parametrize("by_flag", [False, True])
+def test_incremental_loads_load_once(spark, lake, table, by_flag):
+    extract(ticks(spark, tick(1, 100), tick(2, 100, "B")), lake, "raw_tickers", "r1", 5)
+    assert load_backlog(lake, table, "l1", 6, by_flag=by_flag).count() == 1
+    assert load_backlog(lake, table, "l2", 7, by_flag=by_flag).count() == 0
+    extract(ticks(spark, tick(3, 300)), lake, "raw_tickers", "r2", 8)
+    assert load_backlog(lake, table, "l3", 9, by_flag=by_flag).count() == 1
+    assert rows(table.read(), "symbol", "extraction_timestamp") == [("A", 100), ("A", 300), ("B", 100)]
+    assert rows(lake.manifest().filter("loaded"), "extraction_timestamp") == [(100,), (300,)]
+
+
+def test_a_failed_load_repeated_under_its_id_takes_its_first_plan(spark, lake, table, monkeypatch):
+    extract(ticks(spark, tick(1, 100), tick(2, 200)), lake, "raw_tickers", "r1", 5)
+    with monkeypatch.context() as broken:
+        broken.setattr(lake, "mark_loaded", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            load_backlog(lake, table, "l1", 6)
+    extract(ticks(spark, tick(3, 300)), lake, "raw_tickers", "r2", 7)
+    load_backlog(lake, table, "l1", 8)
+    assert rows(table.read(), "extraction_timestamp") == [(100,), (200,)]
+    assert rows(lake.manifest(), "extraction_timestamp", "loaded") == [(100, True), (200, True), (300, False)]
+    load_backlog(lake, table, "l2", 9)
+    assert rows(table.read(), "extraction_timestamp") == [(100,), (200,), (300,)]
+
+
+def test_flags_can_be_recovered_from_the_table(spark, lake, table):
+    extract(ticks(spark, tick(1, 100), tick(2, 200)), lake, "raw_tickers", "r1", 5)
+    table.append(transform(lake.snapshots()).filter("extraction_timestamp = 100"), "l1")
+    lake.mark_loaded(lake.pending_in(table.read()), 6)
+    assert rows(lake.manifest(), "extraction_timestamp", "loaded") == [(100, True), (200, False)]
+
+
+def test_snapshots_without_provenance_are_kept_and_loaded_by_flag(spark, lake, table):
+    bare = {"metadata": {"exchange": "e"}, "data": {"A": {"last": 1.0}}}
+    lake.land(lines(spark, bare, snapshot({"symbol": "B", "last": 2.0}, timestamp=7)), "raw_tickers", "r1", 5)
+    load_backlog(lake, table, "l1", 6, by_flag=True)
+    assert rows(table.read(), "symbol", "exchange_id", "extraction_timestamp") == [("A", None, None), ("B", "binance", 7)]
+    assert lake.manifest().filter("NOT loaded").count() == 0
+
+
+def test_the_ticker_table_prunes_venue_and_date(spark, table):
+    day = 86_400_000
+    given = [tick(i, d * day, exchange=e) for i, (e, d) in enumerate([("x", 0), ("x", 1), ("y", 1)])]
+    table.append(ticks(spark, *given), "l1")
+    found = table.read().filter("exchange_id = 'x' AND date = DATE'1970-01-02'")
+    assert rows(found, "exchange_id", "extraction_timestamp") == [("x", day)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(exchange_id" in plan
+    assert len(found.inputFiles()) >= 1
+    assert found.select(F.input_file_name()).distinct().count() == 1
+
+
+def test_a_cluster_must_name_its_shared_folder(spark, monkeypatch):
+    class Cluster:
+        class sparkContext:
+            master = "yarn"
+
+        class conf:
+            @staticmethod
+            def get(key, default):
+                return default
+
+    with pytest.raises(RuntimeError, match=r"spark\.checkpoint\.dir"):
+        scratch_dir(Cluster, "x")

@@ -36,7 +36,7 @@ def _scan(
     try:
         if on_corrupt == "quarantine":
             # Parsed from text, since a JSON scan refuses to filter on the corrupt text alone.
-            text = reader.option("wholetext", multi_line).text(path).select("value", source)
+            text = reader.text(path, wholetext=multi_line).select("value", source)
             with_text = T.StructType([*schema.fields, T.StructField(CORRUPT, STRING)])
             options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
             parsed = F.from_json("value", with_text, options).alias("parsed")
