@@ -44,4 +44,4 @@ def exchange_of(path: Column) -> Column:
 
 def under_prefix(path: Column, prefix: str) -> Column:
     """Paths of exactly this asset: ``<prefix>_<ms>.json``, not those of a longer sibling name."""
-    return path.rlike(rf"^\Q{prefix}\E_\d+\.json$")
+    return path.rlike(rf"^\Q{prefix}\E_\d+\.json\z")

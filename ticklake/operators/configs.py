@@ -9,7 +9,8 @@ from pyspark.sql import types as T
 from ticklake.contracts import PIPELINE_CONFIG
 from ticklake.operators.flatten import conform
 
-NAME_PATTERN = "^[a-z][a-z0-9_]*$"
+# Fixed value. ``\\z`` rather than ``$``, which in Java also matches before a final line break.
+NAME_PATTERN = r"^[a-z][a-z0-9_]*\z"
 
 # Defaults of columns a configuration row leaves out.
 DEFAULTS = {
