@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ticklake.functions.times import HOUR_MS
@@ -22,16 +22,30 @@ def unstamped(manifest: DataFrame) -> DataFrame:
 
 
 def loaded_timestamps(target: DataFrame, exchange_id: str | None = None) -> DataFrame:
-    """Distinct (venue, instant) pairs of a table, of one venue or of all at once."""
-    rows = stamped(target)
+    """Distinct (venue, instant) pairs of a table, of one venue or of all at once.
+
+    NULL keys match nothing, so they are left out here; that also makes all uses of the pairs in
+    one plan alike, and Spark then computes them once.
+    """
+    rows = stamped(target).filter(F.col("exchange_id").isNotNull())
     if exchange_id is not None:
         rows = rows.filter(F.col("exchange_id") == exchange_id)
     return rows.select(*KEY).distinct()
 
 
+def per_venue(pairs: DataFrame, value: Column) -> DataFrame:
+    """One aggregate per venue, as a shuffled result of its own.
+
+    Snapshots are joined to it by venue, and one venue may hold most of them. With its own shuffle
+    the size of this side is known before the join runs: Spark broadcasts it when it is small, so
+    the other side stays where it is, and otherwise splits the hot venue.
+    """
+    return pairs.groupBy("exchange_id").agg(value).hint("rebalance")
+
+
 def recent_loaded(loaded: DataFrame, lookback_ms: int = LOOKBACK_MS) -> DataFrame:
     """Loaded instants strictly newer than the venue's newest one minus the lookback."""
-    newest = loaded.groupBy("exchange_id").agg(F.max("extraction_timestamp").alias("newest"))
+    newest = per_venue(loaded, F.max("extraction_timestamp").alias("newest"))
     return (
         loaded.join(newest, "exchange_id")
         .filter(F.col("extraction_timestamp") > F.col("newest") - lookback_ms)
@@ -50,11 +64,7 @@ def backlog_lookback(manifest: DataFrame, loaded: DataFrame, lookback_ms: int =
     A venue with nothing loaded has no window and contributes everything. The anti join may use
     the whole loaded set: whatever passes the floor and is loaded lies inside the window.
     """
-    floor = (
-        recent_loaded(loaded, lookback_ms)
-        .groupBy("exchange_id")
-        .agg(F.min("extraction_timestamp").alias("floor"))
-    )
+    floor = per_venue(recent_loaded(loaded, lookback_ms), F.min("extraction_timestamp").alias("floor"))
     fresh = F.col("floor").isNull() | (F.col("extraction_timestamp") > F.col("floor"))
     return (
         stamped(manifest)
