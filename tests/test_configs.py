@@ -3,8 +3,15 @@ from pyspark.sql import functions as F
 
 from ticklake.contracts import PIPELINE_CONFIG
 from ticklake.operators import configs
+from ticklake.operators.flatten import transform
+from ticklake.plans.bootstrap import bootstrap, seed_configs
+from ticklake.plans.pipeline import extract_configured
+from ticklake.session import scratch_dir
+from ticklake.sources.lake import SnapshotLake
+from ticklake.sources.tables import read_table
 
 from .conftest import rows
+from .test_snapshots import ticks
 
 
 def test_seed_rows(spark):
@@ -86,3 +93,27 @@ def test_symbol_selection(spark):
     assert rows(got) == [("all", "A"), ("all", "B"), ("gate", "A"), ("none", "A"), ("none", "B"), ("some", "B")]
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan
+
+
+def test_bootstrap_and_seed_a_table(spark):
+    root = scratch_dir(spark, "bootstrap")
+    spark.sql("DROP DATABASE IF EXISTS config CASCADE")
+    for expected in ((5, 0), (0, 5)):
+        bootstrap(spark, root, (PIPELINE_CONFIG,))
+        assert seed_configs(configs.default_configs(spark)) == expected
+    table = read_table(spark, PIPELINE_CONFIG.full_name)
+    assert rows(configs.config_counts(table)) == [(5, 2)]
+    assert table.filter("exchange_id = 'bybit'").first()["tags"]["type"] == "derivatives"
+
+
+def test_only_configured_ticks_are_landed(spark):
+    lake = SnapshotLake(spark, scratch_dir(spark, "lake"))
+    given = [
+        {"tick_id": i, "exchange_id": v, "symbol": s, "extraction_timestamp": 9, "last": 1.0}
+        for i, (v, s) in enumerate([("on", "A"), ("on", "B"), ("off", "A")])
+    ]
+    rules = [("on", True, False, ["B"]), ("off", False, True, None)]
+    schema = "exchange_id string, enabled boolean, fetch_all_tickers boolean, symbols array<string>"
+    wanted = configs.with_defaults(spark.createDataFrame(rules, schema))
+    extract_configured(ticks(spark, *given), wanted, lake, "raw_tickers", "r1", 5)
+    assert rows(transform(lake.snapshots()), "exchange_id", "symbol") == [("on", "B")]

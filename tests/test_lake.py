@@ -123,6 +123,18 @@ def test_the_ticker_table_prunes_venue_and_date(spark, table):
     assert found.select(F.input_file_name()).distinct().count() == 1
 
 
+def test_chosen_snapshots_read_only_the_folders_of_their_runs(spark, lake):
+    day = 86_400_000
+    for n in range(3):
+        extract(ticks(spark, tick(n, n)), lake, "raw_tickers", f"r{n}", n * day)
+    chosen = lake.plan("l1", lake.manifest().filter("extraction_timestamp = 1"))
+    found = lake.snapshots(chosen)
+    assert rows(transform(found), "extraction_timestamp") == [(1,)]
+    assert all("run_date=1970-01-02" in f or "load_id=l1" in f for f in found.inputFiles())
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
 def test_a_cluster_must_name_its_shared_folder(spark, monkeypatch):
     class Cluster:
         class sparkContext:

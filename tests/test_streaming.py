@@ -76,3 +76,28 @@ def test_hot_key_is_deduplicated(spark, tmp_path):
         land(folder, f"f{i}", *[at(1, "HOT") for _ in range(50)], at(1, f"S{i}"))
     poll(spark, folder, root, table, dedup=True)
     assert [r[0] for r in rows(table.read(), "symbol")] == ["HOT", *[f"S{i}" for i in range(6)]]
+
+
+def test_a_running_query_keeps_polling(spark, tmp_path):
+    folder, root, table = setup(spark, tmp_path)
+    land(folder, "a", at(1, "A"))
+    query = ingest.ingest(spark, str(folder), table, f"{root}/checkpoint", every="1 second")
+    try:
+        query.processAllAvailable()
+        land(folder, "b", at(2, "B"))
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert rows(table.read(), "symbol") == [("A",), ("B",)]
+
+
+def test_candles_wait_for_the_watermark(spark, tmp_path):
+    folder, root, _ = setup(spark, tmp_path)
+    late = [full("A", p) | {"timestamp": t} for p, t in ((1.0, 0), (3.0, 10), (2.0, 20))]
+    newest = full("A", 9.0) | {"timestamp": 20 * HOUR}
+    land(folder, "a", *[snapshot(t, timestamp=i) for i, t in enumerate([*late, newest])])
+    stream = ingest.stream_bars(transform(ingest.stream_snapshots(spark, str(folder))), "1 hour")
+    out = f"{root}/bars"
+    query = ingest.start(stream, lambda b, n: b.write.mode("overwrite").parquet(f"{out}/batch={n}"), f"{root}/checkpoint")
+    query.awaitTermination()
+    assert rows(spark.read.parquet(out).drop("batch")) == [(0, 1.0, 3.0, 1.0, 2.0, 33.0, "binance", "A")]

@@ -96,5 +96,9 @@ def backlog(manifest: DataFrame, target: DataFrame | None = None, style: str = "
 
 
 def load_rows(records: DataFrame, chosen: DataFrame) -> DataFrame:
-    """Rows of the chosen snapshots, all of them: copies across snapshots are not merged."""
+    """Rows of the chosen snapshots, all of them: copies across snapshots are not merged.
+
+    Hand in ``chosen`` as a stored table. Its size is then known when the join is planned, so a
+    small backlog is broadcast and the records are not shuffled.
+    """
     return records.join(chosen.select(*KEY), KEY, "left_semi")

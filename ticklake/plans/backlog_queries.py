@@ -10,7 +10,7 @@ from ticklake.operators.writers import TickerTable
 from ticklake.plans.domain_sql import LATEST, LOOKBACK, MANIFEST, TICKER_COLUMNS
 from ticklake.plans.pipeline import extract, load_backlog
 from ticklake.plans.registry import query
-from ticklake.session import scratch_dir
+from ticklake.session import scratch_dir, stored
 from ticklake.sources import bind
 from ticklake.sources.lake import SnapshotLake
 
@@ -82,7 +82,7 @@ def backlog_auto(spark: SparkSession, sf_dir: str) -> DataFrame:
 def empty_backlog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Everything is loaded: no rows, all columns."""
     ticks = bind.ticks(spark, sf_dir)
-    missing = backlog.backlog(bind.manifest(ticks), ticks, style="files")
+    missing = stored(backlog.backlog(bind.manifest(ticks), ticks, style="files"), "backlog")
     return flatten.transform(backlog.load_rows(bind.records(ticks), missing))
 
 
@@ -93,7 +93,7 @@ def empty_backlog(spark: SparkSession, sf_dir: str) -> DataFrame:
 def backlog_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ticker rows of the missing snapshots, chosen by lookback."""
     ticks = bind.ticks(spark, sf_dir)
-    missing = backlog.backlog(bind.manifest(ticks), _target(ticks))
+    missing = stored(backlog.backlog(bind.manifest(ticks), _target(ticks)), "backlog")
     chosen = backlog.load_rows(ticks, missing)
     return flatten.transform(bind.records(envelope.latest_ticks(chosen)))
 

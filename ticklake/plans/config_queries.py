@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ticklake.contracts import PIPELINE_CONFIG
 from ticklake.operators import configs
+from ticklake.operators.writers import create_namespace, create_table
+from ticklake.plans.bootstrap import seed_configs
 from ticklake.plans.domain_sql import CONFIGS, TICKS
 from ticklake.plans.registry import query
+from ticklake.session import scratch_dir
 from ticklake.sources import bind
+from ticklake.sources.tables import read_table
 
 
 @query(
@@ -37,6 +44,28 @@ def config_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    f"""WITH {CONFIGS}
+    SELECT exchange_id, enabled, schedule_enabled, priority, region, tier FROM configs"""
+)
+def config_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The configuration table: created, seeded with some venues, then with all, then once more."""
+    name = f"config.pipeline_configs_{uuid.uuid4().hex[:12]}"
+    create_namespace(spark, "config", scratch_dir(spark, "config"))
+    create_table(spark, name, PIPELINE_CONFIG.struct, scratch_dir(spark, "pipeline_configs"))
+    seed = bind.configs(spark, sf_dir)
+    for batch in (configs.enabled(seed), seed, seed):
+        seed_configs(batch, name)
+    return read_table(spark, name, PIPELINE_CONFIG).select(
+        "exchange_id",
+        "enabled",
+        "schedule_enabled",
+        "priority",
+        F.try_element_at("tags", F.lit("region")).alias("region"),
+        F.try_element_at("tags", F.lit("tier")).alias("tier"),
+    )
+
+
 @query(
     f"""WITH {CONFIGS}
     SELECT count(*) FILTER (NOT enabled) AS inserted, count(*) FILTER (enabled) AS skipped FROM configs"""

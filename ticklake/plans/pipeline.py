@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ticklake.operators.backlog import backlog
+from ticklake.operators.configs import configured_ticks
 from ticklake.operators.envelope import envelopes
 from ticklake.operators.flatten import transform
 from ticklake.operators.writers import TickerTable
@@ -16,6 +17,13 @@ def extract(ticks: DataFrame, lake: SnapshotLake, dataset: str, run_id: str, run
     lake.land(envelopes(ticks), dataset, run_id, run_timestamp)
 
 
+def extract_configured(
+    ticks: DataFrame, configs: DataFrame, lake: SnapshotLake, dataset: str, run_id: str, run_timestamp: int
+) -> None:
+    """Land what the pipeline configuration asks for: enabled venues, all or listed symbols."""
+    extract(configured_ticks(ticks, configs), lake, dataset, run_id, run_timestamp)
+
+
 def load_backlog(
     lake: SnapshotLake,
     table: TickerTable,

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the operators are planned for. Broadcasts are never hinted: Spark checks the size of a
 # side against its threshold, statically or at run time, and otherwise shuffles; AQE then splits
@@ -16,6 +16,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Compressed files grow in memory; without this a file size is taken for the broadcast size.
+    "spark.sql.sources.fileCompressionFactor": "4.0",
 }
 
 
@@ -46,3 +48,14 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
         shared = tempfile.mkdtemp(prefix="run-")
         spark.conf.set("spark.checkpoint.dir", shared)
     return f"{shared.rstrip('/')}/ticklake/{label}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """The rows as they are now, written to the shared folder.
+
+    Later commits cannot change them, a lost executor cannot take them along, and their size is
+    known to the planner, which then broadcasts them if they are small.
+    """
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date, timedelta
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -11,17 +12,18 @@ from pyspark.sql import types as T
 
 from ticklake.contracts import LONG, MANIFEST, SNAPSHOT, STRING
 from ticklake.functions.paths import asset_path, snapshot_path
-from ticklake.functions.times import to_epoch_ms
+from ticklake.functions.times import DAY_MS, to_epoch_ms, utc_date
 from ticklake.operators.flatten import is_snapshot
 from ticklake.operators.reduce import latest_by
 
-LAYOUT = ["dataset", "exchange_id", "run_timestamp"]
+LAYOUT = ["dataset", "run_date", "run_timestamp", "exchange_id"]
 _STORED = T.StructType(
     [
         *SNAPSHOT.fields,
         T.StructField("dataset", STRING),
-        T.StructField("exchange_id", STRING),
+        T.StructField("run_date", T.DateType()),
         T.StructField("run_timestamp", LONG),
+        T.StructField("exchange_id", STRING),
     ]
 )
 _PLANNED = T.StructType([*MANIFEST.struct.fields, T.StructField("load_id", STRING)])
@@ -32,7 +34,9 @@ VERSION_KEY = ["dataset", "exchange_id", "extraction_timestamp", "run_timestamp"
 
 
 class SnapshotLake:
-    """Append-only JSON lines below ``root``, partitioned by dataset, venue and landing run.
+    """Append-only JSON lines below ``root``, partitioned by dataset, landing run and venue.
+
+    Readers that know which runs they need list only the folders of those days.
 
     Landing a run again replaces what that run landed. The manifest is a log: a later record about
     a snapshot overrules an earlier one.
@@ -52,8 +56,9 @@ class SnapshotLake:
             "metadata",
             "data",
             F.lit(dataset).alias("dataset"),
-            F.col("metadata.exchange_id").alias("exchange_id"),
+            utc_date(F.lit(run_timestamp).cast("bigint")).alias("run_date"),
             F.lit(run_timestamp).cast("bigint").alias("run_timestamp"),
+            F.col("metadata.exchange_id").alias("exchange_id"),
         )
         (
             placed.hint("rebalance", *[F.col(c) for c in LAYOUT])
@@ -63,7 +68,7 @@ class SnapshotLake:
             .json(self.snapshot_root)
         )
         run = (F.col("dataset") == dataset) & (F.col("run_timestamp") == run_timestamp)
-        landed = self._stored().filter(run).select(*VERSION_KEY).distinct()
+        landed = self._stored(run_timestamp, run_timestamp).filter(run).select(*VERSION_KEY).distinct()
         asset = asset_path(F.concat_ws("_", "exchange_id", "dataset"))
         self._record(
             landed.select(
@@ -87,9 +92,17 @@ class SnapshotLake:
                 raise
             return self.spark.createDataFrame([], schema)
 
-    def _stored(self) -> DataFrame:
-        read = self.spark.read.schema(_STORED)
-        stored = self._scan(lambda: read.json(self.snapshot_root), _STORED)
+    def _stored(self, first_run: int | None = None, last_run: int | None = None) -> DataFrame:
+        """Landed snapshots of all runs, or of the runs in a range."""
+        where = self.snapshot_root
+        if first_run is not None:
+            days = range(first_run // DAY_MS, last_run // DAY_MS + 1)
+            names = ",".join(str(date(1970, 1, 1) + timedelta(days=d)) for d in days)
+            where = f"{where}/dataset=*/run_date={{{names}}}"
+        read = self.spark.read.schema(_STORED).option("basePath", self.snapshot_root)
+        stored = self._scan(lambda: read.json(where), _STORED)
+        if first_run is not None:
+            stored = stored.filter(F.col("run_timestamp").between(first_run, last_run))
         return stored.withColumn("extraction_timestamp", to_epoch_ms(F.col("metadata.timestamp")))
 
     def _record(self, entries: DataFrame, recorded_at: int) -> None:
@@ -108,17 +121,17 @@ class SnapshotLake:
     def snapshots(self, chosen: DataFrame | None = None) -> DataFrame:
         """``(metadata, data)`` of the chosen manifest rows (all by default), in their last version.
 
-        The landing runs of the chosen rows bound the directories that are listed and read.
+        ``chosen`` should be a stored table, as ``plan`` returns it: its size is then known when the
+        join is planned, and the landed snapshots need no shuffle.
         """
-        stored = self._stored()
         if chosen is None:
-            chosen = self.manifest()
+            chosen, stored = self.manifest(), self._stored()
         else:
             run = F.col("run_timestamp")
-            stored = stored.filter(
-                (run >= chosen.agg(F.min("run_timestamp")).scalar())
-                & (run <= chosen.agg(F.max("run_timestamp")).scalar())
-            )
+            first_run, last_run = chosen.agg(F.min(run), F.max(run)).first()
+            if first_run is None:
+                return self.spark.createDataFrame([], SNAPSHOT)
+            stored = self._stored(first_run, last_run)
         # A snapshot may lack its venue or instant, so those two compare NULLs as equal.
         same = (F.col("s.dataset") == F.col("c.dataset")) & (
             F.col("s.run_timestamp") == F.col("c.run_timestamp")
