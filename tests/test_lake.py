@@ -33,7 +33,7 @@ def test_an_empty_lake_reads_as_empty(lake, table):
     assert lake.manifest().count() == 0
     assert lake.snapshots().count() == 0
     assert table.read().count() == 0
-    assert load_backlog(lake, table, "l1", 1).count() == 0
+    assert load_backlog(lake, table, "l1").count() == 0
 
 
 def test_only_snapshots_can_be_landed(spark, lake):
@@ -56,9 +56,18 @@ def test_landing_the_same_run_again_replaces(spark, lake):
     assert rows(transform(lake.snapshots()), "last") == [(2.0,)]
 
 
+def test_landing_a_loaded_run_again_unloads_it(spark, lake, table):
+    for _ in range(2):
+        extract(ticks(spark, tick(1, 100)), lake, "raw_tickers", "r1", 5)
+        assert rows(lake.manifest(), "loaded") == [(False,)]
+        load_backlog(lake, table, "l1", by_flag=True)
+        assert rows(lake.manifest(), "loaded") == [(True,)]
+    assert table.read().count() == 1
+
+
 def test_a_later_run_supersedes_a_snapshot_and_unloads_it(spark, lake, table):
     extract(ticks(spark, tick(1, 100, last=1.0), tick(2, 200, last=1.0)), lake, "raw_tickers", "r1", 5)
-    load_backlog(lake, table, "l1", 6)
+    load_backlog(lake, table, "l1")
     extract(ticks(spark, tick(1, 100, last=9.0)), lake, "raw_tickers", "r2", 7)
     assert rows(transform(lake.snapshots()), "extraction_timestamp", "last") == [(100, 9.0), (200, 1.0)]
     assert rows(lake.manifest(), "extraction_timestamp", "loaded") == [(100, False), (200, True)]
@@ -74,10 +83,10 @@ def test_single_snapshot(spark, lake):
 @pytest.mark.parametrize("by_flag", [False, True])
 def test_incremental_loads_load_once(spark, lake, table, by_flag):
     extract(ticks(spark, tick(1, 100), tick(2, 100, "B")), lake, "raw_tickers", "r1", 5)
-    assert load_backlog(lake, table, "l1", 6, by_flag=by_flag).count() == 1
-    assert load_backlog(lake, table, "l2", 7, by_flag=by_flag).count() == 0
+    assert load_backlog(lake, table, "l1", by_flag=by_flag).count() == 1
+    assert load_backlog(lake, table, "l2", by_flag=by_flag).count() == 0
     extract(ticks(spark, tick(3, 300)), lake, "raw_tickers", "r2", 8)
-    assert load_backlog(lake, table, "l3", 9, by_flag=by_flag).count() == 1
+    assert load_backlog(lake, table, "l3", by_flag=by_flag).count() == 1
     assert rows(table.read(), "symbol", "extraction_timestamp") == [("A", 100), ("A", 300), ("B", 100)]
     assert rows(lake.manifest().filter("loaded"), "extraction_timestamp") == [(100,), (300,)]
 
@@ -87,26 +96,26 @@ def test_a_failed_load_repeated_under_its_id_takes_its_first_plan(spark, lake, t
     with monkeypatch.context() as broken:
         broken.setattr(lake, "mark_loaded", lambda *a: (_ for _ in ()).throw(OSError("lost")))
         with pytest.raises(OSError):
-            load_backlog(lake, table, "l1", 6)
+            load_backlog(lake, table, "l1")
     extract(ticks(spark, tick(3, 300)), lake, "raw_tickers", "r2", 7)
-    load_backlog(lake, table, "l1", 8)
+    load_backlog(lake, table, "l1")
     assert rows(table.read(), "extraction_timestamp") == [(100,), (200,)]
     assert rows(lake.manifest(), "extraction_timestamp", "loaded") == [(100, True), (200, True), (300, False)]
-    load_backlog(lake, table, "l2", 9)
+    load_backlog(lake, table, "l2")
     assert rows(table.read(), "extraction_timestamp") == [(100,), (200,), (300,)]
 
 
 def test_flags_can_be_recovered_from_the_table(spark, lake, table):
     extract(ticks(spark, tick(1, 100), tick(2, 200)), lake, "raw_tickers", "r1", 5)
     table.append(transform(lake.snapshots()).filter("extraction_timestamp = 100"), "l1")
-    lake.mark_loaded(lake.pending_in(table.read()), 6)
+    lake.mark_loaded(lake.pending_in(table.read()))
     assert rows(lake.manifest(), "extraction_timestamp", "loaded") == [(100, True), (200, False)]
 
 
 def test_snapshots_without_provenance_are_kept_and_loaded_by_flag(spark, lake, table):
     bare = {"metadata": {"exchange": "e"}, "data": {"A": {"last": 1.0}}}
     lake.land(lines(spark, bare, snapshot({"symbol": "B", "last": 2.0}, timestamp=7)), "raw_tickers", "r1", 5)
-    load_backlog(lake, table, "l1", 6, by_flag=True)
+    load_backlog(lake, table, "l1", by_flag=True)
     assert rows(table.read(), "symbol", "exchange_id", "extraction_timestamp") == [("A", None, None), ("B", "binance", 7)]
     assert lake.manifest().filter("NOT loaded").count() == 0
 

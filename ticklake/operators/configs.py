@@ -138,12 +138,14 @@ def name_checks(configs: DataFrame) -> DataFrame:
 
 def supported(rows: DataFrame, allowed: DataFrame) -> DataFrame:
     """Rows whose venue is on the allow list, compared exactly."""
-    return rows.join(allowed.select("exchange_id"), "exchange_id", "left_semi").select(*rows.columns)
+    listed = allowed.select("exchange_id").distinct()
+    return rows.join(listed, "exchange_id", "left_semi").select(*rows.columns)
 
 
 def unsupported(rows: DataFrame, allowed: DataFrame) -> DataFrame:
     """The others, a NULL venue among them."""
-    return rows.join(allowed.select("exchange_id"), "exchange_id", "left_anti").select(*rows.columns)
+    listed = allowed.select("exchange_id").distinct()
+    return rows.join(listed, "exchange_id", "left_anti").select(*rows.columns)
 
 
 def snapshot_exchange(name: Column, aliases: dict[str, str] = ALIASES) -> Column:
@@ -159,8 +161,8 @@ def configured_ticks(
 ) -> DataFrame:
     """Ticks of enabled venues, of all symbols or the listed ones as the venue's row says.
 
-    Configurations hold one row per venue, so ticks are not multiplied. Spark broadcasts the
-    configuration side when its size allows.
+    Configurations hold one row per venue, so ticks are not multiplied. Hand them in as a stored
+    table: with its size known Spark broadcasts it, if it is small, and leaves the ticks in place.
     """
     chosen = enabled(configs).select(
         snapshot_exchange(F.col("exchange_id"), aliases).alias("exchange_id"),

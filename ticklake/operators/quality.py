@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -82,13 +81,17 @@ def report(rows: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return counted.unpivot("checked", [rule.name for rule in rules], "rule", "violations")
 
 
+def with_violations(rows: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """Rows with the names of the rules they break, in rule order."""
+    names = F.array(*[F.when(~rule.passes(), F.lit(rule.name)) for rule in rules])
+    return rows.withColumn("violations", F.filter(names, lambda name: name.isNotNull()))
+
+
 def split(rows: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataFrame]:
     """(rows that pass everything, the others with the names of the broken rules)."""
-    broken = F.filter(
-        F.array(*[F.when(~rule.passes(), F.lit(rule.name)) for rule in rules]), lambda n: n.isNotNull()
-    )
-    passes = reduce(Column.__and__, [rule.passes() for rule in rules])
-    return rows.filter(passes), rows.filter(~passes).withColumn("violations", broken)
+    judged = with_violations(rows, rules)
+    passed = F.size("violations") == 0
+    return judged.filter(passed).drop("violations"), judged.filter(~passed)
 
 
 def dedup_latest(

@@ -108,8 +108,8 @@ def backlog_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake, tickers = SnapshotLake(spark, f"{root}/lake"), TickerTable(spark, f"{root}/tickers")
     ticks = bind.ticks(spark, sf_dir)
     extract(_target(ticks), lake, "raw_tickers", "run-1", 1000)
-    load_backlog(lake, tickers, "load-1", 1001, style="files")
+    load_backlog(lake, tickers, "load-1", style="files")
     extract(ticks.filter(~bind.is_loaded(ticks)), lake, "raw_tickers", "run-2", 2000)
-    load_backlog(lake, tickers, "load-2", 2001, style="files")
-    load_backlog(lake, tickers, "load-3", 3001, by_flag=True)
+    load_backlog(lake, tickers, "load-2", style="files")
+    load_backlog(lake, tickers, "load-3", by_flag=True)
     return tickers.read().drop("date")

@@ -13,7 +13,7 @@ from ticklake.operators.writers import create_namespace, create_table
 from ticklake.plans.bootstrap import seed_configs
 from ticklake.plans.domain_sql import CONFIGS, TICKS
 from ticklake.plans.registry import query
-from ticklake.session import scratch_dir
+from ticklake.session import scratch_dir, stored
 from ticklake.sources import bind
 from ticklake.sources.tables import read_table
 
@@ -137,5 +137,6 @@ def config_allow_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 def config_symbol_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ticks the configuration asks for."""
     ticks = bind.ticks(spark, sf_dir)
-    chosen = configs.configured_ticks(ticks, bind.venue_configs(ticks))
+    table = stored(bind.venue_configs(ticks), "venue_configs")
+    chosen = configs.configured_ticks(ticks, table)
     return chosen.select("tick_id", "exchange_id", "symbol", "last")

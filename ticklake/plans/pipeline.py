@@ -28,9 +28,9 @@ def load_backlog(
     lake: SnapshotLake,
     table: TickerTable,
     load_id: str,
-    recorded_at: int,
     style: str = "objects",
     by_flag: bool = False,
+    recorded_at: int | None = None,
 ) -> DataFrame:
     """Load what is missing: choose, transform, commit, and only then mark.
 

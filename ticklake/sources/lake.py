@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from datetime import date, timedelta
 
@@ -48,8 +49,15 @@ class SnapshotLake:
         self.manifest_root = f"{root.rstrip('/')}/manifest"
         self.loads_root = f"{root.rstrip('/')}/loads"
 
-    def land(self, snapshots: DataFrame, dataset: str, run_id: str, run_timestamp: int) -> None:
-        """Write snapshots, then record them as not loaded."""
+    def land(
+        self,
+        snapshots: DataFrame,
+        dataset: str,
+        run_id: str,
+        run_timestamp: int,
+        recorded_at: int | None = None,
+    ) -> None:
+        """Write snapshots, then record them as not loaded, also those that were loaded before."""
         if not is_snapshot(snapshots):
             raise TypeError(f"Snapshots expected, got {snapshots.schema.simpleString()}")
         placed = snapshots.select(
@@ -80,7 +88,7 @@ class SnapshotLake:
                 "run_timestamp",
                 F.lit(False).alias("loaded"),
             ),
-            recorded_at=run_timestamp,
+            recorded_at,
         )
 
     def _scan(self, reader: Callable[[], DataFrame], schema: T.StructType) -> DataFrame:
@@ -105,10 +113,11 @@ class SnapshotLake:
             stored = stored.filter(F.col("run_timestamp").between(first_run, last_run))
         return stored.withColumn("extraction_timestamp", to_epoch_ms(F.col("metadata.timestamp")))
 
-    def _record(self, entries: DataFrame, recorded_at: int) -> None:
-        entries.withColumn("recorded_at", F.lit(recorded_at).cast("bigint")).write.mode(
-            "append"
-        ).parquet(self.manifest_root)
+    def _record(self, entries: DataFrame, recorded_at: int | None) -> None:
+        """Add to the log. Records are ordered by ``recorded_at``, by default the time of writing."""
+        at = int(time.time() * 1000) if recorded_at is None else recorded_at
+        logged = entries.withColumn("recorded_at", F.lit(at).cast("bigint"))
+        logged.write.mode("append").parquet(self.manifest_root)
 
     def manifest(self) -> DataFrame:
         """Current state: one row per snapshot, from its last record."""
@@ -159,7 +168,7 @@ class SnapshotLake:
         pending = self.manifest().filter(~F.col("loaded"))
         return pending.join(target.select(*key).distinct(), key, "left_semi").select(*MANIFEST.columns)
 
-    def mark_loaded(self, entries: DataFrame, recorded_at: int) -> None:
+    def mark_loaded(self, entries: DataFrame, recorded_at: int | None = None) -> None:
         """Record manifest rows as loaded, after their rows are committed. Repeating it is harmless."""
         self._record(
             entries.withColumn("loaded", F.lit(True)).select(*MANIFEST.columns), recorded_at
