@@ -12,6 +12,8 @@ def spark(tmp_path_factory):
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
             "spark.ui.showConsoleProgress": "false",
+            # The fixtures are tiny: compiling code for them would take most of the time.
+            "spark.sql.codegen.wholeStage": "false",
         },
     )
     session.sparkContext.setLogLevel("ERROR")
