@@ -144,6 +144,13 @@ def test_chosen_snapshots_read_only_the_folders_of_their_runs(spark, lake):
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
 
 
+def test_runs_far_apart_are_found_without_naming_their_days(spark, lake):
+    for n in (0, 1_000):
+        extract(ticks(spark, tick(n, n)), lake, "raw_tickers", f"r{n}", n * 86_400_000)
+    chosen = lake.plan("l1", lake.manifest())
+    assert rows(transform(lake.snapshots(chosen)), "extraction_timestamp") == [(0,), (1000,)]
+
+
 def test_a_cluster_must_name_its_shared_folder(spark, monkeypatch):
     class Cluster:
         class sparkContext:

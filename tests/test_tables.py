@@ -68,6 +68,12 @@ def test_creating_twice_keeps_the_rows(spark, name):
     assert read_table(spark, name).count() == 2
 
 
+def test_an_absent_namespace_is_created(spark, name):
+    other = name.replace("crypto_data.t", "fresh_namespace.t")
+    writers.append_by_name(candles(spark), other, OHLCV)
+    assert read_table(spark, other).count() == 2
+
+
 def test_node_table_is_replaced_and_first_of_a_key_stays(spark, name):
     schema = "id long, symbol string, price double, volume double, arrival int"
     first = [(1, "BTC/USDT", 50000.0, 100.5, 1), (2, "ETH/USDT", 3000.0, 200.3, 2), (1, "again", 0.0, 0.0, 3)]

@@ -16,7 +16,7 @@ from ticklake.sources.tables import jdbc_options
 
 def create_namespace(spark: SparkSession, name: str, location: str | None = None) -> None:
     at = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`{at}")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{at}")
 
 
 def create_table(
@@ -49,6 +49,8 @@ def append_by_name(
             return
         if on_missing == "error":
             raise ValueError(f"Table {name} does not exist")
+        if "." in name:
+            create_namespace(spark, name.rsplit(".", 1)[0])
         create_table(spark, name, contract.struct if contract else df.schema, location)
     conform(df, spark.table(name).schema).write.insertInto(name)
 

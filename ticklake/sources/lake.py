@@ -30,6 +30,9 @@ _STORED = T.StructType(
 _PLANNED = T.StructType([*MANIFEST.struct.fields, T.StructField("load_id", STRING)])
 _LOGGED = T.StructType([*MANIFEST.struct.fields, T.StructField("recorded_at", LONG)])
 
+# Beyond this many days folders are not named one by one, the whole lake is listed and then pruned.
+LISTED_DAYS = 400
+
 # The same snapshot may be landed by several runs.
 VERSION_KEY = ["dataset", "exchange_id", "extraction_timestamp", "run_timestamp"]
 
@@ -103,8 +106,8 @@ class SnapshotLake:
     def _stored(self, first_run: int | None = None, last_run: int | None = None) -> DataFrame:
         """Landed snapshots of all runs, or of the runs in a range."""
         where = self.snapshot_root
-        if first_run is not None:
-            days = range(first_run // DAY_MS, last_run // DAY_MS + 1)
+        days = range(0) if first_run is None else range(first_run // DAY_MS, last_run // DAY_MS + 1)
+        if 0 < len(days) <= LISTED_DAYS:
             names = ",".join(str(date(1970, 1, 1) + timedelta(days=d)) for d in days)
             where = f"{where}/dataset=*/run_date={{{names}}}"
         read = self.spark.read.schema(_STORED).option("basePath", self.snapshot_root)
