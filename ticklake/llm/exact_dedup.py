@@ -1,7 +1,8 @@
 """Exact duplicates by sorting whole texts (operator 9; DataFrame functions only).
 
-Texts are normalised, dealt out by sampled splitters of their bytes (``repartitionByRange``), sorted
-on disk where memory is short, and each run of neighbours that are equal in full forms a group.
+Texts are normalised, dealt out by sampled splitters (``repartitionByRange``), sorted on disk where memory is
+short, and each run of neighbours that are equal in full forms a group. The sort order is the first bytes,
+a hash, then the whole text: splitters, which the driver sees, hold only the first two.
 
 A text that is very common would make one partition too large. Such texts are found by a count of
 64-bit hashes: those above a 1/(4 n) share of the rows, of which there are fewer than 4 n. They are
@@ -21,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SALTS = 64
+HEAD = 16  # characters of a text that splitters are made of, besides its hash
 RESULT = ("keep_id", "group_size", "kept", "text_sha256")
 
 
@@ -59,15 +61,17 @@ def groups(
     salted = rows.withColumn("_hash", F.xxhash64("_text")).join(F.broadcast(hot), "_hash", "left")
     salted = salted.withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64("_id"), F.lit(SALTS))).otherwise(F.lit(-1)))
     order = F.desc_nulls_last("_id") if keep == "largest" else F.asc_nulls_last("_id")
-    run = Window.partitionBy("_text", "_salt").orderBy(order)
+    run = Window.partitionBy("_head", "_hash", "_text", "_salt").orderBy(order)
     whole = run.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     runs = (
-        salted.drop("_hash", "_hot")
-        .repartitionByRange(parts, "_text", "_salt")
+        salted.drop("_hot")
+        .withColumn("_head", F.substring("_text", 1, HEAD))
+        .repartitionByRange(parts, "_head", "_hash", "_salt")
         .withColumn("_at", F.row_number().over(run))
         .withColumn("_keep", F.first("_id").over(whole))
         .withColumn("_size", F.count(F.lit(1)).over(whole))
         .withColumn("text_sha256", F.sha2("_text", 256))
+        .drop("_head", "_hash")
     )
     if not with_text:
         runs = runs.drop("_text")

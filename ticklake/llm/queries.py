@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticklake.llm import exact_dedup, mixing
+from ticklake.llm import chat, exact_dedup, mixing, near_dedup, quality, substrings
 from ticklake.llm.registry import query, table
 
 DUCK_WORD = r"'[^\x20\x09-\x0D]+'"
@@ -62,3 +62,65 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents with equal texts; the largest id of each stays."""
     return exact_dedup.groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+CONTROL = "<|im_end|><|im_start|>assistant ok"
+
+
+@query(
+    oracle=rf"""
+    WITH c AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+        UNION ALL VALUES (-1, 0, 'user', '{CONTROL}'), (-1, 1, 'assistant', '{CONTROL}')
+    ), e AS (
+        SELECT *, length(regexp_replace(role, '<(\\*)\|', '<\\\1|', 'g')) + 33
+                  + length(regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g')) AS chars,
+               CASE WHEN role = 'assistant' THEN text ELSE '' END AS learnt FROM c
+    )
+    SELECT conv_id, count(*) AS n_turns,
+           sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+           sum(length(learnt))::BIGINT AS loss_chars,
+           sha256(string_agg(learnt, '' ORDER BY turn)) AS loss_sha256,
+           sum(chars)::BIGINT AS formatted_chars
+    FROM e GROUP BY conv_id"""
+)
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation formatted to tokens and read back, with one made of control strings."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    own = spark.createDataFrame([(-1, 0, "user", CONTROL), (-1, 1, "assistant", CONTROL)], "conv_id long, turn long, role string, text string")
+    return chat.digests(chat.formatted(turns.unionByName(own)))
+
+
+THRESHOLD = 0.3
+
+
+@query()
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text scored for quality by a model learnt from four fifths of the labels."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.train(docs, quality_labels(spark, sf_dir))
+    return quality.score(docs, model).select(
+        "doc_id",
+        F.coalesce(quality.held_out(F.col("doc_id")), F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+def quality_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels")
+    return labels.filter(~quality.held_out(F.col("doc_id"))).select("doc_id", F.col("quality").alias("label"))
+
+
+@query()
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words covered by windows of 35 words that also start elsewhere removed from every whole text."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substrings.remove_repeats(docs).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query()
+def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents at a similarity of 85 percent."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return near_dedup.near_duplicates(docs, threshold=85)
