@@ -6,7 +6,7 @@ its source's tokens served when it is done, divided by the source's target. Merg
 time and cutting where the total budget is used up gives the mix. The targets add up to the budget, so
 the cut lies at virtual time 1; a document in service at that moment is served in part, as the fluid
 model has it. No document is read twice: the share taken of each has a closed form in the tokens queued
-before it.
+before it, and what is range-sorted in the end is one row per document.
 
 Tokens queued before a document are a prefix sum over its source, in two steps, so that a source of any
 size is spread: sums of ``buckets`` hash ranges per source, offsets over these few rows, then a running
@@ -80,13 +80,14 @@ def mix(
     max_repeats: int = 3,
     buckets: int = BUCKETS,
     seed: str = SEED,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """``docs`` with (doc_id, source, size) -> doc_id, size, source_size, target, taken and ``finish``.
+    """``docs`` with (doc_id, source, size) -> doc_id, source, size, source_size, target, taken, ``finish``, ``carry``.
 
-    ``finish`` is the virtual time at which the document's first pass is done: the mix's order.
+    ``finish`` is the virtual time at which the document's first pass is done; rows are range-sorted by it.
     """
     key = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
-    rows = docs.select("doc_id", "source", "size", key.alias("_key")).withColumn(
+    rows = docs.select("doc_id", "source", "size", *carry, key.alias("_key")).withColumn(
         "_bucket", F.floor(F.conv(F.substring("_key", 1, 4), 16, 10).cast("int") * F.lit(buckets) / F.lit(1 << 16)).cast("int")
     )
     # An unlikely name for NULL sources keeps the joins plain; the flag keeps it apart from real ones.
@@ -121,7 +122,7 @@ def mix(
         ),
         F.lit(0),
     )
-    return queued.select(
+    mixed = queued.select(
         "doc_id",
         "source",
         "size",
@@ -129,4 +130,21 @@ def mix(
         "target",
         taken.cast("long").alias("taken"),
         F.when(F.col("target") > 0, (F.col("_before") + F.col("size")) / F.col("target")).alias("finish"),
+        *carry,
     )
+    return mixed.repartitionByRange("finish").sortWithinPartitions("finish")
+
+
+def expanded(docs: DataFrame, weights=cycling_weights, share: float = 1.0, max_repeats: int = 3) -> DataFrame:
+    """The mix of ``docs`` with (doc_id, text, source and more) as rows in the order of service.
+
+    Documents come as whole copies, as many as their share taken rounds to; columns stay as they are.
+    """
+    row = F.struct(*[F.col(c) for c in docs.columns])
+    sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), row.alias("_row"))
+    mixed = mix(sized, weights, share, max_repeats, carry=("_row",))
+    copies = F.floor(F.col("taken") / F.col("size") + 0.5).cast("int")
+    passes = F.explode(F.sequence(F.lit(0), copies - 1)).alias("_pass")
+    served = mixed.filter((F.col("size") > 0) & (copies > 0)).select("_row", "finish", "source_size", "target", passes)
+    time = F.col("finish") + F.col("_pass") * F.col("source_size") / F.col("target")
+    return served.withColumn("_time", time).repartitionByRange("_time").sortWithinPartitions("_time").select("_row.*")

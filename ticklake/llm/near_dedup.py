@@ -12,8 +12,8 @@ with the node's first one, links are confirmed and joined to components, nodes t
 component are left, and the others branch on. After ``LAST`` levels what is left is compared in full, only
 across components.
 
-Candidates (sketches that agree in ``AGREE`` coordinates, five standard deviations below what the
-threshold gives) are confirmed on full sets, built anew from the whole texts of both sides. Components come
+Candidates (sketches that agree in at least as many coordinates as lies five standard deviations below what
+the threshold gives) are confirmed on full sets, built anew from the whole texts of both sides. Components come
 from alternating large-star and small-star steps over links. Copies are never expanded into pairs.
 
 Edge cases: NULL or empty text has an empty set, links with nothing and is kept; a text shorter than a
@@ -34,7 +34,6 @@ from ticklake.session import stored
 
 SHINGLE = 5
 SKETCH = 48
-AGREE = 28
 TREES = 10
 BRANCHES = 2
 LEAF = 32
@@ -86,10 +85,6 @@ def _features(piece: pa.RecordBatch, width: int) -> pa.RecordBatch:
     )
 
 
-def _agree(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return (a == b).sum(-1)
-
-
 def _paths(sketches: np.ndarray, path: np.ndarray, picks: int, salt: int) -> np.ndarray:
     """Children of nodes: (rows, picks) hashes of the path and the minwise value at a coordinate the path chooses."""
     out = np.empty((len(path), picks), np.int64)
@@ -124,7 +119,9 @@ def _near(a, b, sketches, size, threshold):
     small, large = np.minimum(size[a], size[b]), np.maximum(size[a], size[b])
     ok = 100 * small >= threshold * large
     a, b = a[ok], b[ok]
-    ok = _agree(sketches[a], sketches[b]) >= AGREE
+    share = threshold / 100
+    least = SKETCH * share - 5 * np.sqrt(SKETCH * share * (1 - share))
+    ok = (sketches[a] == sketches[b]).sum(-1) >= least
     return a[ok], b[ok]
 
 
@@ -282,3 +279,9 @@ def near_duplicates(docs: DataFrame, threshold: int = 85, width: int = SHINGLE,
         .withColumn("component_id", F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.coalesce("component", "id", "doc_id")))
         .select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
     )
+
+
+def deduplicated(docs: DataFrame, threshold: int = 80, width: int = SHINGLE) -> DataFrame:
+    """The rows of ``docs`` but for near copies of a document with a smaller id; all columns as they are."""
+    gone = near_duplicates(docs.select("doc_id", "text"), threshold, width).filter("NOT kept").select(F.col("doc_id").alias("_gone"))
+    return docs.join(gone.distinct(), docs["doc_id"] == F.col("_gone"), "left_anti")

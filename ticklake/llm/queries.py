@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticklake.llm import chat, exact_dedup, mixing, near_dedup, quality, substrings
+from ticklake.llm import (
+    chat,
+    exact_dedup,
+    languages,
+    matrices,
+    mixing,
+    near_dedup,
+    neighbours,
+    packing,
+    quality,
+    substrings,
+)
 from ticklake.llm.registry import query, table
 
 DUCK_WORD = r"'[^\x20\x09-\x0D]+'"
@@ -124,3 +135,30 @@ def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents at a similarity of 85 percent."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return near_dedup.near_duplicates(docs, threshold=85)
+
+
+@query()
+def op7_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors of every vector whose id is divisible by 100."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return neighbours.search(vectors, F.col("vec_id") % 100 == 0, k=10).select("query_id", "rank", "vec_id", "score")
+
+
+@query()
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every page from text, markup, address and host."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return languages.identify(pages, table(spark, sf_dir, "documents").select("text", "lang"))
+
+
+@query()
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, by number of tokens, packed into sequences of five permitted lengths."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.packed(packing.token_lengths(docs))
+
+
+@query()
+def op10_token_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as packed rows of token ids."""
+    return matrices.packed_matrices(table(spark, sf_dir, "documents").select("doc_id", "text"))
