@@ -12,7 +12,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from ticklake.llm import chat, languages, neighbours, quality
-from ticklake.llm.queries import QUERIES, op1_quality
+from ticklake.llm.queries import op1_quality
+from ticklake.llm.registry import QUERIES
 
 from .data import SCHEMA, documents, sentence
 

@@ -109,9 +109,9 @@ def _branch(nodes: DataFrame, picks: int, salt: int) -> DataFrame:
                 path = b.column("path").to_numpy()
                 child = _paths(_sketches(b.column("sketch")), path, picks, salt)
                 row = pa.array(np.repeat(np.arange(b.num_rows), picks))
-                yield pa.RecordBatch.from_arrays([pa.array(child.ravel()), b.column("id").take(row), b.column("size").take(row), b.column("sketch").take(row)], ["path", "id", "size", "sketch"])
+                yield pa.RecordBatch.from_arrays([pa.array(child.ravel()), b.column("id").take(row)], ["path", "id"])
 
-    return nodes.select("path", "id", "size", "sketch").mapInArrow(run, "path long, id long, size long, sketch binary")
+    return nodes.select("path", "id", "sketch").mapInArrow(run, "path long, id long")
 
 
 def _near(a, b, sketches, size, threshold):
@@ -219,19 +219,20 @@ def components(links: DataFrame) -> DataFrame:
 
 def links(features: DataFrame, docs: DataFrame, threshold: int, width: int, trees: int = TREES, leaf: int = LEAF) -> DataFrame:
     """Confirmed links (a, b) between ids of classes with different sets."""
-    classes = (
+    classes = stored(
         features.filter("n_shingles > 0 AND doc_id IS NOT NULL")
         .groupBy("one", "two")
         .agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("size"), F.first("sketch").alias("sketch"))
-        .select("id", "size", "sketch")
+        .select("id", "size", "sketch"),
+        "classes",
     )
     nodes = _branch(classes.withColumn("path", F.lit(0).cast("long")), trees, 1)
     found, confirmed, level = None, None, 1
     while True:
         nodes = stored(nodes, "nodes")
-        sizes = nodes.groupBy("path").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("head")).filter("n > 1")
-        sizes = stored(sizes, "sizes")
-        sized = nodes.join(sizes, "path")
+        sizes = stored(nodes.groupBy("path").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("head")).filter("n > 1"), "sizes")
+        # Most classes are alone in their nodes; only the others get their sketches.
+        sized = stored(nodes.join(sizes, "path").join(classes, "id"), "members")
         if confirmed is not None:
             parts = components(confirmed)
             sized = sized.join(parts, "id", "left").withColumn("component", F.coalesce("component", "id"))
