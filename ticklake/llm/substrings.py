@@ -98,7 +98,8 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
             ["key", "digest", "seed", "block", "start", "windows"],
         )
 
-    twice = words.by_slice(texts, seeds, "seed long").groupBy("seed").count().filter("count > 1").select("seed")
+    # Written, so that the join's sides are plain shuffles, of which AQE splits hot partitions.
+    twice = stored(words.by_slice(texts, seeds, "seed long").groupBy("seed").count().filter("count > 1").select("seed"), "seeds")
     found = stored(words.by_slice(texts, members, "key long, digest long, seed long, block long, start int, windows int").join(twice, "seed"), "blocks")
 
     # The index: how often each block occurs, and one of its places.
