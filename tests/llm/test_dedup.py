@@ -3,6 +3,7 @@
 import collections
 import hashlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -83,20 +84,27 @@ def test_near_against_brute_force(spark):
     assert bag(near_dedup.near_duplicates(df, 85).collect()) == near_brute(rows, 85)
 
 
-def test_near_large_nodes_branch_and_contract(spark, monkeypatch):
-    monkeypatch.setattr(near_dedup, "DEPTH", 2)
-    monkeypatch.setattr(near_dedup, "LAST", 4)
+@pytest.mark.parametrize("leaf,depth", [(4, 1), (4, 3), (512, 3)])
+def test_near_large_nodes_branch_and_are_compared_in_blocks(spark, leaf, depth, monkeypatch):
+    monkeypatch.setattr(near_dedup, "LEAF", leaf)
     base = [f"b{i}" for i in range(100)]
     rows = [(i, " ".join([*base[:i], f"own{i}", *base[i + 1 :]])) for i in range(60)]
     rows += [(100 + i, " ".join([*base[: 60 + i], *(f"far{i}{k}" for k in range(40 - i))])) for i in range(6)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     features = near_dedup.words.by_slice(df, lambda p: near_dedup._features(p, 5), "doc_id long, n_shingles long, one long, two long, sketch binary")
-    links = near_dedup.links(features, df, 85, 5, leaf=4)
+    links = near_dedup.links(features, df, 85, 5, leaf=leaf, depth=depth)
     reach = {r.id: r.component for r in near_dedup.components(links).collect()}
     expected = near_brute(rows, 85)
     assert {(i, reach.get(i, i)) for i, _ in rows} == {(k[0], k[2]) for k in expected}
 
 
+def test_common_counts():
+    rng = np.random.default_rng(1)
+    sets = [np.unique(rng.integers(0, 9000, n).astype(np.uint64)) for n in (1, 50, 4000, 6000, 0, 300)]
+    got = near_dedup.common(sets)
+    assert all(got[i, j] == len(np.intersect1d(sets[i], sets[j])) for i in range(6) for j in range(6) if i != j)
+
+
 def test_components_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(1, 30)] + [(50, 60), (55, 60)], "a long, b long")
     got = {r.id: r.component for r in near_dedup.components(links).collect()}

@@ -7,14 +7,14 @@ that classes which agree in a share j of their shingles stay together with proba
 1 - (1 - j)^branches. A node with at most ``leaf`` classes is compared exhaustively by sketch; larger ones
 branch on. With ten trees a pair at the threshold is missed about once in a million.
 
-Nodes that stay large for ``DEPTH`` levels hold classes that resemble each other: each class is compared
-with the node's first one, links are confirmed and joined to components, nodes that lie inside one
-component are left, and the others branch on. After ``LAST`` levels what is left is compared in full, only
-across components.
+Nodes that are still large after ``DEPTH`` levels hold classes that resemble each other: they are compared in full,
+as pairs of blocks, so nothing is capped.
 
-Candidates (sketches that agree in at least as many coordinates as lies five standard deviations below what
-the threshold gives) are confirmed on full sets, built anew from the whole texts of both sides. Components come
-from alternating large-star and small-star steps over links. Copies are never expanded into pairs.
+Candidates agree in at least as many coordinates as lies five standard deviations below what the threshold
+gives. Groups of classes connected by candidates, not pairs, go on: their full sets are built anew from
+whole texts, all links among them are counted exactly, and each class is returned with the smallest one it is
+connected with. So neither copies nor groups of near copies are expanded into pairs. Components come from
+alternating large-star and small-star steps.
 
 Edge cases: NULL or empty text has an empty set, links with nothing and is kept; a text shorter than a
 shingle is one shingle; rows with a NULL id link with nothing, get a NULL component and are kept; rows that
@@ -23,8 +23,11 @@ share an id are one node, though each keeps its own set; an empty table gives an
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,9 +39,8 @@ SHINGLE = 5
 SKETCH = 48
 TREES = 10
 BRANCHES = 2
-LEAF = 32
-DEPTH = 8
-LAST = 40
+LEAF = 512
+DEPTH = 3
 
 _rng = np.random.default_rng(6)
 _MULTIPLY = _rng.integers(0, 1 << 63, SKETCH, dtype=np.uint64) << np.uint64(1) | np.uint64(1)
@@ -114,86 +116,140 @@ def _branch(nodes: DataFrame, picks: int, salt: int) -> DataFrame:
     return nodes.select("path", "id", "sketch").mapInArrow(run, "path long, id long")
 
 
-def _near(a, b, sketches, size, threshold):
-    """Of index pairs those that may reach the threshold."""
-    small, large = np.minimum(size[a], size[b]), np.maximum(size[a], size[b])
-    ok = 100 * small >= threshold * large
-    a, b = a[ok], b[ok]
-    share = threshold / 100
-    least = SKETCH * share - 5 * np.sqrt(SKETCH * share * (1 - share))
-    ok = (sketches[a] == sketches[b]).sum(-1) >= least
-    return a[ok], b[ok]
-
-
-def _leaves(nodes: DataFrame, threshold: int) -> DataFrame:
-    """Candidate pairs of small nodes, each compared exhaustively; a node has at most ``LEAF`` rows."""
-
-    def run(table: pa.Table) -> pa.Table:
-        size, ids = table.column("size").to_numpy(), table.column("id").to_numpy()
-        a, b = np.triu_indices(len(ids), 1)
-        a, b = _near(a, b, _sketches(table.column("sketch").combine_chunks()), size, threshold)
-        lo, hi = np.minimum(ids[a], ids[b]), np.maximum(ids[a], ids[b])
-        return pa.table({"a": lo[lo < hi], "b": hi[lo < hi]})
-
-    return nodes.groupBy("path").applyInArrow(run, "a long, b long")
-
-
-def _against(pairs: DataFrame, threshold: int) -> DataFrame:
-    """Candidates among rows with two classes (id, size, sketch and other_*) each."""
+def _by_group(rows: DataFrame, key: str, work, schema: str) -> DataFrame:
+    """``work`` on each group of neighbours with one key, streamed from sorted partitions."""
 
     def run(batches):
-        for t in batches:
-            if t.num_rows:
-                ids, size = (np.concatenate([t.column(c).to_numpy(), t.column(f"other_{c}").to_numpy()]) for c in ("id", "size"))
-                sketches = np.concatenate([_sketches(t.column("sketch")), _sketches(t.column("other_sketch"))])
-                a = np.arange(t.num_rows)
-                a, b = _near(a, a + t.num_rows, sketches, size, threshold)
-                lo, hi = np.minimum(ids[a], ids[b]), np.maximum(ids[a], ids[b])
-                yield pa.RecordBatch.from_arrays([pa.array(lo[lo < hi]), pa.array(hi[lo < hi])], ["a", "b"])
+        rest = None
+        for batch in batches:
+            whole = pa.Table.from_batches([batch] if rest is None else [*rest.to_batches(), batch]).combine_chunks()
+            keys = whole.column(key).to_numpy()
+            cuts = np.flatnonzero(np.diff(keys)) + 1
+            last = int(cuts[-1]) if len(cuts) else 0
+            if last:
+                yield from work(whole.slice(0, last), np.concatenate([[0], cuts[:-1]]))
+            rest = whole.slice(last)
+        if rest is not None and rest.num_rows:
+            yield from work(rest, np.array([0]))
+
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(parts, key).sortWithinPartitions(key, "id").mapInArrow(run, schema)
+
+
+def _joined(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Smallest place that each of n places is connected with by pairs (a, b)."""
+    label = np.arange(n)
+    while True:
+        least = np.minimum(label[a], label[b])
+        new = label.copy()
+        np.minimum.at(new, a, least)
+        np.minimum.at(new, b, least)
+        new = new[new]
+        if (new == label).all():
+            return label
+        label = new
 
-    return pairs.mapInArrow(run, "a long, b long")
 
+def _candidates(nodes: DataFrame, threshold: int) -> DataFrame:
+    """(group, id): within each node the classes that are connected by candidate pairs, compared exhaustively.
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, threshold: int, width: int) -> DataFrame:
-    """The candidate pairs whose full sets reach the threshold."""
-    pairs = stored(pairs.distinct(), "candidates")
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("end")).distinct()
+    A group's name is made of its members, so that the trees find it once.
+    """
+    share = threshold / 100
+    least = SKETCH * share - 5 * np.sqrt(SKETCH * share * (1 - share))
+
+    def work(table, cuts):
+        size, ids = table.column("size").to_numpy(), table.column("id").to_numpy()
+        sketches = _sketches(table.column("sketch").combine_chunks())
+        groups, members = [], []
+        for lo, hi in zip(cuts, [*cuts[1:], table.num_rows], strict=True):
+            a, b = np.triu_indices(hi - lo, 1)
+            n, sk = size[lo:hi], sketches[lo:hi]
+            ok = 100 * np.minimum(n[a], n[b]) >= threshold * np.maximum(n[a], n[b])
+            a, b = a[ok], b[ok]
+            ok = (sk[a] == sk[b]).sum(-1) >= least
+            a, b = a[ok], b[ok]
+            if len(a):
+                label = _joined(hi - lo, a, b)
+                for root in np.unique(label[a]):
+                    own = np.unique(ids[lo:hi][label == root])
+                    if len(own) > 1:
+                        groups.append(np.full(len(own), xxhash.xxh3_64_intdigest(own.tobytes()), np.uint64).view(np.int64))
+                        members.append(own)
+        if groups:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(groups)), pa.array(np.concatenate(members))], ["group", "id"])
+
+    return _by_group(nodes.select("path", "id", "size", "sketch"), "path", work, "group long, id long")
+
+
+def _blocks(nodes: DataFrame) -> DataFrame:
+    """Nodes too large for one comparison as all pairs of blocks of about half a leaf, by hashes of ids."""
+    count = F.ceil(2 * F.col("n") / LEAF).cast("int")
+    own = F.pmod(F.xxhash64("id"), count).cast("int")
+    dealt = nodes.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), count - 1)))
+    pair = F.xxhash64("path", F.least("own", "other"), F.greatest("own", "other"))
+    return dealt.select(pair.alias("path"), "id", "size", "sketch")
+
+
+def common(sets: list[np.ndarray]) -> np.ndarray:
+    """How many values each two of n sets share."""
+    doc = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    _, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = np.flatnonzero(count > 1)
+    place = np.full(len(count), -1)
+    place[shared] = np.arange(len(shared))
+    column = place[column]
+    doc, column = doc[column >= 0], column[column >= 0]
+    order = np.argsort(column, kind="stable")
+    doc, column = doc[order], column[order]
+    out = np.zeros((len(sets), len(sets)), np.float32)
+    for lo in range(0, len(shared), 2048):
+        i, j = np.searchsorted(column, [lo, lo + 2048])
+        x = np.zeros((len(sets), 2048), np.float32)
+        x[doc[i:j], column[i:j] - lo] = 1
+        out += x @ x.T
+    return out.astype(np.int64)
+
+
+def _confirmed(groups: DataFrame, docs: DataFrame, threshold: int, width: int) -> DataFrame:
+    """Pairs (a, b): each class with the smallest id that it is connected with by links of full sets in a group."""
+    groups = stored(groups.distinct(), "groups")
+    ends = groups.select(F.col("id").alias("end")).distinct()
 
     def pack(batches):
         zip_ = zstandard.ZstdCompressor(level=1)
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([zip_.compress((x or "").encode()) for x in b.column("text").to_pylist()], pa.binary())], ["end", "z"])
+            packed = [zip_.compress((x or "").encode()) for x in b.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(packed, pa.binary())], ["id", "z"])
 
-    packed = (
+    texts = (
         docs.join(ends, docs["doc_id"] == ends["end"], "left_semi")
         .groupBy("doc_id", F.xxhash64("text"))
         .agg(F.first("text").alias("text"))
         .select("doc_id", "text")
-        .mapInArrow(pack, "end long, z binary")
+        .mapInArrow(pack, "id long, z binary")
     )
-    packed = stored(packed, "texts")
 
-    def check(batches):
+    def work(table, cuts):
         unzip = zstandard.ZstdDecompressor()
-        for b in batches:
-            ok = np.zeros(b.num_rows, bool)
-            for lo in range(0, b.num_rows, 256):
-                part = b.slice(lo, 256)
-                sets = []
-                for c in ("za", "zb"):
-                    value, first = shingles(pa.array([unzip.decompress(z).decode() for z in part.column(c).to_pylist()], pa.large_string()), width)
-                    sets.append([value[i:j] for i, j in zip(first[:-1], first[1:], strict=True)])
-                for i, (x, y) in enumerate(zip(*sets, strict=True)):
-                    common = len(np.intersect1d(x, y, assume_unique=True))
-                    ok[lo + i] = common > 0 and 100 * common >= threshold * (len(x) + len(y) - common)
-            yield pa.RecordBatch.from_arrays([b.column("a").filter(pa.array(ok)), b.column("b").filter(pa.array(ok))], ["a", "b"])
-
-    both = (
-        pairs.join(packed.select(F.col("end").alias("a"), F.col("z").alias("za")), "a")
-        .join(packed.select(F.col("end").alias("b"), F.col("z").alias("zb")), "b")
-        .select("a", "b", "za", "zb")
-    )
-    return stored(both.mapInArrow(check, "a long, b long").distinct(), "links")
+        ids, z = table.column("id").to_numpy(), table.column("z").combine_chunks()
+        out = [], []
+        for lo, hi in zip(cuts, [*cuts[1:], table.num_rows], strict=True):
+            if hi - lo < 2:
+                continue
+            value, first = shingles(pa.array([unzip.decompress(x).decode() for x in z.slice(lo, hi - lo).to_pylist()], pa.large_string()), width)
+            size = np.diff(first)
+            both = common([value[i:j] for i, j in zip(first[:-1], first[1:], strict=True)])
+            a, b = np.nonzero(np.triu((both > 0) & (100 * both >= threshold * (size[:, None] + size - both)), 1))
+            if len(a):
+                own = ids[lo:hi]
+                least = own[_joined(hi - lo, a, b)]  # rows are sorted by id
+                out[0].append(least[least != own])
+                out[1].append(own[least != own])
+        if out[0]:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], ["a", "b"])
+
+    return stored(_by_group(groups.join(texts, "id"), "group", work, "a long, b long").distinct(), "links")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -217,8 +273,10 @@ def components(links: DataFrame) -> DataFrame:
         mark = now
 
 
-def links(features: DataFrame, docs: DataFrame, threshold: int, width: int, trees: int = TREES, leaf: int = LEAF) -> DataFrame:
-    """Confirmed links (a, b) between ids of classes with different sets."""
+def links(
+    features: DataFrame, docs: DataFrame, threshold: int, width: int, trees: int = TREES, leaf: int = LEAF, depth: int = DEPTH
+) -> DataFrame:
+    """Pairs (a, b) of ids of classes with different sets that confirmed links connect."""
     classes = stored(
         features.filter("n_shingles > 0 AND doc_id IS NOT NULL")
         .groupBy("one", "two")
@@ -226,38 +284,22 @@ def links(features: DataFrame, docs: DataFrame, threshold: int, width: int, tree
         .select("id", "size", "sketch"),
         "classes",
     )
-    nodes = _branch(classes.withColumn("path", F.lit(0).cast("long")), trees, 1)
-    found, confirmed, level = None, None, 1
-    while True:
+    nodes, found = _branch(classes.withColumn("path", F.lit(0).cast("long")), trees, 1), []
+    for level in range(1, depth + 1):
         nodes = stored(nodes, "nodes")
-        sizes = stored(nodes.groupBy("path").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("head")).filter("n > 1"), "sizes")
+        sizes = stored(nodes.groupBy("path").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "sizes")
         # Most classes are alone in their nodes; only the others get their sketches.
-        sized = stored(nodes.join(sizes, "path").join(classes, "id"), "members")
-        if confirmed is not None:
-            parts = components(confirmed)
-            sized = sized.join(parts, "id", "left").withColumn("component", F.coalesce("component", "id"))
-            mixed = sized.groupBy("path").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y").select("path")
-            sized = stored(sized.join(mixed, "path", "left_semi"), "mixed")
-        small, large = sized.filter(F.col("n") <= leaf), sized.filter(F.col("n") > leaf)
-        new = _leaves(small, threshold)
-        more = not large.select("path").isEmpty()
-        if more and level >= LAST:
-            other = large.select("path", *[F.col(c).alias(f"other_{c}") for c in ("id", "size", "sketch", "component")])
-            across = large.join(other, "path").filter("id < other_id AND component <> other_component")
-            new = new.unionByName(_against(across, threshold))
-            more = False
-        elif more and level >= DEPTH:
-            heads = large.filter("id = head").select("path", *[F.col(c).alias(f"other_{c}") for c in ("id", "size", "sketch")])
-            new = new.unionByName(_against(large.filter("id <> head").join(heads, "path"), threshold))
-        found = new if found is None else found.unionByName(new)
-        if not more or level >= DEPTH:
-            fresh = _confirmed(found, docs, threshold, width)
-            confirmed = fresh if confirmed is None else confirmed.unionByName(fresh)
-            found = None
-        if not more:
-            return confirmed
-        nodes = _branch(large, BRANCHES, level + 1)
-        level += 1
+        members = stored(nodes.join(sizes, "path").join(classes, "id"), "members")
+        found.append(members.filter(F.col("n") <= leaf))
+        large = members.filter(F.col("n") > leaf)
+        if large.isEmpty():
+            break
+        if level == depth:
+            found.append(_blocks(large))
+        else:
+            nodes = _branch(large, BRANCHES, level + 1)
+    compared = reduce(DataFrame.unionByName, [f.select("path", "id", "size", "sketch") for f in found])
+    return _confirmed(_candidates(compared, threshold), docs, threshold, width)
 
 
 def near_duplicates(docs: DataFrame, threshold: int = 85, width: int = SHINGLE, trees: int = TREES) -> DataFrame:
