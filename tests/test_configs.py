@@ -117,3 +117,20 @@ def test_only_configured_ticks_are_landed(spark):
     wanted = configs.with_defaults(spark.createDataFrame(rules, schema))
     extract_configured(ticks(spark, *given), wanted, lake, "raw_tickers", "r1", 5)
     assert rows(transform(lake.snapshots()), "exchange_id", "symbol") == [("on", "B")]
+
+
+def test_a_venue_twice_in_a_seed_is_inserted_once(spark):
+    seed = configs.with_defaults(spark.createDataFrame([("v", 1), ("v", 5), ("w", 2)], "exchange_id string, priority int"))
+    empty = configs.empty_configs(spark)
+    assert rows(configs.to_insert(seed, empty), "exchange_id", "priority") == [("v", 5), ("w", 2)]
+    assert rows(configs.seed_counts(seed, empty)) == [(2, 1)]
+    assert rows(configs.seed_counts(seed, seed.filter("exchange_id = 'v'"))) == [(1, 2)]
+
+
+def test_a_venue_and_its_alias_do_not_double_ticks(spark):
+    ticks = spark.createDataFrame([("gate", "A"), ("gate", "B")], "exchange_id string, symbol string")
+    given = [("gateio", True, True, None, 9), ("gate", True, False, ["B"], 1)]
+    schema = "exchange_id string, enabled boolean, fetch_all_tickers boolean, symbols array<string>, priority int"
+    rules = configs.with_defaults(spark.createDataFrame(given, schema))
+    assert rows(configs.configured_ticks(ticks, rules)) == [("gate", "B")]
+    assert rows(configs.configured_ticks(ticks, rules.filter("priority = 9"))) == [("gate", "A"), ("gate", "B")]

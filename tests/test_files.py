@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from ticklake.operators.backlog import backlog_flag, backlog_full
 from ticklake.operators.flatten import transform
+from ticklake.operators.writers import TickerTable
+from ticklake.plans.pipeline import load_files
+from ticklake.session import scratch_dir
 from ticklake.sources import files
 
 from .conftest import rows
@@ -81,3 +84,24 @@ def test_corrupt_data_fails_or_is_set_aside(spark, landing):
 def test_listing(spark, landing):
     found = files.list_files(spark, str(landing), "*.meta.json")
     assert found.count() == 3 and found.filter("length > 0 AND modified_at IS NOT NULL").count() == 3
+
+
+def test_absent_paths_of_a_list_are_left_out(spark, landing):
+    names = [str(landing / "gone"), str(landing / "binance"), str(landing / "gone2")]
+    assert transform(files.read_snapshots(spark, names)).count() == 6
+    assert files.skipped(spark, names) == [names[0], names[2]]
+
+
+def test_incremental_load_reads_and_notes_only_what_is_chosen(spark, landing, tmp_path):
+    table, state = TickerTable(spark, scratch_dir(spark, "files")), scratch_dir(spark, "state")
+    (landing / "binance" / "raw" / "tickers_500000000.json").write_text('{"metadata": {"timestamp": 5}, "data": {"BTC')
+    loaded = load_files(spark, str(landing), table, "l1", state)
+    assert names(loaded) == ["tickers_100000000.json", "tickers_300000000.json"]
+    assert rows(table.read(), "extraction_timestamp") == [(100000000,)] * 2 + [(300000000,)] * 2
+    assert names(spark.read.parquet(f"{state}/quarantine")) == ["tickers_500000000.json"]
+    # Again under its id: the same plan, the same rows. Under the next: only what could not be read.
+    load_files(spark, str(landing), table, "l1", state)
+    assert table.read().count() == 4
+    assert load_files(spark, str(landing), table, "l2", state).count() == 0
+    assert load_files(spark, str(landing), table, "l3", state, by_flag=False).count() == 1
+    assert table.read().count() == 6

@@ -1,5 +1,7 @@
 """Landing, the manifest, and the two jobs."""
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -139,16 +141,79 @@ def test_chosen_snapshots_read_only_the_folders_of_their_runs(spark, lake):
     chosen = lake.plan("l1", lake.manifest().filter("extraction_timestamp = 1"))
     found = lake.snapshots(chosen)
     assert rows(transform(found), "extraction_timestamp") == [(1,)]
-    assert all("run_date=1970-01-02" in f or "load_id=l1" in f for f in found.inputFiles())
+    assert all(f"run_timestamp={day}/" in f or "load_id=l1" in f for f in found.inputFiles())
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
 
 
-def test_runs_far_apart_are_found_without_naming_their_days(spark, lake):
-    for n in (0, 1_000):
+def test_runs_far_apart_are_read_by_their_own_folders(spark, lake):
+    for n in (0, 1, 1_000):
         extract(ticks(spark, tick(n, n)), lake, "raw_tickers", f"r{n}", n * 86_400_000)
-    chosen = lake.plan("l1", lake.manifest())
+    chosen = lake.plan("l1", lake.manifest().filter("extraction_timestamp <> 1"))
     assert rows(transform(lake.snapshots(chosen)), "extraction_timestamp") == [(0,), (1000,)]
+    assert not any("run_id=r1/" in f for f in lake.snapshots(chosen).inputFiles())
+
+
+def test_runs_of_one_instant_are_kept_apart(spark, lake, table):
+    extract(ticks(spark, tick(1, 100)), lake, "raw_tickers", "r1", 5)
+    extract(ticks(spark, tick(2, 200)), lake, "raw_tickers", "r2", 5)
+    load_backlog(lake, table, "l1", by_flag=True)
+    assert rows(table.read(), "extraction_timestamp") == [(100,), (200,)]
+
+
+def test_landing_a_run_with_less_withdraws_the_rest(spark, lake, table):
+    extract(ticks(spark, tick(1, 100), tick(2, 100, exchange="y")), lake, "raw_tickers", "r1", 5)
+    load_backlog(lake, table, "l1", by_flag=True)
+    extract(ticks(spark, tick(1, 100)), lake, "raw_tickers", "r1", 5)
+    assert rows(lake.manifest(), "exchange_id", "loaded") == [("e", False)]
+    assert rows(transform(lake.snapshots()), "exchange_id") == [("e",)]
+    load_backlog(lake, table, "l2", style="files")
+    assert table.read().count() == 2
+    lake.compact_manifest()
+    assert rows(lake.manifest(), "exchange_id", "loaded") == [("e", False)]
+
+
+def cut(lake):
+    """Break the landed lines of venue y."""
+    for f in Path(lake.snapshot_root).rglob("exchange_id=y/part-*"):
+        f.write_text(f.read_text()[:40] + "\n")
+        (f.parent / f".{f.name}.crc").unlink(missing_ok=True)
+
+
+def test_broken_lines_are_set_aside_and_not_marked(spark, lake, table):
+    extract(ticks(spark, tick(1, 100), tick(2, 100, exchange="y")), lake, "raw_tickers", "r1", 5)
+    cut(lake)
+    with pytest.raises(ValueError, match="cannot be read"):
+        load_backlog(lake, table, "l0", by_flag=True, on_corrupt="fail")
+    assert table.read().count() == 0
+    loaded = load_backlog(lake, table, "l1", by_flag=True)
+    assert rows(loaded, "exchange_id") == [("e",)] and rows(table.read(), "exchange_id") == [("e",)]
+    assert rows(lake.manifest(), "exchange_id", "loaded") == [("e", True), ("y", False)]
+    assert rows(lake.quarantined(), "exchange_id", "run_id", "load_id") == [("y", "r1", "l1")]
+
+
+def test_snapshots_that_are_gone_are_not_marked(spark, lake, table):
+    extract(ticks(spark, tick(1, 100)), lake, "raw_tickers", "r1", 5)
+    extract(ticks(spark, tick(2, 200)), lake, "raw_tickers", "r2", 6)
+    other = SnapshotLake(spark, scratch_dir(spark, "moved"))
+    other.manifest_root = lake.manifest_root
+    assert load_backlog(other, table, "l1", by_flag=True).count() == 0
+    assert table.read().count() == 0 and lake.manifest().filter("loaded").count() == 0
+
+
+def test_a_lookback_reads_only_the_days_it_can_touch(spark, lake, table):
+    day = 86_400_000
+    table.append(ticks(spark, *[tick(i, i * day + 3_600_000) for i in range(5)], tick(9, day, exchange="old")), "l0")
+    found = table.recent()
+    assert rows(found, "exchange_id", "extraction_timestamp") == [("e", 3 * day + 3_600_000), ("e", 4 * day + 3_600_000), ("old", day)]
+    assert {f.split("date=")[1][:10] for f in found.inputFiles()} == {"1970-01-02", "1970-01-04", "1970-01-05"}
+    extract(ticks(spark, tick(20, 2 * day), tick(21, 4 * day + 7_200_000)), lake, "raw_tickers", "r1", 5)
+    assert rows(load_backlog(lake, table, "l1"), "extraction_timestamp") == [(4 * day + 7_200_000,)]
+
+
+def test_ids_that_are_no_folder_names_are_refused(spark, lake):
+    with pytest.raises(ValueError, match="Letters"):
+        extract(ticks(spark, tick(1, 1)), lake, "raw_tickers", "a/b", 5)
 
 
 def test_a_cluster_must_name_its_shared_folder(spark, monkeypatch):

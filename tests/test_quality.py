@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from ticklake.functions.times import HOUR_MS
@@ -69,4 +70,14 @@ def test_bars(spark):
     schema = "tick_id long, exchange_id string, symbol string, ticker_timestamp_ms long, last double, base_volume double"
     given = [(2, "e", "A", 10, 5.0, 1.0), (1, "e", "A", 20, 3.0, None), (3, "e", "A", 30, 4.0, 2.0), (4, "e", "A", HOUR_MS, 9.0, None)]
     got = rows(bars(spark.createDataFrame(given, schema), HOUR_MS))
-    assert got == [(0, 3.0, 5.0, 3.0, 4.0, 3.0, "e", "A"), (HOUR_MS, 9.0, 9.0, 9.0, 9.0, None, "e", "A")]
+    # By time, though arrival says otherwise.
+    assert got == [(0, 5.0, 5.0, 3.0, 4.0, 3.0, "e", "A"), (HOUR_MS, 9.0, 9.0, 9.0, 9.0, None, "e", "A")]
+
+
+@pytest.mark.parametrize("order", [("ticker_timestamp_ms", "tick_id"), ("ticker_timestamp_ms", "tick_id", "last")])
+def test_bars_of_equal_instants_follow_arrival(spark, order):
+    schema = "tick_id long, exchange_id string, symbol string, ticker_timestamp_ms long, last double, base_volume double"
+    big = 2**63 - 1
+    given = [(big, "e", "A", 10, 1.0, 1.0), (-big, "e", "A", 10, 2.0, 1.0), (None, "e", "A", 5, 3.0, 1.0), (7, "e", "A", 10, 4.0, 1.0)]
+    got = rows(bars(spark.createDataFrame(given, schema).repartition(3), HOUR_MS, order), "open", "close")
+    assert got == [(3.0, 1.0)]

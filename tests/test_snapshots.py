@@ -145,8 +145,8 @@ def test_envelope_round_trip_and_split(spark):
         for i in range(40)
     ]
     df = ticks(spark, *given)
-    whole, split = envelope.envelopes(df), envelope.envelopes(df, symbols_per_row=5)
-    assert whole.count() == 2 and split.count() > 8
+    whole, split = envelope.envelopes(df), envelope.envelopes(df, parts=3)
+    assert whole.count() == 2 and split.count() == 6
     assert split.select(F.max(F.size("data"))).first()[0] < 40
     for nested in (whole, split):
         text = flatten.parse_json_text(envelope.to_json_text(nested))

@@ -1,5 +1,7 @@
 import json
+from pathlib import Path
 
+import pytest
 from pyspark.sql import functions as F
 
 from ticklake.operators.flatten import transform
@@ -50,12 +52,32 @@ def test_polls_pick_up_only_what_is_new_and_equal_batch(spark, tmp_path):
 def test_a_replayed_batch_replaces_itself(spark, tmp_path):
     folder, root, table = setup(spark, tmp_path)
     land(folder, "a", at(1, "A", "B"))
-    for attempt in range(2):
-        rows_in = transform(ingest.stream_snapshots(spark, str(folder)))
-        ingest.start_ingest(rows_in, table, f"{root}/checkpoint-{attempt}").awaitTermination()
+    poll(spark, folder, root, table)
+    for name in ("0", ".0.crc"):  # as if the stream had died before it noted its first batch
+        (Path(root) / "checkpoint" / "commits" / name).unlink()
+    poll(spark, folder, root, table)
     assert table.read().count() == 2
 
 
+def test_streams_into_one_table_keep_each_others_rows(spark, tmp_path):
+    folder, root, table = setup(spark, tmp_path)
+    for zone in ("x", "y"):
+        land(tmp_path / zone, "a", at(1, zone))
+        ingest.ingest(spark, str(tmp_path / zone), table, f"{root}/{zone}").awaitTermination()
+    assert rows(table.read(), "symbol") == [("x",), ("y",)]
+
+
+def test_broken_lines_stop_a_stream_or_are_set_aside(spark, tmp_path):
+    folder, root, table = setup(spark, tmp_path)
+    land(folder, "a", at(1, "A"))
+    (folder / "b.json").write_text('{"metadata": {"timestamp": 5}, "da\n')
+    with pytest.raises(Exception, match="MALFORMED|FAILED_READ_FILE|FAILFAST"):
+        ingest.ingest(spark, str(folder), table, f"{root}/strict").awaitTermination()
+    ingest.ingest(spark, str(folder), table, f"{root}/kept", quarantine=f"{root}/q").awaitTermination()
+    assert rows(table.read(), "symbol") == [("A",)]
+    assert spark.read.parquet(f"{root}/q").count() == 1
+
+
 def test_copies_within_the_watermark_are_dropped_and_late_rows_cut(spark, tmp_path):
     folder, root, table = setup(spark, tmp_path)
     land(folder, "a", at(10, "A", "B"), at(10, "A"))

@@ -104,3 +104,9 @@ def test_jdbc_options_are_text():
     assert jdbc_options("jdbc:x", "t", fetchsize=5, user="u") == {
         "url": "jdbc:x", "dbtable": "t", "fetchsize": "5", "user": "u",
     }
+
+
+def test_a_node_table_refuses_a_row_without_key(spark):
+    df = spark.createDataFrame([("a", 1), (None, 2)], "k string, n long")
+    with pytest.raises(Exception, match="NULL in its key"):
+        writers.replace_node_table(df, "nodes_refused", ["n"])

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from ticklake.contracts import PIPELINE_CONFIG
 from ticklake.operators.flatten import conform
+from ticklake.operators.reduce import first_by
 
 # Fixed value. ``\\z`` rather than ``$``, which in Java also matches before a final line break.
 NAME_PATTERN = r"^[a-z][a-z0-9_]*\z"
@@ -75,18 +76,19 @@ def default_configs(spark: SparkSession) -> DataFrame:
 
 
 def to_insert(seed: DataFrame, existing: DataFrame) -> DataFrame:
-    """Seed rows whose venue is not configured yet."""
-    return seed.join(existing.select("exchange_id"), "exchange_id", "left_anti").select(*seed.columns)
+    """One seed row of each venue that is not configured yet; of several the first by priority, then by id."""
+    ranked = seed.withColumn("_order", -F.coalesce("priority", F.lit(0)))
+    first = first_by(ranked, ["exchange_id"], ["_order", "id", "extract_asset_name", "enabled"])
+    fresh = first.join(existing.select("exchange_id"), "exchange_id", "left_anti")
+    return fresh.select(*seed.columns)
 
 
 def seed_counts(seed: DataFrame, existing: DataFrame) -> DataFrame:
-    """How many seed rows would be inserted, how many skipped."""
+    """How many seed rows would be inserted, how many skipped: known venues, and all but one row of a venue."""
     known = existing.select("exchange_id", F.lit(True).alias("known")).distinct()
-    matched = seed.select("exchange_id").join(known, "exchange_id", "left")
-    return matched.agg(
-        F.count_if(F.col("known").isNull()).alias("inserted"),
-        F.count_if(F.col("known").isNotNull()).alias("skipped"),
-    )
+    venues = seed.groupBy("exchange_id").agg(F.count(F.lit(1)).alias("n")).join(known, "exchange_id", "left")
+    inserted = F.count_if(F.col("known").isNull())
+    return venues.agg(inserted.alias("inserted"), (F.coalesce(F.sum("n"), F.lit(0)) - inserted).alias("skipped"))
 
 
 def config_counts(configs: DataFrame) -> DataFrame:
@@ -161,14 +163,23 @@ def configured_ticks(
 ) -> DataFrame:
     """Ticks of enabled venues, of all symbols or the listed ones as the venue's row says.
 
-    Configurations hold one row per venue, so ticks are not multiplied. Hand them in as a stored
-    table: with its size known Spark broadcasts it, if it is small, and leaves the ticks in place.
+    Several rows may mean one venue, by its name or an alias; then the row with the venue's own name
+    counts, else the one with the highest priority, then the first name. Ticks are not multiplied. Hand
+    the configurations in as a stored table: with its size known Spark broadcasts it, if it is small, and
+    leaves the ticks in place.
     """
-    chosen = enabled(configs).select(
-        snapshot_exchange(F.col("exchange_id"), aliases).alias("exchange_id"),
+    venue = snapshot_exchange(F.col("exchange_id"), aliases)
+    rows = configs.select(
+        venue.alias("_venue"),
+        F.when(venue.eqNullSafe(F.col("exchange_id")), 0).otherwise(1).alias("_alias"),
+        (-F.coalesce("priority", F.lit(0))).alias("_rank"),
+        F.col("exchange_id").alias("_name"),
         F.coalesce("fetch_all_tickers", F.lit(True)).alias("_all"),
         F.col("symbols").alias("_symbols"),
+        "enabled",
     )
+    chosen = first_by(rows, ["_venue"], ["_alias", "_rank", "_name"]).filter("enabled")
+    chosen = chosen.select(F.col("_venue").alias("exchange_id"), "_all", "_symbols").hint("rebalance")
     wanted = F.col("_all") | F.col("_symbols").isNull() | F.array_contains("_symbols", F.col("symbol"))
     return ticks.join(chosen, "exchange_id").filter(wanted).select(*ticks.columns)
 

@@ -9,9 +9,6 @@ from ticklake.operators.reduce import latest_by
 
 SNAPSHOT_KEY = ["exchange_id", "extraction_timestamp"]
 
-# A snapshot wider than this is written as several rows with the same metadata.
-SYMBOLS_PER_ROW = 20_000
-
 ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
 
 
@@ -41,26 +38,19 @@ def raw_ticker() -> Column:
     )
 
 
-def envelopes(ticks: DataFrame, symbols_per_row: int = SYMBOLS_PER_ROW) -> DataFrame:
+def envelopes(ticks: DataFrame, parts: int = 1) -> DataFrame:
     """Nested snapshots ``(metadata, data)``.
 
     The per-symbol reduction comes first: it keeps map keys unique and shrinks what is shuffled to
-    the snapshot. A map is collected in one task, so it has to stay small: symbols are spread by
-    hash over as many rows per snapshot as the widest venue needs. Readers flatten rows, so they
-    do not see the split.
+    the snapshot. A map is collected in one task, so it has to stay small: venues with more symbols than
+    fit a row (some ten thousands) are written with ``parts`` rows per snapshot, which share its metadata and
+    split its symbols by hash. Readers flatten rows, so they do not see the split; who counts snapshots
+    counts distinct metadata.
     """
-    widest = ticks.groupBy("exchange_id").agg(F.approx_count_distinct("symbol").alias("symbols"))
-    rows_per_snapshot = widest.agg(
-        F.greatest(F.lit(1), F.ceil(F.max("symbols") / symbols_per_row)).cast("bigint").alias("n")
-    ).scalar()
     entry = F.struct("symbol", raw_ticker().alias("ticker"))
     return (
         latest_ticks(ticks)
-        .select(
-            *SNAPSHOT_KEY,
-            F.pmod(F.xxhash64("symbol"), rows_per_snapshot).alias("part"),
-            entry.alias("entry"),
-        )
+        .select(*SNAPSHOT_KEY, F.pmod(F.xxhash64("symbol"), F.lit(parts)).alias("part"), entry.alias("entry"))
         .groupBy(*SNAPSHOT_KEY, "part")
         .agg(F.map_from_entries(F.collect_list("entry")).alias("data"))
         .select(

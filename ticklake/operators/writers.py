@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+from contextlib import suppress
+from datetime import date, timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ticklake.contracts import STRING, TICKER, Contract, property_type
-from ticklake.functions.times import utc_date
+from ticklake.functions.times import DAY_MS, utc_date
+from ticklake.operators.backlog import LOOKBACK_MS
 from ticklake.operators.flatten import conform
 from ticklake.operators.reduce import first_by
+from ticklake.session import existing, folders
 from ticklake.sources.tables import jdbc_options
 
 
@@ -97,15 +101,29 @@ class TickerTable:
             .parquet(self.path)
         )
 
+    def _read(self, names: list[str]) -> DataFrame:
+        there, _ = existing(self.spark, names)
+        read = self.spark.read.schema(self.stored).option("basePath", self.path)
+        return read.parquet(*there) if there else self.spark.createDataFrame([], self.stored)
+
     def read(self) -> DataFrame:
         """Contract columns plus ``date`` for pruning; an absent table is empty."""
-        try:
-            found = self.spark.read.schema(self.stored).parquet(self.path)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            found = self.spark.createDataFrame([], self.stored)
-        return found.select(*TICKER.columns, "date")
+        return self._read([self.path]).select(*TICKER.columns, "date")
+
+    def recent(self, lookback_ms: int = LOOKBACK_MS) -> DataFrame:
+        """Rows of the days that a lookback from each venue's newest instant can touch.
+
+        The newest day of each venue is known from the folders' names, so older days are neither listed nor
+        read: the newest instant lies in it, and the window starts at most ``lookback_ms`` before it.
+        """
+        days: dict[str, dict[date, str]] = {}
+        for name in folders(self.spark, f"{self.path}/exchange_id=*/date=*"):
+            venue, day = name.rsplit("/", 2)[1:]
+            with suppress(ValueError):  # rows without an instant have no day
+                days.setdefault(venue, {})[date.fromisoformat(day.removeprefix("date="))] = name
+        back = timedelta(days=-(-lookback_ms // DAY_MS))
+        names = [name for own in days.values() for day, name in own.items() if day >= max(own) - back]
+        return self._read(names).select(*TICKER.columns, "date")
 
 
 def node_properties(df: DataFrame) -> DataFrame:
@@ -114,8 +132,13 @@ def node_properties(df: DataFrame) -> DataFrame:
 
 
 def replace_node_table(df: DataFrame, label: str, order: list[str], location: str | None = None) -> None:
-    """Replace the node table: first column is the key, of equal keys the first by ``order`` stays."""
-    nodes = first_by(df, [df.columns[0]], order)
+    """Replace the node table: first column is the key, of equal keys the first by ``order`` stays.
+
+    A row without a key makes the write fail, and the table stays as it was.
+    """
+    key = df.columns[0]
+    refused = F.raise_error(F.lit(f"Node table {label}: NULL in its key {key}")).cast(df.schema[key].dataType)
+    nodes = first_by(df, [key], order).withColumn(key, F.coalesce(F.col(key), refused))
     writer = node_properties(nodes).write.mode("overwrite").format("parquet")
     if location:
         writer = writer.option("path", location)

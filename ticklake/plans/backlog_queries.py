@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticklake.operators import backlog, envelope, flatten
 from ticklake.operators.writers import TickerTable
 from ticklake.plans.domain_sql import LATEST, LOOKBACK, MANIFEST, TICKER_COLUMNS
-from ticklake.plans.pipeline import extract, load_backlog
+from ticklake.plans.pipeline import extract, load_backlog, load_files, load_one
 from ticklake.plans.registry import query
 from ticklake.session import scratch_dir, stored
-from ticklake.sources import bind
+from ticklake.sources import bind, files
 from ticklake.sources.lake import SnapshotLake
 
 CHOSEN = ["exchange_id", "extraction_timestamp", "snapshot_path"]
@@ -78,12 +80,20 @@ def backlog_auto(spark: SparkSession, sf_dir: str) -> DataFrame:
     return backlog.backlog(bind.manifest(ticks), target).select(*CHOSEN)
 
 
-@query(f"WITH {LATEST} SELECT {TICKER_COLUMNS} FROM latest WHERE extraction_timestamp IS NULL")
+@query(
+    f"""WITH {LATEST}
+    SELECT 'snapshots' AS what, count(DISTINCT (exchange_id, extraction_timestamp)) AS n FROM latest
+    UNION ALL SELECT 'missing', 0 UNION ALL SELECT 'rows', 0 UNION ALL SELECT 'columns', 13"""
+)
 def empty_backlog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Everything is loaded: no rows, all columns."""
     ticks = bind.ticks(spark, sf_dir)
-    missing = stored(backlog.backlog(bind.manifest(ticks), ticks, style="files"), "backlog")
-    return flatten.transform(backlog.load_rows(bind.records(ticks), missing))
+    manifest = bind.manifest(ticks)
+    missing = stored(backlog.backlog(manifest, ticks, style="files"), "backlog")
+    rows = flatten.transform(backlog.load_rows(bind.records(ticks), missing))
+    return counts(snapshots=manifest, missing=missing, rows=rows).unionByName(
+        spark.range(1).select(F.lit("columns").alias("what"), F.lit(len(rows.columns)).cast("bigint").alias("n"))
+    )
 
 
 @query(
@@ -98,11 +108,19 @@ def backlog_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten.transform(bind.records(envelope.latest_ticks(chosen)))
 
 
+def counts(**frames: DataFrame) -> DataFrame:
+    """(what, n): how many rows each has."""
+    return reduce(
+        DataFrame.unionByName,
+        [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("what"), "n") for name, df in frames.items()],
+    )
+
+
 @query(f"WITH {LATEST} SELECT {TICKER_COLUMNS} FROM latest")
 def backlog_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The two jobs end to end: land, load by table comparison, land the rest, load again, repeat.
 
-    The repeated load must change nothing.
+    The last load looks at the recent window of the table only; it must change nothing.
     """
     root = scratch_dir(spark, "backlog")
     lake, tickers = SnapshotLake(spark, f"{root}/lake"), TickerTable(spark, f"{root}/tickers")
@@ -111,5 +129,158 @@ def backlog_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     load_backlog(lake, tickers, "load-1", style="files")
     extract(ticks.filter(~bind.is_loaded(ticks)), lake, "raw_tickers", "run-2", 2000)
     load_backlog(lake, tickers, "load-2", style="files")
-    load_backlog(lake, tickers, "load-3", by_flag=True)
+    load_backlog(lake, tickers, "load-3", style="objects")
+    return tickers.read().drop("date")
+
+
+@query(
+    f"""WITH {LOOKBACK}
+    SELECT {TICKER_COLUMNS} FROM latest SEMI JOIN (
+      SELECT exchange_id, extraction_timestamp FROM loaded
+      UNION SELECT exchange_id, extraction_timestamp FROM lookback) USING (exchange_id, extraction_timestamp)"""
+)
+def backlog_load_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second landing is loaded by lookback against the days of the table that the window touches."""
+    root = scratch_dir(spark, "recent")
+    lake, tickers = SnapshotLake(spark, f"{root}/lake"), TickerTable(spark, f"{root}/tickers")
+    ticks = bind.ticks(spark, sf_dir)
+    extract(_target(ticks), lake, "raw_tickers", "run-1", 1000)
+    load_backlog(lake, tickers, "load-1", by_flag=True)
+    extract(ticks.filter(~bind.is_loaded(ticks)), lake, "raw_tickers", "run-2", 2000)
+    load_backlog(lake, tickers, "load-2", style="objects")
     return tickers.read().drop("date")
+
+
+@query(
+    f"""WITH {MANIFEST}
+    SELECT 'loaded' AS what, count(*) AS n FROM loaded
+    UNION ALL SELECT 'pending', count(*) FROM manifest WHERE NOT loaded
+    UNION ALL SELECT 'quarantined', count(*) FROM manifest WHERE NOT loaded
+    UNION ALL SELECT 'rows', count(*) FROM latest SEMI JOIN loaded USING (exchange_id, extraction_timestamp)"""
+)
+def lake_corrupt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of some snapshots are cut off after they were landed: set aside, and not marked as loaded."""
+    root = scratch_dir(spark, "broken")
+    lake, tickers = SnapshotLake(spark, f"{root}/lake"), TickerTable(spark, f"{root}/tickers")
+    ticks = bind.ticks(spark, sf_dir)
+    whole = envelope.envelopes(_target(ticks))
+    lake.land(whole, "raw_tickers", "run-1", 1000, keys=ticks.select(*backlog.KEY))
+    cut = envelope.envelopes(ticks.filter(~bind.is_loaded(ticks)))
+    text = F.to_json(F.struct("metadata", "data"))
+    half = cut.select(
+        F.substring(text, F.lit(1), F.floor(F.length(text) / 2).cast("int")).alias("value"),
+        F.col("metadata.exchange_id").alias("exchange_id"),
+    )
+    folder = f"{root}/lake/snapshots/dataset=raw_tickers/run_timestamp=1000/run_id=run-1"
+    half.write.mode("append").partitionBy("exchange_id").text(folder)
+    load_backlog(lake, tickers, "load-1", by_flag=True)
+    state = lake.manifest()
+    return counts(
+        loaded=state.filter("loaded"), pending=state.filter("NOT loaded"), quarantined=lake.quarantined(), rows=tickers.read()
+    )
+
+
+@query(
+    f"""WITH {MANIFEST}
+    SELECT 'landed' AS what, count(*) AS n FROM loaded
+    UNION ALL SELECT 'pending', 0
+    UNION ALL SELECT 'rows', count(*) FROM latest"""
+)
+def reland_fewer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A loaded run is landed again with fewer snapshots: it is replaced as a whole, and nothing is loaded twice."""
+    root = scratch_dir(spark, "reland")
+    lake, tickers = SnapshotLake(spark, f"{root}/lake"), TickerTable(spark, f"{root}/tickers")
+    ticks = bind.ticks(spark, sf_dir)
+    extract(ticks, lake, "raw_tickers", "run-1", 1000)
+    load_backlog(lake, tickers, "load-1", by_flag=True)
+    extract(_target(ticks), lake, "raw_tickers", "run-1", 1000)
+    # The table has them all; the same load again replaces what it wrote.
+    load_backlog(lake, tickers, "load-2", style="files")
+    lake.mark_loaded(lake.pending_in(tickers.read()))
+    state = lake.manifest()
+    return counts(landed=state, pending=state.filter("NOT loaded"), rows=tickers.read())
+
+
+@query(f"WITH {LATEST} SELECT {TICKER_COLUMNS} FROM latest")
+def two_runs_same_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs that share an instant keep what each landed."""
+    root = scratch_dir(spark, "runs")
+    lake, tickers = SnapshotLake(spark, f"{root}/lake"), TickerTable(spark, f"{root}/tickers")
+    ticks = bind.ticks(spark, sf_dir)
+    extract(_target(ticks), lake, "raw_tickers", "run-1", 1000)
+    extract(ticks.filter(~bind.is_loaded(ticks)), lake, "raw_tickers", "run-2", 1000)
+    load_backlog(lake, tickers, "load-1", by_flag=True)
+    return tickers.read().drop("date")
+
+
+@query(
+    f"""WITH {LATEST}
+    SELECT {TICKER_COLUMNS} FROM latest
+    WHERE exchange_id = 'click' AND extraction_timestamp = (SELECT max(extraction_timestamp) FROM latest WHERE exchange_id = 'click')"""
+)
+def single_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One given snapshot of a venue, its newest."""
+    lake = SnapshotLake(spark, scratch_dir(spark, "single"))
+    ticks = bind.ticks(spark, sf_dir)
+    extract(ticks, lake, "raw_tickers", "run-1", 1000)
+    newest = ticks.filter("exchange_id = 'click'").agg(F.max("extraction_timestamp")).first()[0]
+    return load_one(spark, lake, "raw_tickers", "click", newest)
+
+
+def _write_files(ticks: DataFrame, root: str) -> None:
+    """Snapshots and sidecars as another program leaves them: one JSON line a file, by venue and instant."""
+    key = [F.col("metadata.exchange_id").alias("venue"), F.col("metadata.timestamp").alias("instant")]
+    text = F.to_json(F.struct("metadata", "data"))
+    nested = envelope.envelopes(ticks).select(*key, text.alias("value"))
+    manifest = bind.manifest(ticks)
+    side = F.to_json(F.struct(F.col("run_id"), F.col("extraction_timestamp").cast("string").alias("timestamp"), F.col("loaded").cast("string").alias("loaded")))
+    sides = manifest.select(F.col("exchange_id").alias("venue"), F.col("extraction_timestamp").cast("bigint").alias("instant"), side.alias("value"))
+
+    def write(batches):
+        # Each row becomes one file in the shared folder, through Arrow's file systems.
+        from pyarrow import fs
+
+        for batch in batches:
+            for venue, instant, value, suffix in zip(*(batch.column(c).to_pylist() for c in ("venue", "instant", "value", "suffix")), strict=True):
+                store, path = fs.FileSystem.from_uri(root) if ":" in root.split("/")[0] else (fs.LocalFileSystem(), root)
+                store.create_dir(f"{path}/{venue}/raw", recursive=True)
+                with store.open_output_stream(f"{path}/{venue}/raw/tickers_{instant}{suffix}") as out:
+                    out.write(value.encode())
+            yield batch.slice(0, 0)
+
+    both = nested.withColumn("suffix", F.lit(".json")).unionByName(sides.withColumn("suffix", F.lit(".meta.json")))
+    both.mapInArrow(write, both.schema).write.format("noop").mode("overwrite").save()
+
+
+@query(
+    f"""WITH {MANIFEST}
+    SELECT 'files' AS what, count(*) AS n FROM manifest
+    UNION ALL SELECT 'loaded', count(*) FROM manifest WHERE NOT loaded
+    UNION ALL SELECT 'left', 0
+    UNION ALL SELECT 'rows', count(*) FROM latest ANTI JOIN loaded USING (exchange_id, extraction_timestamp)"""
+)
+def files_backlog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of another program: listed, paired with sidecars, chosen by flag, read, noted; then nothing is left."""
+    root = scratch_dir(spark, "files")
+    tickers = TickerTable(spark, f"{root}/tickers")
+    _write_files(bind.ticks(spark, sf_dir), f"{root}/landing")
+    listed = files.snapshot_manifest(spark, f"{root}/landing", multi_line=False)
+    loaded = load_files(spark, f"{root}/landing", tickers, "load-1", f"{root}/state", multi_line=False)
+    left = load_files(spark, f"{root}/landing", tickers, "load-2", f"{root}/state", multi_line=False)
+    return counts(files=listed, loaded=loaded, left=left, rows=tickers.read())
+
+
+@query(
+    f"""WITH {MANIFEST}
+    SELECT 'skipped' AS what, 2 AS n UNION ALL SELECT 'rows', count(*) FROM latest"""
+)
+def files_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A list of paths of which some are absent: the others are read."""
+    root = scratch_dir(spark, "absent")
+    ticks = bind.ticks(spark, sf_dir)
+    for name, part in (("a", bind.is_loaded(ticks)), ("b", ~bind.is_loaded(ticks))):
+        envelope.envelopes(ticks.filter(part)).write.json(f"{root}/{name}")
+    names = [f"{root}/{x}" for x in ("gone", "a", "never", "b")]
+    rows = flatten.transform(files.read_snapshots(spark, names, multi_line=False))
+    absent = spark.createDataFrame([(n,) for n in files.skipped(spark, names)], "name string")
+    return counts(skipped=absent, rows=rows)

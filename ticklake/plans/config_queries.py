@@ -26,9 +26,9 @@ from ticklake.sources.tables import read_table
     FROM configs WHERE NOT enabled"""
 )
 def config_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows a seeding adds where only the enabled venues are configured so far."""
+    """Rows a seeding adds where only the enabled venues are configured so far; the seed has each venue twice."""
     seed = bind.configs(spark, sf_dir)
-    return configs.to_insert(seed, configs.enabled(seed)).select(
+    return configs.to_insert(seed.unionByName(seed), configs.enabled(seed)).select(
         "exchange_id",
         "enabled",
         "extract_group_name",
@@ -68,11 +68,12 @@ def config_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     f"""WITH {CONFIGS}
-    SELECT count(*) FILTER (NOT enabled) AS inserted, count(*) FILTER (enabled) AS skipped FROM configs"""
+    SELECT count(*) FILTER (NOT enabled) AS inserted, count(*) + count(*) FILTER (enabled) AS skipped FROM configs"""
 )
 def config_seed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The seed has each venue twice: a new one is inserted once."""
     seed = bind.configs(spark, sf_dir)
-    return configs.seed_counts(seed, configs.enabled(seed))
+    return configs.seed_counts(seed.unionByName(seed), configs.enabled(seed))
 
 
 @query(f"WITH {CONFIGS} SELECT count(*) AS total, count(*) FILTER (enabled) AS enabled FROM configs")
@@ -135,8 +136,10 @@ def config_allow_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     WHERE v.fetch_all OR v.symbols IS NULL OR list_contains(v.symbols, t.symbol)"""
 )
 def config_symbol_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ticks the configuration asks for."""
+    """Ticks the configuration asks for; one venue is configured under an alias as well, which doesn't count."""
     ticks = bind.ticks(spark, sf_dir)
-    table = stored(bind.venue_configs(ticks), "venue_configs")
-    chosen = configs.configured_ticks(ticks, table)
+    rules = bind.venue_configs(ticks)
+    again = rules.filter("exchange_id = 'signup'").withColumn("exchange_id", F.lit("signups")).withColumn("fetch_all_tickers", F.lit(True))
+    table = stored(rules.unionByName(again), "venue_configs")
+    chosen = configs.configured_ticks(ticks, table, {"signups": "signup"})
     return chosen.select("tick_id", "exchange_id", "symbol", "last")

@@ -69,9 +69,8 @@ configs AS (
 
 TRADES = """
 trades AS (
-  SELECT (l_orderkey * 10 + l_linenumber) * 100000000
-           + floor(l_extendedprice / l_quantity * 100)::BIGINT AS tick_id,
-         l_returnflag AS exchange_id, 'P' || l_partkey AS symbol,
+  SELECT l_orderkey, l_linenumber, floor(l_extendedprice / l_quantity * 100)::BIGINT AS cents,
+         l_returnflag AS exchange_id, 'P' || l_partkey % 25 AS symbol,
          epoch_us(l_shipdate) // 1000 AS ticker_timestamp_ms,
          floor(l_extendedprice / l_quantity * 100) / 100.0::DOUBLE AS last,
          l_quantity AS base_volume

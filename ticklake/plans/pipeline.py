@@ -2,26 +2,32 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ticklake.operators.backlog import backlog
 from ticklake.operators.configs import configured_ticks
-from ticklake.operators.envelope import envelopes
+from ticklake.operators.envelope import SNAPSHOT_KEY, envelopes
 from ticklake.operators.flatten import transform
 from ticklake.operators.writers import TickerTable
-from ticklake.sources.lake import SnapshotLake
+from ticklake.session import existing, stored
+from ticklake.sources import files
+from ticklake.sources.lake import CORRUPT, VERSION_KEY, SnapshotLake
 
 
 def extract(ticks: DataFrame, lake: SnapshotLake, dataset: str, run_id: str, run_timestamp: int) -> None:
     """Land the ticks' snapshots."""
-    lake.land(envelopes(ticks), dataset, run_id, run_timestamp)
+    lake.land(envelopes(ticks), dataset, run_id, run_timestamp, keys=ticks.select(*SNAPSHOT_KEY))
 
 
 def extract_configured(
     ticks: DataFrame, configs: DataFrame, lake: SnapshotLake, dataset: str, run_id: str, run_timestamp: int
 ) -> None:
     """Land what the pipeline configuration asks for: enabled venues, all or listed symbols."""
-    extract(configured_ticks(ticks, configs), lake, dataset, run_id, run_timestamp)
+    extract(configured_ticks(ticks, stored(configs, "configs")), lake, dataset, run_id, run_timestamp)
 
 
 def load_backlog(
@@ -31,17 +37,32 @@ def load_backlog(
     style: str = "objects",
     by_flag: bool = False,
     recorded_at: int | None = None,
+    on_corrupt: str = "quarantine",
 ) -> DataFrame:
-    """Load what is missing: choose, transform, commit, and only then mark.
+    """Load what is missing: choose, transform, commit, and only then mark what was read.
 
     Returns the manifest rows that were loaded. A run that failed is repeated with its ``load_id``:
-    it takes the same snapshots again and replaces the rows it may have written.
+    it takes the same snapshots again and replaces the rows it may have written. Landed lines that cannot be
+    read are set aside (``on_corrupt="quarantine"``) or stop the load before anything is written (``"fail"``);
+    their snapshots, and those whose folder is gone, stay unmarked.
     """
-    target = None if by_flag else table.read()
+    target = None if by_flag else (table.recent() if style == "objects" else table.read())
     chosen = lake.plan(load_id, backlog(lake.manifest(), target, style))
-    table.append(transform(lake.snapshots(chosen)), load_id)
-    lake.mark_loaded(chosen, recorded_at)
-    return chosen
+    scanned = lake.scan(chosen)
+    # Which snapshots are whole, and what is broken: small, and written down, as it is used twice.
+    # With the data in view, so that a line is judged here as it is below.
+    seen = stored(scanned.select(*VERSION_KEY, CORRUPT, F.size("data").alias("symbols")).distinct(), "seen")
+    broken = seen.filter(F.col(CORRUPT).isNotNull())
+    if not broken.isEmpty():
+        if on_corrupt == "fail":
+            raise ValueError(f"Load {load_id}: landed lines cannot be read, {broken.count()} of them")
+        lake.set_aside(broken, load_id)
+    table.append(transform(scanned.filter(F.col(CORRUPT).isNull()).select("metadata", "data")), load_id)
+    same = [F.col(f"c.{c}").eqNullSafe(F.col(f"s.{c}")) for c in VERSION_KEY]
+    whole = seen.filter(F.col(CORRUPT).isNull())
+    loaded = chosen.alias("c").join(whole.alias("s"), reduce(and_, same), "left_semi")
+    lake.mark_loaded(loaded, recorded_at)
+    return loaded
 
 
 def load_one(
@@ -53,3 +74,42 @@ def load_one(
 ) -> DataFrame:
     """Ticker rows of one given snapshot."""
     return transform(lake.snapshot(dataset, exchange_id, extraction_timestamp))
+
+
+def load_files(
+    spark: SparkSession,
+    root: str,
+    table: TickerTable,
+    load_id: str,
+    state: str,
+    style: str = "files",
+    by_flag: bool = True,
+    multi_line: bool = True,
+) -> DataFrame:
+    """Load the snapshot files below ``root`` that other programs wrote and that are not loaded yet.
+
+    Files are listed, paired with their sidecars and chosen by flag or by the table; only the chosen are read.
+    Sidecars belong to their writers: what was loaded is noted below ``state``, and a note overrules a sidecar.
+    Unreadable files are set aside there. Returns the files that were loaded; as with ``load_backlog`` a
+    repeated ``load_id`` takes the same files again.
+    """
+    notes = f"{state}/loaded"
+    there, _ = existing(spark, [notes])
+    known = spark.read.schema("file_path string").parquet(notes) if there else spark.createDataFrame([], "file_path string")
+    noted = known.distinct().withColumn("noted", F.lit(True))
+    manifest = files.snapshot_manifest(spark, root, multi_line=multi_line).join(noted, "file_path", "left")
+    manifest = manifest.withColumn("loaded", F.when(F.col("noted"), "true").otherwise(F.col("loaded"))).drop("noted")
+    plan = f"{state}/plans/load_id={load_id}"
+    if not existing(spark, [plan])[0]:
+        backlog(manifest, None if by_flag else table.read(), style).write.parquet(plan)
+    chosen = spark.read.schema(manifest.schema).parquet(plan)
+    # Spark takes paths from the driver; there are as many as files to load.
+    names = [r.file_path for r in chosen.select("file_path").collect()]
+    scanned = files.read_snapshots(spark, names, multi_line=multi_line, on_corrupt="quarantine")
+    good, bad = files.split_corrupt(scanned)
+    table.append(transform(good.select("metadata", "data")), load_id)
+    bad.write.mode("overwrite").parquet(f"{state}/quarantine/load_id={load_id}")
+    read = good.select(F.regexp_replace("file_path", "^file:/+", "file:/").alias("file_path")).distinct()
+    loaded = stored(chosen.join(read, "file_path", "left_semi"), "loaded")
+    loaded.select("file_path").write.mode("overwrite").parquet(f"{notes}/load_id={load_id}")
+    return loaded

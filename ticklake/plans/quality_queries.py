@@ -56,13 +56,15 @@ def quality_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 BARS = """
-    SELECT {bucket} AS "timestamp", arg_min(last, tick_id) AS open, max(last) AS high,
-           min(last) AS low, arg_max(last, tick_id) AS close, sum(base_volume) AS volume,
+    SELECT {bucket} AS "timestamp", first(last ORDER BY {order}) AS open, max(last) AS high,
+           min(last) AS low, last(last ORDER BY {order}) AS close, sum(base_volume) AS volume,
            exchange_id AS exchange, symbol
     FROM {source} GROUP BY 1, exchange_id, symbol"""
+BY_ARRIVAL = "ticker_timestamp_ms, tick_id"
+BY_LINE = "ticker_timestamp_ms, l_orderkey, l_linenumber, cents"
 
 
-@query(f"WITH {TICKS} " + BARS.format(bucket="ticker_timestamp_ms // 21600000 * 21600000", source="ticks"))
+@query(f"WITH {TICKS} " + BARS.format(bucket="ticker_timestamp_ms // 21600000 * 21600000", source="ticks", order=BY_ARRIVAL))
 def tick_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Six-hour candles."""
     return bars(bind.ticks(spark, sf_dir), 6 * HOUR_MS)
@@ -70,17 +72,18 @@ def tick_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     f"WITH {TRADES} "
-    + BARS.format(bucket="ticker_timestamp_ms // 2592000000 * 2592000000", source="trades")
+    + BARS.format(bucket="ticker_timestamp_ms // 2592000000 * 2592000000", source="trades", order=BY_LINE)
 )
 def trade_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Thirty-day candles of the larger trade table."""
-    return bars(bind.trades(spark, sf_dir), 30 * DAY_MS)
+    order = ("ticker_timestamp_ms", "l_orderkey", "l_linenumber", "cents")
+    return bars(bind.trades(spark, sf_dir), 30 * DAY_MS, order)
 
 
 @query(
     f"""WITH {TICKS},
     shifted AS (SELECT tick_id, exchange_id, symbol, ticker_timestamp_ms, last - 5 AS last, base_volume FROM ticks),
-    bars AS ({BARS.format(bucket="ticker_timestamp_ms // 21600000 * 21600000", source="shifted")})
+    bars AS ({BARS.format(bucket="ticker_timestamp_ms // 21600000 * 21600000", source="shifted", order=BY_ARRIVAL)})
     SELECT 'timestamp_present' AS rule, count(*) AS checked, 0::BIGINT AS violations FROM bars
     """
     + " ".join(

@@ -141,7 +141,8 @@ def corrupt_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     good, bad = files.split_corrupt(scanned)
     tickers = F.sum(F.size("data")).cast("bigint").alias("tickers")
     count = F.count(F.lit(1)).alias("snapshots")
-    readable = good.agg(count, tickers).select(F.lit("readable").alias("state"), "snapshots", "tickers")
+    # A snapshot may be spread over several lines.
+    readable = good.agg(F.count_distinct("metadata").alias("snapshots"), tickers).select(F.lit("readable").alias("state"), "snapshots", "tickers")
     corrupt = bad.agg(count).select(
         F.lit("corrupt").alias("state"), "snapshots", F.lit(None).cast("bigint").alias("tickers")
     )
@@ -157,10 +158,8 @@ def corrupt_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 def latest_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Newest snapshot of each venue, by its instant and by its file name."""
     manifest = bind.manifest(bind.ticks(spark, sf_dir))
-    by_time = metrics.latest_metadata(manifest)
-    by_name = metrics.latest_metadata(manifest, F.col("snapshot_path"))
-    return by_time.select("exchange_id", F.col("extraction_timestamp").alias("newest_ms")).join(
-        by_name.select("exchange_id", F.col("snapshot_path").alias("last_name")), "exchange_id"
+    return manifest.groupBy("exchange_id").agg(
+        F.max("extraction_timestamp").alias("newest_ms"), F.max("snapshot_path").alias("last_name")
     )
 
 
@@ -206,12 +205,18 @@ def drop_all_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten.drop_all_null(silent)
 
 
-@query(f"WITH {LATEST} SELECT {TICKER_COLUMNS} FROM latest WHERE extraction_timestamp IS NULL")
+@query(
+    f"""WITH {LATEST}
+    SELECT count(DISTINCT (exchange_id, extraction_timestamp)) AS snapshots, 0 AS "rows", 13 AS columns FROM latest"""
+)
 def empty_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Snapshots without any ticker give no rows, but all columns."""
     nested = envelope.envelopes(bind.ticks(spark, sf_dir))
     emptied = nested.withColumn("data", F.map_filter("data", lambda k, v: v["last"] < 0))
-    return flatten.transform(emptied)
+    flat = flatten.transform(emptied)
+    return emptied.agg(F.count_distinct("metadata").alias("snapshots")).join(
+        flat.agg(F.count(F.lit(1)).cast("int").alias("rows"), F.lit(len(flat.columns)).alias("columns")), F.lit(True)
+    )
 
 
 @query(

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ticklake.contracts import OHLCV
 from ticklake.operators import envelope, flatten
 from ticklake.operators.writers import TickerTable
+from ticklake.plans.backlog_queries import counts
 from ticklake.plans.domain_sql import LATEST, MANIFEST, TICKER_COLUMNS
 from ticklake.plans.quality_queries import BARS
 from ticklake.plans.registry import query
@@ -71,8 +73,9 @@ def stream_late_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     f"""WITH {LATEST},
-    timed AS (SELECT * REPLACE (ticker_timestamp_ms AS tick_id) FROM latest),
-    bars AS ({BARS.format(bucket="ticker_timestamp_ms // 21600000 * 21600000", source="timed")})
+    bars AS ({BARS.format(
+        bucket="ticker_timestamp_ms // 21600000 * 21600000", source="latest",
+        order="ticker_timestamp_ms, extraction_timestamp")})
     SELECT * FROM bars
     WHERE "timestamp" + 21600000 <= (SELECT max(ticker_timestamp_ms) FROM latest) - 21600000"""
 )
@@ -88,3 +91,50 @@ def stream_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     ingest.start(candles, write, f"{root}/checkpoint").awaitTermination()
     return spark.read.schema(OHLCV.struct).parquet(f"{root}/bars").select(*OHLCV.columns)
+
+
+@query(LATEST_TICKERS)
+def stream_two_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two landing zones feed one table, each with its own checkpoint; neither replaces the other's rows."""
+    root = scratch_dir(spark, "zones")
+    ticks = bind.ticks(spark, sf_dir)
+    table = TickerTable(spark, f"{root}/tickers")
+    for zone, part in (("a", bind.is_loaded(ticks)), ("b", ~bind.is_loaded(ticks))):
+        _land(ticks.filter(part), f"{root}/{zone}")
+        ingest.ingest(spark, f"{root}/{zone}", table, f"{root}/checkpoint-{zone}").awaitTermination()
+    return table.read().drop("date")
+
+
+@query(
+    f"""WITH {MANIFEST}
+    SELECT 'broken' AS what, count(*) AS n FROM manifest WHERE NOT loaded
+    UNION ALL SELECT 'rows', count(*) FROM latest SEMI JOIN loaded USING (exchange_id, extraction_timestamp)"""
+)
+def stream_corrupt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines cut off in the landing zone are set aside, the others arrive."""
+    root = scratch_dir(spark, "cut")
+    ticks = bind.ticks(spark, sf_dir)
+    table = TickerTable(spark, f"{root}/tickers")
+    _land(ticks.filter(bind.is_loaded(ticks)), f"{root}/landing")
+    text = F.to_json(F.struct("metadata", "data"))
+    half = F.substring(text, F.lit(1), F.floor(F.length(text) / 2).cast("int")).alias("value")
+    cut = envelope.envelopes(ticks.filter(~bind.is_loaded(ticks))).select(half)
+    cut.write.text(f"{root}/landing/cut")
+    query = ingest.ingest(spark, f"{root}/landing", table, f"{root}/checkpoint", quarantine=f"{root}/quarantine", glob="*.{json,txt}")
+    query.awaitTermination()
+    broken = spark.read.schema("_corrupt_record string").parquet(f"{root}/quarantine")
+    return counts(broken=broken, rows=table.read())
+
+
+@query(LATEST_TICKERS)
+def stream_timed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A query that polls every second, stopped once it has taken what is there."""
+    root = scratch_dir(spark, "timed")
+    table = TickerTable(spark, f"{root}/tickers")
+    _land(bind.ticks(spark, sf_dir), f"{root}/landing")
+    query = ingest.ingest(spark, f"{root}/landing", table, f"{root}/checkpoint", every="1 second")
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return table.read().drop("date")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,3 +60,26 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     path = scratch_dir(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def existing(spark: SparkSession, names: Sequence[str]) -> tuple[list[str], list[str]]:
+    """(there, absent): file or folder names, patterns among them, by whether anything is there now."""
+    there, absent = [], []
+    conf = spark._jsc.hadoopConfiguration()
+    for name in names:
+        place = spark._jvm.org.apache.hadoop.fs.Path(name)
+        try:
+            found = place.getFileSystem(conf).globStatus(place)
+        except Exception as error:  # an absent parent folder may be reported as an error
+            if "FileNotFound" not in str(error):
+                raise
+            found = None
+        (there if found else absent).append(name)
+    return there, absent
+
+
+def folders(spark: SparkSession, pattern: str) -> list[str]:
+    """Names of what matches a pattern; nothing is read."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = place.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(place)
+    return [f.getPath().toString() for f in found or []]

@@ -144,16 +144,17 @@ def venue_configs(ticks: DataFrame) -> DataFrame:
 
 
 def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``lineitem`` as a tick table: parts are symbols, return flags are venues.
+    """``lineitem`` as a tick table: groups of parts are symbols, return flags are venues.
 
-    Line numbers repeat within an order, so the price in cents completes the arrival number.
+    Line numbers repeat within an order, so the price in cents completes the arrival order.
     """
     cents = F.floor(F.col("l_extendedprice") / F.col("l_quantity") * 100)
-    line = F.col("l_orderkey") * 10 + F.col("l_linenumber")
     return table(spark, sf_dir, "lineitem").select(
-        (line * 100_000_000 + cents).alias("tick_id"),
+        "l_orderkey",
+        "l_linenumber",
+        cents.alias("cents"),
         F.col("l_returnflag").alias("exchange_id"),
-        F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("symbol"),
+        F.concat(F.lit("P"), F.pmod("l_partkey", F.lit(25)).cast("string")).alias("symbol"),
         F.unix_millis(F.col("l_shipdate").cast("timestamp")).alias("ticker_timestamp_ms"),
         (cents / 100.0).alias("last"),
         F.col("l_quantity").alias("base_volume"),

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from ticklake.contracts import SIDECAR, SNAPSHOT, STRING
 from ticklake.functions import paths
 from ticklake.functions.times import truncated_ms
+from ticklake.session import existing
 
 CORRUPT = "_corrupt_record"
 
@@ -33,22 +34,20 @@ def _scan(
         .option("ignoreMissingFiles", on_missing == "empty")
     )
     source = F.col("_metadata.file_path").alias("file_path")
-    try:
-        if on_corrupt == "quarantine":
-            # Parsed from text, since a JSON scan refuses to filter on the corrupt text alone.
-            text = reader.text(path, wholetext=multi_line).select("value", source)
-            with_text = T.StructType([*schema.fields, T.StructField(CORRUPT, STRING)])
-            options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-            parsed = F.from_json("value", with_text, options).alias("parsed")
-            return text.select(parsed, "file_path").select("parsed.*", "file_path")
-        strict = reader.schema(schema).option("multiLine", multi_line).option("mode", "FAILFAST")
-        return strict.json(path).select("*", source)
-    except AnalysisException as error:
-        if on_missing == "empty" and _missing(error):
+    if on_missing == "empty":
+        path, _ = existing(spark, [path] if isinstance(path, str) else path)
+        if not path:
             extra = [CORRUPT, "file_path"] if on_corrupt == "quarantine" else ["file_path"]
-            empty = T.StructType([*schema.fields, *[T.StructField(c, STRING) for c in extra]])
-            return spark.createDataFrame([], empty)
-        raise
+            return spark.createDataFrame([], T.StructType([*schema.fields, *[T.StructField(c, STRING) for c in extra]]))
+    if on_corrupt == "quarantine":
+        # Parsed from text, since a JSON scan refuses to filter on the corrupt text alone.
+        text = reader.text(path, wholetext=multi_line).select("value", source)
+        with_text = T.StructType([*schema.fields, T.StructField(CORRUPT, STRING)])
+        options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+        parsed = F.from_json("value", with_text, options).alias("parsed")
+        return text.select(parsed, "file_path").select("parsed.*", "file_path")
+    strict = reader.schema(schema).option("multiLine", multi_line).option("mode", "FAILFAST")
+    return strict.json(path).select("*", source)
 
 
 def read_snapshots(
@@ -62,7 +61,8 @@ def read_snapshots(
 ) -> DataFrame:
     """All snapshot files below ``path`` as ``(metadata, data, file_path)``; sidecars are left out.
 
-    ``on_missing``: ``empty`` for a backlog, ``error`` for one given snapshot. ``on_corrupt``:
+    ``on_missing``: ``empty`` for a backlog, where each absent path is left out and the others are read
+    (``skipped`` names them), ``error`` for one given snapshot. ``on_corrupt``:
     ``fail``, or ``quarantine`` to keep the text of unreadable records in ``_corrupt_record``.
     ``multi_line`` reads one object per file, each in one task; JSON lines are split instead.
     """
@@ -70,6 +70,11 @@ def read_snapshots(
     return found.filter(~paths.is_sidecar(F.col("file_path")))
 
 
+def skipped(spark: SparkSession, names: list[str]) -> list[str]:
+    """Those of the paths that a backlog would leave out because nothing is there."""
+    return existing(spark, names)[1]
+
+
 def split_corrupt(scanned: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(readable, unreadable) parts of a scan made with ``on_corrupt="quarantine"``."""
     good = scanned.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
@@ -110,3 +115,25 @@ def list_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     return found.select(
         F.col("path").alias("file_path"), "length", F.col("modificationTime").alias("modified_at")
     )
+
+
+def snapshot_manifest(spark: SparkSession, root: str, *, multi_line: bool = True) -> DataFrame:
+    """Data files below ``root`` with what is known of them: path, venue, instant, run and load flag.
+
+    The venue is the first folder below ``root``. The instant comes from the sidecar, or from the name where
+    there is none. Only names are listed and sidecars read, no data file.
+    """
+    listed = list_files(spark, root, "*.json").filter(~paths.is_sidecar(F.col("file_path")))
+    sidecars = read_sidecars(spark, root, multi_line=multi_line)
+    # One spelling of a path's scheme on both sides.
+    plain = F.regexp_replace("file_path", "^file:/+", "file:/")
+    paired = pair(listed.withColumn("file_path", plain), sidecars.withColumn("file_path", plain))
+    named = F.regexp_extract("file_path", r"_(\d+)\.json$", 1)
+    below = F.regexp_extract("file_path", r"\Q" + root.rstrip("/").removeprefix("file:").lstrip("/") + r"\E/([^/]+)/", 1)
+    return paired.select(
+        "file_path",
+        F.nullif(below, F.lit("")).alias("exchange_id"),
+        F.coalesce("extraction_timestamp", F.try_to_number(named, F.lit("9" * 18)).cast("bigint")).alias("extraction_timestamp"),
+        "run_id",
+        "loaded",
+    )

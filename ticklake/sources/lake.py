@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import time
 from collections.abc import Callable
-from datetime import date, timedelta
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -13,37 +13,45 @@ from pyspark.sql import types as T
 
 from ticklake.contracts import LONG, MANIFEST, SNAPSHOT, STRING
 from ticklake.functions.paths import asset_path, snapshot_path
-from ticklake.functions.times import DAY_MS, to_epoch_ms, utc_date
+from ticklake.functions.times import to_epoch_ms
 from ticklake.operators.flatten import is_snapshot
 from ticklake.operators.reduce import latest_by
+from ticklake.session import existing, stored
 
-LAYOUT = ["dataset", "run_date", "run_timestamp", "exchange_id"]
+CORRUPT = "_corrupt_record"
+RUN = ["dataset", "run_timestamp", "run_id"]
 _STORED = T.StructType(
     [
         *SNAPSHOT.fields,
+        T.StructField(CORRUPT, STRING),
         T.StructField("dataset", STRING),
-        T.StructField("run_date", T.DateType()),
         T.StructField("run_timestamp", LONG),
+        T.StructField("run_id", STRING),
         T.StructField("exchange_id", STRING),
     ]
 )
-_PLANNED = T.StructType([*MANIFEST.struct.fields, T.StructField("load_id", STRING)])
-_LOGGED = T.StructType([*MANIFEST.struct.fields, T.StructField("recorded_at", LONG)])
-
-# Beyond this many days folders are not named one by one, the whole lake is listed and then pruned.
-LISTED_DAYS = 400
+_LOGGED = T.StructType(
+    [*MANIFEST.struct.fields, T.StructField("withdrawn", T.BooleanType()), T.StructField("recorded_at", LONG)]
+)
 
 # The same snapshot may be landed by several runs.
-VERSION_KEY = ["dataset", "exchange_id", "extraction_timestamp", "run_timestamp"]
+VERSION_KEY = ["dataset", "exchange_id", "extraction_timestamp", "run_timestamp", "run_id"]
+_PLAIN = re.compile(r"[A-Za-z0-9][A-Za-z0-9._-]*")
 
 
-class SnapshotLake:
-    """Append-only JSON lines below ``root``, partitioned by dataset, landing run and venue.
+def _plain(name: str) -> str:
+    """Run and load ids and datasets become folder names."""
+    if not _PLAIN.fullmatch(name):
+        raise ValueError(f"Letters, digits, dots, dashes and underscores only: {name!r}")
+    return name
 
-    Readers that know which runs they need list only the folders of those days.
 
-    Landing a run again replaces what that run landed. The manifest is a log: a later record about
-    a snapshot overrules an earlier one.
+class SnapshotLake:
+    """JSON lines below ``root``, a folder for each dataset, run (instant and id) and venue.
+
+    Landing a run again replaces the run as a whole: snapshots it no longer has are withdrawn from
+    the manifest as well. The manifest is a log: a later record about a version of a snapshot
+    overrules an earlier one, and the version of the latest run is the snapshot's state.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -51,6 +59,10 @@ class SnapshotLake:
         self.snapshot_root = f"{root.rstrip('/')}/snapshots"
         self.manifest_root = f"{root.rstrip('/')}/manifest"
         self.loads_root = f"{root.rstrip('/')}/loads"
+        self.quarantine_root = f"{root.rstrip('/')}/quarantine"
+
+    def _run_folder(self, dataset: str, run_timestamp: int, run_id: str) -> str:
+        return f"{self.snapshot_root}/dataset={dataset}/run_timestamp={run_timestamp}/run_id={run_id}"
 
     def land(
         self,
@@ -59,42 +71,42 @@ class SnapshotLake:
         run_id: str,
         run_timestamp: int,
         recorded_at: int | None = None,
+        keys: DataFrame | None = None,
     ) -> None:
-        """Write snapshots, then record them as not loaded, also those that were loaded before."""
+        """Write snapshots, then record them as not loaded, also those that were loaded before.
+
+        ``keys`` are the snapshots' venues and instants, where the caller knows them more cheaply than by
+        reading back what this run wrote.
+        """
         if not is_snapshot(snapshots):
             raise TypeError(f"Snapshots expected, got {snapshots.schema.simpleString()}")
-        placed = snapshots.select(
-            "metadata",
-            "data",
-            F.lit(dataset).alias("dataset"),
-            utc_date(F.lit(run_timestamp).cast("bigint")).alias("run_date"),
-            F.lit(run_timestamp).cast("bigint").alias("run_timestamp"),
-            F.col("metadata.exchange_id").alias("exchange_id"),
-        )
-        (
-            placed.hint("rebalance", *[F.col(c) for c in LAYOUT])
-            .write.partitionBy(*LAYOUT)
-            .mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .json(self.snapshot_root)
-        )
-        run = (F.col("dataset") == dataset) & (F.col("run_timestamp") == run_timestamp)
-        landed = self._stored(run_timestamp, run_timestamp).filter(run).select(*VERSION_KEY).distinct()
-        asset = asset_path(F.concat_ws("_", "exchange_id", "dataset"))
-        self._record(
-            landed.select(
-                snapshot_path(asset, F.col("extraction_timestamp")).alias("snapshot_path"),
-                "dataset",
-                "exchange_id",
-                "extraction_timestamp",
-                F.lit(run_id).alias("run_id"),
-                "run_timestamp",
-                F.lit(False).alias("loaded"),
-            ),
-            recorded_at,
+        folder = self._run_folder(_plain(dataset), run_timestamp, _plain(run_id))
+        placed = snapshots.select("metadata", "data", F.col("metadata.exchange_id").alias("exchange_id"))
+        placed.hint("rebalance", F.col("exchange_id")).write.partitionBy("exchange_id").mode("overwrite").json(folder)
+        run = {
+            "dataset": F.lit(dataset),
+            "run_timestamp": F.lit(run_timestamp).cast("bigint"),
+            "run_id": F.lit(run_id),
+        }
+        if keys is None:
+            keys = self._stored([folder]).filter(F.col(CORRUPT).isNull())
+        landed = keys.select("exchange_id", "extraction_timestamp").distinct()
+        before = self._log().filter((F.col("run_id") == run_id) & (F.col("run_timestamp") == run_timestamp))
+        before = before.filter(F.col("dataset") == dataset).select("exchange_id", "extraction_timestamp").distinct()
+        state = landed.withColumn("withdrawn", F.lit(False)).unionByName(before.withColumn("withdrawn", F.lit(True)))
+        state = state.groupBy("exchange_id", "extraction_timestamp").agg(F.min("withdrawn").alias("withdrawn"))
+        asset = asset_path(F.concat_ws("_", "exchange_id", F.lit(dataset)))
+        entries = state.select(
+            snapshot_path(asset, F.col("extraction_timestamp")).alias("snapshot_path"),
+            "exchange_id",
+            "extraction_timestamp",
+            *[value.alias(name) for name, value in run.items()],
+            F.lit(False).alias("loaded"),
+            "withdrawn",
         )
+        self._record(entries.select(*MANIFEST.columns, "withdrawn"), recorded_at)
 
-    def _scan(self, reader: Callable[[], DataFrame], schema: T.StructType) -> DataFrame:
+    def _scan(self, reader: Callable[[], DataFrame], schema: T.StructType | str) -> DataFrame:
         """A part of the lake; what was never written reads as empty."""
         try:
             return reader()
@@ -103,18 +115,13 @@ class SnapshotLake:
                 raise
             return self.spark.createDataFrame([], schema)
 
-    def _stored(self, first_run: int | None = None, last_run: int | None = None) -> DataFrame:
-        """Landed snapshots of all runs, or of the runs in a range."""
-        where = self.snapshot_root
-        days = range(0) if first_run is None else range(first_run // DAY_MS, last_run // DAY_MS + 1)
-        if 0 < len(days) <= LISTED_DAYS:
-            names = ",".join(str(date(1970, 1, 1) + timedelta(days=d)) for d in days)
-            where = f"{where}/dataset=*/run_date={{{names}}}"
+    def _stored(self, where: list[str] | None = None) -> DataFrame:
+        """Landed snapshots of all runs, or of the runs in these folders, with the text of unreadable lines."""
         read = self.spark.read.schema(_STORED).option("basePath", self.snapshot_root)
-        stored = self._scan(lambda: read.json(where), _STORED)
-        if first_run is not None:
-            stored = stored.filter(F.col("run_timestamp").between(first_run, last_run))
-        return stored.withColumn("extraction_timestamp", to_epoch_ms(F.col("metadata.timestamp")))
+        read = read.option("columnNameOfCorruptRecord", CORRUPT)
+        there, _ = existing(self.spark, [self.snapshot_root] if where is None else where)
+        lines = read.json(there) if there else self.spark.createDataFrame([], _STORED)
+        return lines.withColumn("extraction_timestamp", to_epoch_ms(F.col("metadata.timestamp")))
 
     def _record(self, entries: DataFrame, recorded_at: int | None) -> None:
         """Add to the log. Records are ordered by ``recorded_at``, by default the time of writing."""
@@ -122,36 +129,57 @@ class SnapshotLake:
         logged = entries.withColumn("recorded_at", F.lit(at).cast("bigint"))
         logged.write.mode("append").parquet(self.manifest_root)
 
-    def manifest(self) -> DataFrame:
-        """Current state: one row per snapshot, from its last record."""
+    def _log(self) -> DataFrame:
         read = self.spark.read.schema(_LOGGED)
-        log = self._scan(lambda: read.parquet(self.manifest_root), _LOGGED)
-        return latest_by(log, list(MANIFEST.key), ["run_timestamp", "recorded_at", "loaded"]).select(
-            *MANIFEST.columns
-        )
-
-    def snapshots(self, chosen: DataFrame | None = None) -> DataFrame:
-        """``(metadata, data)`` of the chosen manifest rows (all by default), in their last version.
+        return self._scan(lambda: read.parquet(self.manifest_root), _LOGGED)
 
-        ``chosen`` should be a stored table, as ``plan`` returns it: its size is then known when the
-        join is planned, and the landed snapshots need no shuffle.
+    def manifest(self) -> DataFrame:
+        """Current state: one row per snapshot, from the last record of its latest version."""
+        versions = latest_by(self._log(), VERSION_KEY, ["recorded_at", "loaded"])
+        standing = versions.filter(~F.coalesce("withdrawn", F.lit(False)))
+        return latest_by(standing, list(MANIFEST.key), ["run_timestamp", "run_id"]).select(*MANIFEST.columns)
+
+    def compact_manifest(self) -> None:
+        """Write the manifest's log anew with the last record of each version; not while a landing or load runs."""
+        kept = stored(latest_by(self._log(), VERSION_KEY, ["recorded_at", "loaded"]).filter(~F.coalesce("withdrawn", F.lit(False))), "manifest")
+        kept.write.mode("overwrite").parquet(self.manifest_root)
+
+    def scan(self, chosen: DataFrame | None = None) -> DataFrame:
+        """Lines of the runs of the chosen manifest rows (all by default): metadata, data, version key, corrupt text.
+
+        Only those runs' folders are listed and read. A folder that is gone is left out; its snapshots are then
+        missing from the result. Unreadable lines have their text in ``_corrupt_record`` and no other value but
+        their folder's. ``chosen`` should be a stored table, as ``plan`` returns it.
         """
         if chosen is None:
-            chosen, stored = self.manifest(), self._stored()
+            chosen, found = self.manifest(), self._stored()
         else:
-            run = F.col("run_timestamp")
-            first_run, last_run = chosen.agg(F.min(run), F.max(run)).first()
-            if first_run is None:
-                return self.spark.createDataFrame([], SNAPSHOT)
-            stored = self._stored(first_run, last_run)
+            # One row per landing run; a plan names few.
+            runs = chosen.select(*RUN).distinct().collect()
+            found = self._stored([self._run_folder(*r) for r in runs]) if runs else self._stored([])
         # A snapshot may lack its venue or instant, so those two compare NULLs as equal.
-        same = (F.col("s.dataset") == F.col("c.dataset")) & (
-            F.col("s.run_timestamp") == F.col("c.run_timestamp")
-        )
-        for c in ("exchange_id", "extraction_timestamp"):
-            same = same & F.col(f"s.{c}").eqNullSafe(F.col(f"c.{c}"))
-        versions = chosen.select(*VERSION_KEY)
-        return stored.alias("s").join(versions.alias("c"), same, "left_semi").select("metadata", "data")
+        same = F.lit(True)
+        for c in VERSION_KEY:
+            equal = F.col(f"s.{c}").eqNullSafe(F.col(f"c.{c}")) if c in ("exchange_id", "extraction_timestamp") else F.col(f"s.{c}") == F.col(f"c.{c}")
+            same = same & equal
+        good = found.filter(F.col(CORRUPT).isNull())
+        bad = found.filter(F.col(CORRUPT).isNotNull())
+        columns = ["metadata", "data", *VERSION_KEY, CORRUPT]
+        kept = good.alias("s").join(chosen.select(*VERSION_KEY).alias("c"), same, "left_semi")
+        return kept.select(*columns).unionByName(bad.select(*columns))
+
+    def snapshots(self, chosen: DataFrame | None = None) -> DataFrame:
+        """``(metadata, data)`` of the chosen manifest rows (all by default), in their last version; readable ones."""
+        return self.scan(chosen).filter(F.col(CORRUPT).isNull()).select("metadata", "data")
+
+    def set_aside(self, lines: DataFrame, load_id: str) -> None:
+        """Keep the text of unreadable lines for inspection, once per load."""
+        lines.select(*RUN, "exchange_id", CORRUPT).write.mode("overwrite").parquet(f"{self.quarantine_root}/load_id={_plain(load_id)}")
+
+    def quarantined(self) -> DataFrame:
+        schema = "dataset string, run_timestamp long, run_id string, exchange_id string, _corrupt_record string, load_id string"
+        read = self.spark.read.schema(schema)
+        return self._scan(lambda: read.parquet(self.quarantine_root), schema)
 
     def snapshot(self, dataset: str, exchange_id: str, extraction_timestamp: int) -> DataFrame:
         """One given snapshot; that it is not there is an error."""
@@ -173,25 +201,20 @@ class SnapshotLake:
 
     def mark_loaded(self, entries: DataFrame, recorded_at: int | None = None) -> None:
         """Record manifest rows as loaded, after their rows are committed. Repeating it is harmless."""
-        self._record(
-            entries.withColumn("loaded", F.lit(True)).select(*MANIFEST.columns), recorded_at
-        )
+        done = entries.withColumn("loaded", F.lit(True)).withColumn("withdrawn", F.lit(False))
+        self._record(done.select(*MANIFEST.columns, "withdrawn"), recorded_at)
+
+    def _plan_folder(self, load_id: str) -> str:
+        return f"{self.loads_root}/load_id={_plain(load_id)}"
 
     def planned(self, load_id: str) -> DataFrame:
-        """The manifest rows a load set out to load."""
-        read = self.spark.read.schema(_PLANNED)
-        plans = self._scan(lambda: read.parquet(self.loads_root), _PLANNED)
-        return plans.filter(F.col("load_id") == load_id).select(*MANIFEST.columns)
+        """The manifest rows a load set out to load, read by its own folder."""
+        read = self.spark.read.schema(MANIFEST.struct)
+        return self._scan(lambda: read.parquet(self._plan_folder(load_id)), MANIFEST.struct)
 
     def plan(self, load_id: str, chosen: DataFrame) -> DataFrame:
         """Fix what a load takes, before anything is written. A repeated load keeps its first plan,
         so it rewrites exactly what it wrote before."""
         if self.planned(load_id).isEmpty():
-            (
-                chosen.select(*MANIFEST.columns, F.lit(load_id).alias("load_id"))
-                .write.partitionBy("load_id")
-                .mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .parquet(self.loads_root)
-            )
+            chosen.select(*MANIFEST.columns).write.mode("overwrite").parquet(self._plan_folder(load_id))
         return self.planned(load_id)

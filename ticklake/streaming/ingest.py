@@ -6,22 +6,39 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ticklake.contracts import SNAPSHOT, TICKER
+from ticklake.operators.bars import chronological
 from ticklake.operators.flatten import transform
 from ticklake.operators.writers import TickerTable
+from ticklake.sources.files import CORRUPT
 
 WATERMARK = "6 hours"
 DEDUP_SALTS = 16
 
 
-def stream_snapshots(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
-    """JSON-lines snapshots as they arrive; the schema is given, never inferred."""
+def stream_snapshots(
+    spark: SparkSession,
+    path: str,
+    files_per_trigger: int | None = None,
+    on_corrupt: str = "fail",
+    glob: str = "*.json",
+) -> DataFrame:
+    """JSON-lines snapshots as they arrive; the schema is given, never inferred.
+
+    A line that cannot be read stops the stream, or with ``on_corrupt="quarantine"`` comes along as its text in
+    ``_corrupt_record``, all else NULL.
+    """
+    keep = on_corrupt == "quarantine"
+    schema = T.StructType([*SNAPSHOT.fields, T.StructField(CORRUPT, T.StringType())]) if keep else SNAPSHOT
     reader = (
-        spark.readStream.schema(SNAPSHOT)
+        spark.readStream.schema(schema)
         .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.json")
+        .option("pathGlobFilter", glob)
+        .option("mode", "PERMISSIVE" if keep else "FAILFAST")
+        .option("columnNameOfCorruptRecord", CORRUPT)
     )
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
@@ -63,6 +80,16 @@ def start(
     return writer.start()
 
 
+def batch_load_id(batch: DataFrame, n: int, name: str = "ingest") -> str:
+    """Load id of a micro-batch: its query's own id, which lives in the checkpoint, and its number.
+
+    A batch replayed after a failure has the same id and replaces itself; other streams, and the same one
+    with a new checkpoint, have others and add to the table.
+    """
+    query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return f"{name}-{query}-{n:08d}"
+
+
 def start_ingest(
     rows: DataFrame,
     table: TickerTable,
@@ -70,9 +97,8 @@ def start_ingest(
     name: str = "ingest",
     every: str | None = None,
 ) -> StreamingQuery:
-    """Append each micro-batch to the table under its own load id, so that a batch replayed after a
-    failure replaces itself."""
-    return start(rows, lambda batch, n: table.append(batch, f"{name}-{n:08d}"), checkpoint, every)
+    """Append each micro-batch of ticker rows to the table under its own load id."""
+    return start(rows, lambda batch, n: table.append(batch, batch_load_id(batch, n, name)), checkpoint, every)
 
 
 def ingest(
@@ -82,23 +108,42 @@ def ingest(
     checkpoint: str,
     every: str | None = None,
     files_per_trigger: int | None = None,
+    name: str = "ingest",
+    quarantine: str | None = None,
+    glob: str = "*.json",
 ) -> StreamingQuery:
-    """Landing zone -> ticker table, the streaming twin of the batch transform."""
-    rows = transform(stream_snapshots(spark, path, files_per_trigger))
-    return start_ingest(rows, table, checkpoint, every=every)
+    """Landing zone -> ticker table, the streaming twin of the batch transform.
+
+    Lines that cannot be read stop the stream, or are written to the folder ``quarantine`` under the load id
+    of their batch, and the others are appended.
+    """
+    if quarantine is None:
+        return start_ingest(transform(stream_snapshots(spark, path, files_per_trigger, glob=glob)), table, checkpoint, name, every)
+
+    def write(batch: DataFrame, n: int) -> None:
+        load_id = batch_load_id(batch, n, name)
+        broken = batch.filter(F.col(CORRUPT).isNotNull()).select(CORRUPT)
+        broken.write.mode("overwrite").parquet(f"{quarantine}/load_id={load_id}")
+        table.append(transform(batch.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)), load_id)
+
+    return start(stream_snapshots(spark, path, files_per_trigger, "quarantine", glob), write, checkpoint, every)
 
 
 def stream_bars(ticks: DataFrame, width: str, watermark: str = WATERMARK) -> DataFrame:
-    """Candles per tumbling window, each emitted once the watermark has passed it."""
+    """Candles per tumbling window, each emitted once the watermark has passed it.
+
+    Ordered by ticker instant, and of one instant by the snapshot it came with.
+    """
+    rank = chronological(("ticker_timestamp_ms", "extraction_timestamp"))
     timed = ticks.withColumn("tick_instant", F.timestamp_millis("ticker_timestamp_ms"))
     grouped = (
         timed.withWatermark("tick_instant", watermark)
         .groupBy(F.window("tick_instant", width), F.col("exchange_id").alias("exchange"), "symbol")
         .agg(
-            F.min_by("last", "ticker_timestamp_ms").alias("open"),
+            F.min_by("last", rank).alias("open"),
             F.max("last").alias("high"),
             F.min("last").alias("low"),
-            F.max_by("last", "ticker_timestamp_ms").alias("close"),
+            F.max_by("last", rank).alias("close"),
             F.sum("base_volume").alias("volume"),
         )
     )
