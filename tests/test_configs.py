@@ -62,8 +62,8 @@ def test_tags(spark):
 @pytest.mark.parametrize(
     ("name", "ok"),
     [
-        ("binance_spot_transformed", True), ("binance_transformed_v2", True), ("InvalidName", False),
-        ("1_invalid_name", False), ("invalid-name", False), ("", False), ("trailing\n", False), (None, False),
+        ("rows_of_a_venue", True), ("x9__", True), ("z", True), ("camelCase", False), ("_first", False),
+        ("9lives", False), ("a b", False), ("dash-ed", False), ("", False), ("line\n", False), (None, False),
     ],
 )
 def test_names(spark, name, ok):

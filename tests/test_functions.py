@@ -54,9 +54,10 @@ def test_buckets_of_negative_instants(spark):
 @pytest.mark.parametrize(
     ("parts", "ms", "expected"),
     [
-        (["extract_binance_ohlcv"], 1704067200000, "extract/binance/ohlcv_1704067200000.json"),
-        (["extract", "binance", "ohlcv"], 1704067200000, "extract/binance/ohlcv_1704067200000.json"),
-        (["extract_btc_usdt"], 123456789, "extract/btc/usdt_123456789.json"),
+        (["north_depth_books"], 1699999999999, "north/depth/books_1699999999999.json"),
+        (["north", "depth", "books"], 1699999999999, "north/depth/books_1699999999999.json"),
+        (["north_depth", "books"], 0, "north/depth/books_0.json"),
+        (["two__gaps"], 7, "two//gaps_7.json"),
     ],
 )
 def test_layout(spark, parts, ms, expected):

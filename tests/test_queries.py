@@ -15,6 +15,14 @@ SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
 
 
+@pytest.fixture(scope="module", autouse=True)
+def users_settings(spark):
+    """Queries run compiled, as users run them."""
+    spark.conf.set("spark.sql.codegen.wholeStage", "true")
+    yield
+    spark.conf.set("spark.sql.codegen.wholeStage", "false")
+
+
 @pytest.fixture(scope="module")
 def tables():
     return connect(SF_DIR)

@@ -41,15 +41,15 @@ def ticks(spark, *given):
 
 def test_full_snapshot_in_contract_order_and_types(spark):
     df = flatten.transform(
-        lines(spark, snapshot(full("BTC/USDT", 50000.0), full("ETH/USDT", 3000.0), full("SOL/USDT", 100.0)))
+        lines(spark, snapshot(full("OAK-ELM", 640.0), full("PINE-ELM", 7.5), full("YEW-ELM", 0.25)))
     )
     assert df.columns == TICKER.columns
     assert [f.dataType for f in df.schema] == [f.dataType for f in TICKER.struct]
     assert rows(df)[0] == (
-        "BTC/USDT", 1735675200000, "2025-12-31T20:00:00.000Z", 50000.0, 49999.0, 50001.0, 50002.0,
-        49998.0, 10.0, 11.0, 12.0, "binance", 1767207600000,
+        "OAK-ELM", 1735675200000, "2025-12-31T20:00:00.000Z", 640.0, 639.0, 641.0, 642.0,
+        638.0, 10.0, 11.0, 12.0, "binance", 1767207600000,
     )
-    assert [r[0] for r in rows(df, "symbol")] == ["BTC/USDT", "ETH/USDT", "SOL/USDT"]
+    assert [r[0] for r in rows(df, "symbol")] == ["OAK-ELM", "PINE-ELM", "YEW-ELM"]
 
 
 def test_missing_fields_are_null(spark):
@@ -66,9 +66,9 @@ def test_empty_snapshot_keeps_the_columns(spark):
 
 
 def test_wide_snapshot(spark):
-    coins = [{"symbol": f"COIN{i}/USDT", "last": 100.0 + i, "bid": 99.0 + i, "ask": 101.0 + i} for i in range(150)]
-    df = flatten.transform(lines(spark, snapshot(*coins)))
-    assert df.agg(F.count("*"), F.sum("last"), F.sum("ask") - F.sum("bid")).first() == Row(150, 26175.0, 300.0)
+    wide = [{"symbol": f"s{i:03}", "last": 0.5 * i, "bid": 0.5 * i - 2, "ask": 0.5 * i + 2} for i in range(211)]
+    df = flatten.transform(lines(spark, snapshot(*wide)))
+    assert df.agg(F.count("*"), F.sum("last"), F.sum("ask") - F.sum("bid")).first() == Row(211, 11077.5, 844.0)
 
 
 def test_symbol_only_as_key_and_no_merging_across_snapshots(spark):

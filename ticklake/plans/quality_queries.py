@@ -47,12 +47,9 @@ def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def quality_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows that pass, and the others with the reasons."""
-    good, bad = quality.split(transform_tickers(spark, sf_dir), quality.TICKER_RULES)
-    passed = good.withColumn("violations", F.lit("")).withColumn("state", F.lit("passed"))
-    kept_out = bad.withColumn("violations", F.array_join("violations", ",")).withColumn(
-        "state", F.lit("quarantined")
-    )
-    return passed.unionByName(kept_out)
+    judged = quality.with_violations(transform_tickers(spark, sf_dir), quality.TICKER_RULES)
+    passed = F.when(F.size("violations") == 0, "passed").otherwise("quarantined")
+    return judged.withColumn("state", passed).withColumn("violations", F.array_join("violations", ","))
 
 
 BARS = """
