@@ -92,7 +92,7 @@ def test_near_large_nodes_branch_and_are_compared_in_blocks(spark, leaf, depth,
     rows += [(100 + i, " ".join([*base[: 60 + i], *(f"far{i}{k}" for k in range(40 - i))])) for i in range(6)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     features = near_dedup.words.by_slice(df, lambda p: near_dedup._features(p, 5), "doc_id long, n_shingles long, one long, two long, sketch binary")
-    links = near_dedup.links(features, df, 85, 5, leaf=leaf, depth=depth)
+    links = near_dedup.links(near_dedup.classes_of(features), df, 85, 5, leaf=leaf, depth=depth)
     reach = {r.id: r.component for r in near_dedup.components(links).collect()}
     expected = near_brute(rows, 85)
     assert {(i, reach.get(i, i)) for i, _ in rows} == {(k[0], k[2]) for k in expected}
