@@ -1,7 +1,7 @@
 """Quality classifier: logistic regression on hashed word n-grams (operator 1).
 
 Texts become sparse vectors: n-grams of words are hashed to ``2**bits`` places, a place's value is the root
-of its count, and the vector is scaled to unit length. The model is trained with follow-the-regularised-
+of its count, and the vector is scaled to one length (``scale``). The model is trained with follow-the-regularised-
 leader updates (per-coordinate step sizes, L1 and L2), one pass after another over ``shards`` parts of
 the training rows side by side; the parts' weights are averaged, and further rounds start from the average.
 A score is a sparse dot product put through the logistic function.
@@ -34,7 +34,8 @@ class Settings:
     max_rows: int = 20_000
     shards: int = 8
     rounds: int = 2
-    epochs: int = 2
+    epochs: int = 4
+    scale: float = 4.0
     alpha: float = 1.0
     beta: float = 1.0
     l1: float = 1e-3
@@ -59,7 +60,7 @@ def vectors(column: pa.Array, settings: Settings) -> tuple[np.ndarray, np.ndarra
     begin = np.searchsorted(row, np.arange(rows + 1))
     square = np.where(place == 0, 0, counts)
     length = np.sqrt(np.maximum(1, np.add.reduceat(square, begin[:-1]) if rows else square))
-    value = np.where(place == 0, 1.0, np.sqrt(counts) / length[row])
+    value = np.where(place == 0, 1.0, settings.scale * np.sqrt(counts) / length[row])
     return begin, place, value
 
 
