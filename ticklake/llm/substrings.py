@@ -21,6 +21,8 @@ columns are carried unless they have a name of the result's.
 
 from __future__ import annotations
 
+import gc
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -35,6 +37,12 @@ RESULT = ("n_words", "n_removed", "kept")
 _OTHER = 0xA0761D6478BD642F
 
 
+def _release(df: DataFrame) -> None:
+    """Let go of the shuffle files of steps whose results are written: Spark drops them with the driver's garbage."""
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
+
+
 def _smallest(h: np.ndarray, span: int) -> np.ndarray:
     """Of every ``span`` values in a row the place of the first smallest one."""
     at = np.arange(len(h))
@@ -101,6 +109,7 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     # Written, so that the join's sides are plain shuffles, of which AQE splits hot partitions.
     twice = stored(words.by_slice(texts, seeds, "seed long").groupBy("seed").count().filter("count > 1").select("seed"), "seeds")
     found = stored(words.by_slice(texts, members, "key long, digest long, seed long, block long, start int, windows int").join(twice, "seed"), "blocks")
+    _release(docs)
 
     # The index: how often each block occurs, and one of its places.
     place = F.xxhash64("key", "digest", "start")
@@ -128,6 +137,7 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
         )
 
     border = stored(words.by_slice(texts.join(asked, ["key", "digest"]), windows, "one long, two long, seed long, block long, copies long, nth int"), "borders")
+    _release(docs)
     again = border.groupBy("one", "two").agg(F.sum("copies").alias("n")).filter("n > 1").select("one", "two")
     shared = (
         border.filter("copies = 1")
