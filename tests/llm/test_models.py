@@ -135,6 +135,19 @@ def test_neighbours_edges(spark, monkeypatch):
     assert neighbours.search(df.limit(0), F.col("vec_id") % 100 == 0).count() == 0
 
 
+def test_neighbours_of_repeated_ids(spark, monkeypatch):
+    """Copies and further vectors of one id leave places for the others, in one block and in many."""
+    schema = "vec_id long, embedding array<double>"
+    rows = [(i, [1.0, 2.0, 3.0 + i]) for i in range(8)]
+    copies = spark.createDataFrame(rows * 10, schema)
+    others = spark.createDataFrame(rows + [(i, [1.0 + j, 2.0, 3.0 + i]) for i, _ in rows for j in range(1, 15)], schema)
+    for block in (neighbours.BLOCK, 7):
+        monkeypatch.setattr(neighbours, "BLOCK", block)
+        for df, k in ((copies, 10), (others, 5)):
+            found = neighbours.search(df, (F.col("vec_id") == 0) & (F.col("embedding")[0] == 1.0), k).orderBy("rank").collect()
+            assert [(r.rank, r.vec_id, r.score) for r in found] == [(i, i, float(i)) for i in range(1, min(k, 7) + 1)]
+
+
 def test_hadamard_keeps_lengths_and_mixes():
     v = np.eye(8)
     h = neighbours.hadamard(v)

@@ -5,9 +5,9 @@ random signs and a Hadamard transform. Its hash is the nearest signed axis of th
 rotations give as many tables; every vector is filed in each. A query looks into the ``probes`` nearest
 signed axes of each table, and everything found there is compared by exact Euclidean distance.
 
-A bucket is worked off in blocks of at most about ``BLOCK`` vectors against ``QUERY_BLOCK`` queries, by hashes of
-ids; how many blocks it has follows from counts per bucket, a table of ``tables`` * 2 * dimension rows per
-dimension. Nothing is capped: each block returns its own nearest, and these are merged per query. Queries that
+Equal rows (id and vector) are collapsed first. A bucket is worked off in blocks of at most about ``BLOCK`` vectors
+against ``QUERY_BLOCK`` queries, by hashes of ids and vectors; how many blocks it has follows from counts per bucket, a table of ``tables`` * 2 * dimension rows per
+dimension. Nothing is capped: each block returns its own nearest ids, and these are merged per query. Queries that
 found fewer than ``k`` (small tables, empty buckets) are compared with all vectors in the same kind of
 blocks.
 
@@ -69,7 +69,7 @@ def _vectors(column: pa.Array, ids: pa.Array):
             yield int(size), row[ok], v[ok]
 
 
-def _filed(vectors: DataFrame, is_query: Column, tables: int, probes: int, with_vector: bool) -> DataFrame:
+def _filed(vectors: DataFrame, tables: int, probes: int, with_vector: bool) -> DataFrame:
     """A row for each table a vector is filed in (probe false) and each bucket a query looks into (true)."""
     schema = "dim int, tab int, axis int, probe boolean, vec_id long" + (", v binary" if with_vector else "")
 
@@ -102,18 +102,18 @@ def _filed(vectors: DataFrame, is_query: Column, tables: int, probes: int, with_
                         times = code.shape[1]
                         yield rows(np.repeat(ids[ask], times), np.repeat(v[ask], times, 0), dim, tab, code.ravel(), True)
 
-    return vectors.select("vec_id", "embedding", is_query.alias("q")).mapInArrow(run, schema)
+    return vectors.mapInArrow(run, schema)
 
 
 def _ranked(filed: DataFrame, counts: DataFrame, k: int) -> DataFrame:
-    """The k nearest of each query within each pair of blocks that it takes part in."""
+    """The k nearest ids of each query within each pair of blocks that it takes part in."""
     blocks = counts.groupBy("dim", "tab", "axis").agg(
         F.ceil(F.sum(F.when(~F.col("probe"), F.col("count")).otherwise(0)) / BLOCK).cast("int").alias("vs"),
         F.ceil(F.sum(F.when(F.col("probe"), F.col("count")).otherwise(0)) / QUERY_BLOCK).cast("int").alias("qs"),
     )
     # As many rows as there are buckets: tables * 2 * dimension for each dimension.
     sized = filed.join(F.broadcast(blocks.filter("vs > 0 AND qs > 0")), ["dim", "tab", "axis"])
-    own = F.pmod(F.xxhash64("vec_id"), F.when(F.col("probe"), F.col("qs")).otherwise(F.col("vs"))).cast("int")
+    own = F.pmod(F.xxhash64("vec_id", "v"), F.when(F.col("probe"), F.col("qs")).otherwise(F.col("vs"))).cast("int")
     others = F.explode(F.sequence(F.lit(0), F.when(F.col("probe"), F.col("vs")).otherwise(F.col("qs")) - 1))
     dealt = sized.withColumn("own", own).withColumn("other", others)
     dealt = dealt.withColumn("vb", F.when(F.col("probe"), F.col("other")).otherwise(F.col("own"))).withColumn(
@@ -125,12 +125,16 @@ def _ranked(filed: DataFrame, counts: DataFrame, k: int) -> DataFrame:
         ids = t.column("vec_id").to_numpy()
         v = np.frombuffer(b"".join(t.column("v").to_pylist()), np.float64).reshape(len(ids), -1)
         order = np.argsort(ids[~probe], kind="stable")
-        base, names = v[~probe][order], ids[~probe][order]
+        base = v[~probe][order]
+        # An id's rows lie side by side and count as one, with the smallest distance.
+        names, first = np.unique(ids[~probe][order], return_index=True)
         out = [], [], []
         for q, query in zip(ids[probe], v[probe], strict=True):
             gap = base - query
             with np.errstate(over="ignore"):
                 far = np.sqrt(np.einsum("ij,ij->i", gap, gap))
+            if len(names) < len(far):
+                far = np.minimum.reduceat(far, first)
             far[names == q] = np.nan
             n = int((names != q).sum())
             if not n:
@@ -158,12 +162,14 @@ def _top(pairs: DataFrame, k: int) -> DataFrame:
 
 def search(vectors: DataFrame, is_query: Column, k: int = 10, tables: int = TABLES, probes: int = PROBES) -> DataFrame:
     """query_id, rank, vec_id, score: of every query its k nearest found. ``vectors`` has (vec_id, embedding)."""
-    vectors = vectors.withColumn("vec_id", F.col("vec_id").cast("long"))
-    counts = stored(_filed(vectors, is_query, tables, probes, False).groupBy("dim", "tab", "axis", "probe").count(), "buckets")
-    found = stored(_top(_ranked(_filed(vectors, is_query, tables, probes, True), counts, k), k), "nearest")
+    # Equal rows are one, however many there are.
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding", is_query.alias("q"))
+    vectors = stored(rows.groupBy("vec_id", "embedding").agg(F.max("q").alias("q")), "vectors")
+    counts = stored(_filed(vectors, tables, probes, False).groupBy("dim", "tab", "axis", "probe").count(), "buckets")
+    found = stored(_top(_ranked(_filed(vectors, tables, probes, True), counts, k), k), "nearest")
     done = found.groupBy("query_id").count().filter(F.col("count") >= k).select("query_id")
     # One table, one bucket, for queries that are not served yet.
-    everything = _filed(vectors, is_query, 1, 1, True).withColumn("axis", F.lit(0))
+    everything = _filed(vectors, 1, 1, True).withColumn("axis", F.lit(0))
     asking = everything.filter("probe").join(done, F.col("vec_id") == F.col("query_id"), "left_anti")
     if asking.isEmpty():
         return found.select("query_id", "rank", "vec_id", "score")
