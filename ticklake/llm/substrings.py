@@ -1,16 +1,22 @@
-"""Removal of repeated passages by relative Lempel-Ziv parsing (operator 3).
+"""Removal of repeated passages by counting blocks and windows (operator 3).
 
-Documents are parsed against the blocks of all documents. A block is content-defined: every window of ``width``
+This stands in place of a relative Lempel-Ziv parse: no document is parsed, and no factor is grown or its length
+tested. A block is content-defined: every window of ``width``
 words is owned by its smallest ``seed``-gram hash, and windows that follow each other under one owner
 form a block, so equal passages are cut into equal blocks wherever they stand. The index counts blocks.
 
-A document's factor grows block by block as long as blocks occur elsewhere too; all windows in it are
-repeated. At a factor's borders blocks differ as wholes though they may share windows: there the windows
-themselves are hashed (128 bits) and counted, over one copy of each different block. Every window is
-hence judged exactly, however often and wherever its words stand.
+All windows of a block that occurs more than once are repeated. Blocks with one seed that differ as wholes may
+still share windows: where a seed has several kinds of blocks, one of them single, the windows of all its
+kinds are hashed (128 bits) and counted, over one copy of each kind. These seeds are found by counts, not by
+where factors end. Every window is hence judged exactly, however often and wherever its words stand.
+
+Why no parse: whether a window is repeated depends on the window alone, not on the factor it lies in, and a window
+has the same owner wherever it stands, so counting finds all that a parse would. Growing factors would need a
+document's blocks in order beside a reference that holds all documents; counts need neither, and copies
+meet as sums.
 
 What moves: one hash per block (about two in 25 words) to find those that occur twice, blocks with a
-repeated seed, border windows, and texts twice, for those lookups. Counts are summed before they are
+repeated seed, windows of such kinds, and texts twice, for those lookups. Counts are summed before they are
 shuffled, so copies of a passage meet as one row per task; joins with common blocks are split by AQE.
 
 Edge cases: NULL, empty and short texts have no window and lose nothing; a text of repeated words repeats
