@@ -84,6 +84,33 @@ def test_near_against_brute_force(spark):
     assert bag(near_dedup.near_duplicates(df, 85).collect()) == near_brute(rows, 85)
 
 
+def test_near_trees_start_at_different_coordinates():
+    one = np.zeros((1, near_dedup.SKETCH), np.uint32)
+    path = np.zeros(1, np.int64)
+    for picks in (near_dedup.TREES, near_dedup.SKETCH):
+        same = near_dedup._paths(one, path, picks, 1)
+        for k in range(near_dedup.SKETCH):
+            other = one.copy()
+            other[0, k] = 1
+            assert (near_dedup._paths(other, path, picks, 1) != same).sum() <= 1
+
+
+def test_near_recall_follows_from_the_threshold():
+    for threshold in (80, 85, 95):
+        trees, least = near_dedup.plan(threshold)
+        assert trees >= near_dedup.TREES and near_dedup.missed(threshold / 100, trees, least) <= near_dedup.MISS
+    rng = np.random.default_rng(1)  # the same by trial, where misses are common enough to be seen
+    equal = rng.random((4000, near_dedup.SKETCH)) < 0.6
+    sketches = np.where(equal, 0, 1).astype(np.uint32)
+    paths = [np.zeros(len(x), np.int64) for x in (sketches,)] * 2
+    meet = np.zeros(len(equal), bool)
+    for mine, base in zip(*(near_dedup._paths(s, p, 4, 1).T for s, p in zip((sketches, np.zeros_like(sketches)), paths, strict=True)), strict=True):
+        mine, base = (near_dedup._paths(s, p.copy(), 1, 2)[:, 0] for s, p in ((sketches, mine), (np.zeros_like(sketches), base)))
+        meet |= mine == base
+    lost = 1 - (meet & (equal.sum(1) >= 36)).mean()
+    assert abs(lost - near_dedup.missed(0.6, 4, 36, 2)) < 0.06
+
+
 @pytest.mark.parametrize("leaf,depth", [(4, 1), (4, 3), (512, 3)])
 def test_near_large_nodes_branch_and_are_compared_in_blocks(spark, leaf, depth, monkeypatch):
     monkeypatch.setattr(near_dedup, "LEAF", leaf)

@@ -1,17 +1,20 @@
 """Near duplicates by a chosen-path set similarity join (operator 6).
 
 A document's set is its distinct ``shingle``-word shingles. Equal sets are one class, entered once. Every
-class has a sketch of ``SKETCH`` minwise values. In each of ``trees`` independent trees a class goes
-down by the minwise values of randomly chosen coordinates, one at each level: classes that agree in a share j of
+class has a sketch of ``SKETCH`` minwise values. In each of ``trees`` trees a class goes down by the minwise
+values of randomly chosen coordinates, one at each level, the first without repetition among trees: classes that agree in a share j of
 their shingles stay together with probability j. A node with at most ``leaf`` classes is compared exhaustively by
-sketch; larger ones branch on, for at most ``DEPTH`` levels. With 14 trees a pair of similarity 0.85 in small
-nodes is missed once in 10^11, one whose nodes all stay large for three levels about once in half a million.
+sketch; larger ones branch on, for at most ``DEPTH`` levels.
 
 Nodes that are still large after ``DEPTH`` levels hold classes that resemble each other: they are compared in full,
 as pairs of blocks, so nothing is capped.
 
-Candidates agree in at least as many coordinates as lies five standard deviations below what the threshold
-gives. Groups of classes connected by candidates, not pairs, go on: their full sets are built anew from
+Candidates agree in at least ``least`` coordinates. ``least`` and the number of trees follow from the threshold
+(``plan``): by the binomial the cut loses at most a tenth of ``MISS``, and cut and trees together, which share one
+sketch, lose at most ``MISS`` of the pairs at the threshold whose nodes all stay large for ``DEPTH`` levels. At 0.85
+that gives 20 trees and 38 coordinates (one pair in 710,000 is missed, in small nodes one in 6 million), at 0.80
+27 and 33 (one in 570,000, in small nodes one in 12 million). Thresholds of about 0.65 and less would need more
+trees than a sketch has coordinates; they get that many, and ``missed`` tells what these lose. Groups of classes connected by candidates, not pairs, go on: their full sets are built anew from
 whole texts, all links among them are counted exactly, and each class is returned with the smallest one it is
 connected with. So neither copies nor groups of near copies are expanded into pairs. Components come from
 alternating large-star and small-star steps.
@@ -24,6 +27,7 @@ share an id are one node, though each keeps its own set; an empty table gives an
 from __future__ import annotations
 
 from functools import reduce
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +41,8 @@ from ticklake.session import stored
 
 SHINGLE = 5
 SKETCH = 64
-TREES = 14
+TREES = 14  # at least
+MISS = 2e-6
 LEAF = 512
 DEPTH = 3
 
@@ -86,13 +91,42 @@ def _features(piece: pa.RecordBatch, width: int) -> pa.RecordBatch:
     )
 
 
+def missed(share: float, trees: int, least: int, depth: int = DEPTH) -> float:
+    """Probability that a pair of similarity ``share`` is no candidate if its nodes stay large for ``depth`` levels."""
+    out = 0.0
+    for same in range(SKETCH + 1):
+        here = comb(SKETCH, same) * share**same * (1 - share) ** (SKETCH - same)
+        part = 1 - (same / SKETCH) ** (depth - 1)  # in a tree with one of the equal coordinates first
+        firsts = range(max(0, trees - (SKETCH - same)), min(trees, same) + 1)
+        lost = sum(comb(same, a) * comb(SKETCH - same, trees - a) * part**a for a in firsts) / comb(SKETCH, trees)
+        out += here * (lost if same >= least else 1)
+    return out
+
+
+def plan(threshold: int, depth: int = DEPTH) -> tuple[int, int]:
+    """(trees, least): numbers of trees and of equal coordinates that lose at most ``MISS`` at the threshold."""
+    share, least, below = threshold / 100, 0, 0.0
+    while least < SKETCH:
+        below += comb(SKETCH, least) * share**least * (1 - share) ** (SKETCH - least)
+        if below > MISS / 10:
+            break
+        least += 1
+    return next((n for n in range(TREES, SKETCH) if missed(share, n, least, depth) <= MISS), SKETCH), least
+
+
 def _paths(sketches: np.ndarray, path: np.ndarray, picks: int, salt: int) -> np.ndarray:
-    """Children of nodes: (rows, picks) hashes of the path and the minwise value at a coordinate the path chooses."""
+    """Children of nodes: (rows, picks) hashes of the path and the minwise value at a coordinate the path chooses.
+
+    Up to ``SKETCH`` picks of a node are of different coordinates.
+    """
     out = np.empty((len(path), picks), np.int64)
     row = np.arange(len(path))
+    start = words.mix(path.view(np.uint64) ^ np.uint64(salt * 128))
+    step = start >> np.uint64(32) | np.uint64(1)  # odd, so that steps go through all coordinates
     for i in range(picks):
         choice = words.mix(path.view(np.uint64) ^ np.uint64((salt * 64 + i) * 2 + 1))
-        value = sketches[row, (choice % np.uint64(SKETCH)).astype(np.int64)].astype(np.uint64)
+        coordinate = (start + step * np.uint64(i)) % np.uint64(SKETCH)
+        value = sketches[row, coordinate.astype(np.int64)].astype(np.uint64)
         out[:, i] = words.mix(choice ^ words.mix(value)).view(np.int64)
     return out
 
@@ -154,8 +188,7 @@ def _candidates(nodes: DataFrame, threshold: int) -> DataFrame:
 
     A group's name is made of its members, so that the trees find it once.
     """
-    share = threshold / 100
-    least = SKETCH * share - 5 * np.sqrt(SKETCH * share * (1 - share))
+    _, least = plan(threshold)
 
     def work(table, cuts):
         size, ids = table.column("size").to_numpy(), table.column("id").to_numpy()
@@ -280,9 +313,10 @@ def classes_of(features: DataFrame) -> DataFrame:
 
 
 def links(
-    classes: DataFrame, docs: DataFrame, threshold: int, width: int, trees: int = TREES, leaf: int = LEAF, depth: int = DEPTH
+    classes: DataFrame, docs: DataFrame, threshold: int, width: int, trees: int | None = None, leaf: int = LEAF, depth: int = DEPTH
 ) -> DataFrame:
     """Pairs (a, b) of ids of classes with different sets that confirmed links connect."""
+    trees = trees or plan(threshold, depth)[0]
     nodes, found = _branch(classes.withColumn("path", F.lit(0).cast("long")), trees, 1), []
     for level in range(1, depth + 1):
         nodes = stored(nodes, "nodes")
@@ -301,7 +335,7 @@ def links(
     return _confirmed(_candidates(compared, threshold), docs, threshold, width)
 
 
-def near_duplicates(docs: DataFrame, threshold: int = 85, width: int = SHINGLE, trees: int = TREES) -> DataFrame:
+def near_duplicates(docs: DataFrame, threshold: int = 85, width: int = SHINGLE, trees: int | None = None) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, component_id and kept. ``threshold``: least similarity in percent."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
