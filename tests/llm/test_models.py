@@ -135,6 +135,16 @@ def test_neighbours_edges(spark, monkeypatch):
     assert neighbours.search(df.limit(0), F.col("vec_id") % 100 == 0).count() == 0
 
 
+def test_neighbours_recall_on_long_vectors(spark):
+    rows = [(i, v.tolist()) for i, v in enumerate(np.random.default_rng(4).normal(size=(3000, 256)))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = collections.defaultdict(set)
+    for r in neighbours.search(df, F.col("vec_id") % 300 == 0).collect():
+        got[r.query_id].add(r.vec_id)
+    want = nearest(rows, 10, 300)
+    assert np.mean([len(got[q] & {i for i, _ in want[q]}) / 10 for q in want]) >= 0.95
+
+
 def test_neighbours_of_repeated_ids(spark, monkeypatch):
     """Copies and further vectors of one id leave places for the others, in one block and in many."""
     schema = "vec_id long, embedding array<double>"
