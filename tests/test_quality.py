@@ -35,6 +35,12 @@ def test_split_is_a_partition(spark):
     assert quality.split(df, [optional])[1].count() == 2
 
 
+def test_state_says_what_split_does(spark):
+    df = spark.createDataFrame([(1.0,), (-1.0,), (0.0,), (None,), (float("nan"),)], "x double")
+    states = quality.with_state(df, [quality.positive("x")]).groupBy("state").count()
+    assert sorted(rows(states, "state", "count")) == [("passed", 2), ("quarantined", 3)]
+
+
 def test_text_must_be_numeric(spark):
     df = spark.createDataFrame([("1.5",), ("x",), (None,)], "v string")
     assert rows(quality.report(df, [quality.numeric("v")])) == [(3, "v_numeric", 2)]

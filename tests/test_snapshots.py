@@ -183,3 +183,10 @@ def test_latest_metadata_by_time_and_by_name(spark):
     df = spark.createDataFrame([("e", 9, 1, "a", "p1"), ("e", None, 2, "b", "p3"), ("e", 8, 3, "c", "p2")], schema)
     assert rows(metrics.latest_metadata(df), "path") == [("p1",)]
     assert rows(metrics.latest_metadata(df, F.col("path")), "path") == [("p3",)]
+
+
+def test_latest_metadata_by_both_orders_at_once(spark):
+    schema = "exchange_id string, extraction_timestamp long, run_timestamp long, run_id string, path string"
+    df = spark.createDataFrame([("e", 9, 1, "a", "p1"), ("e", None, 2, "b", "p3"), ("e", 8, 3, "c", "p2")], schema)
+    both = metrics.latest_entries(df, by_time=None, by_name=F.col("path"))
+    assert rows(both.select("by_time.path", "by_name.run_id")) == [("p1", "b")]

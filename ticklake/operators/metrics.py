@@ -44,11 +44,18 @@ def latest_metadata(entries: DataFrame, order: Column | None = None) -> DataFram
 
     ``order`` replaces the instant, for example by the file name; the instant then settles ties.
     """
+    return latest_entries(entries, _entry=order).select("exchange_id", "_entry.*")
+
+
+def latest_entries(entries: DataFrame, **orders: Column | None) -> DataFrame:
+    """``latest_metadata`` by several orders in one aggregate: a struct of metadata for each, under its name."""
     instant = F.coalesce("extraction_timestamp", F.lit(0))
-    rank = F.struct(instant, "run_timestamp", "run_id") if order is None else F.struct(order, instant)
-    others = [c for c in entries.columns if c != "exchange_id"]
-    newest = entries.groupBy("exchange_id").agg(F.max_by(F.struct(*others), rank).alias("_entry"))
-    return newest.select("exchange_id", "_entry.*")
+    entry = F.struct(*[c for c in entries.columns if c != "exchange_id"])
+    ranks = {
+        name: F.struct(instant, "run_timestamp", "run_id") if order is None else F.struct(order, instant)
+        for name, order in orders.items()
+    }
+    return entries.groupBy("exchange_id").agg(*[F.max_by(entry, rank).alias(name) for name, rank in ranks.items()])
 
 
 def sample_head(df: DataFrame, order: list[str], n: int = 5) -> DataFrame:

@@ -87,11 +87,20 @@ def with_violations(rows: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return rows.withColumn("violations", F.filter(names, lambda name: name.isNotNull()))
 
 
+PASSED, QUARANTINED = "passed", "quarantined"
+
+
+def with_state(rows: DataFrame, rules: Sequence[Rule], state: str = "state") -> DataFrame:
+    """Rows with the names of the rules they break, and whether they pass everything."""
+    passed = F.when(F.size("violations") == 0, PASSED).otherwise(QUARANTINED)
+    return with_violations(rows, rules).withColumn(state, passed)
+
+
 def split(rows: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataFrame]:
     """(rows that pass everything, the others with the names of the broken rules)."""
-    judged = with_violations(rows, rules)
-    passed = F.size("violations") == 0
-    return judged.filter(passed).drop("violations"), judged.filter(~passed)
+    judged = with_state(rows, rules, "_state")
+    passed = judged.filter(F.col("_state") == PASSED).drop("violations", "_state")
+    return passed, judged.filter(F.col("_state") == QUARANTINED).drop("_state")
 
 
 def dedup_latest(

@@ -47,9 +47,8 @@ def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def quality_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows that pass, and the others with the reasons."""
-    judged = quality.with_violations(transform_tickers(spark, sf_dir), quality.TICKER_RULES)
-    passed = F.when(F.size("violations") == 0, "passed").otherwise("quarantined")
-    return judged.withColumn("state", passed).withColumn("violations", F.array_join("violations", ","))
+    judged = quality.with_state(transform_tickers(spark, sf_dir), quality.TICKER_RULES)
+    return judged.withColumn("violations", F.array_join("violations", ","))
 
 
 BARS = """

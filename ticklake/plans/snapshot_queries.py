@@ -158,8 +158,11 @@ def corrupt_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 def latest_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Newest snapshot of each venue, by its instant and by its file name."""
     manifest = bind.manifest(bind.ticks(spark, sf_dir))
-    return manifest.groupBy("exchange_id").agg(
-        F.max("extraction_timestamp").alias("newest_ms"), F.max("snapshot_path").alias("last_name")
+    newest = metrics.latest_entries(manifest, by_time=None, by_name=F.col("snapshot_path"))
+    return newest.select(
+        "exchange_id",
+        F.col("by_time.extraction_timestamp").alias("newest_ms"),
+        F.col("by_name.snapshot_path").alias("last_name"),
     )
 
 
