@@ -18,7 +18,7 @@ SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
 def test_names():
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)} | {"pipeline"}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)} | {"pipeline"}
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))

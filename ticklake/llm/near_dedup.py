@@ -36,6 +36,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ticklake.llm import groups as grouped
 from ticklake.llm import words
 from ticklake.session import stored
 
@@ -149,40 +150,6 @@ def _branch(nodes: DataFrame, picks: int, salt: int) -> DataFrame:
     return nodes.select("path", "id", "sketch").mapInArrow(run, "path long, id long")
 
 
-def _by_group(rows: DataFrame, key: str, work, schema: str) -> DataFrame:
-    """``work`` on each group of neighbours with one key, streamed from sorted partitions."""
-
-    def run(batches):
-        rest = None
-        for batch in batches:
-            whole = pa.Table.from_batches([batch] if rest is None else [*rest.to_batches(), batch]).combine_chunks()
-            keys = whole.column(key).to_numpy()
-            cuts = np.flatnonzero(np.diff(keys)) + 1
-            last = int(cuts[-1]) if len(cuts) else 0
-            if last:
-                yield from work(whole.slice(0, last), np.concatenate([[0], cuts[:-1]]))
-            rest = whole.slice(last)
-        if rest is not None and rest.num_rows:
-            yield from work(rest, np.array([0]))
-
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.repartition(parts, key).sortWithinPartitions(key, "id").mapInArrow(run, schema)
-
-
-def _joined(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Smallest place that each of n places is connected with by pairs (a, b)."""
-    label = np.arange(n)
-    while True:
-        least = np.minimum(label[a], label[b])
-        new = label.copy()
-        np.minimum.at(new, a, least)
-        np.minimum.at(new, b, least)
-        new = new[new]
-        if (new == label).all():
-            return label
-        label = new
-
-
 def _candidates(nodes: DataFrame, threshold: int) -> DataFrame:
     """(group, id): within each node the classes that are connected by candidate pairs, compared exhaustively.
 
@@ -202,7 +169,7 @@ def _candidates(nodes: DataFrame, threshold: int) -> DataFrame:
             ok = (sk[a] == sk[b]).sum(-1) >= least
             a, b = a[ok], b[ok]
             if len(a):
-                label = _joined(hi - lo, a, b)
+                label = grouped.joined(hi - lo, a, b)
                 for root in np.unique(label[a]):
                     own = np.unique(ids[lo:hi][label == root])
                     if len(own) > 1:
@@ -211,7 +178,7 @@ def _candidates(nodes: DataFrame, threshold: int) -> DataFrame:
         if groups:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(groups)), pa.array(np.concatenate(members))], ["group", "id"])
 
-    return _by_group(nodes.select("path", "id", "size", "sketch"), "path", work, "group long, id long")
+    return grouped.by_group(nodes.select("path", "id", "size", "sketch"), "path", work, "group long, id long")
 
 
 def _blocks(nodes: DataFrame) -> DataFrame:
@@ -276,34 +243,13 @@ def _confirmed(groups: DataFrame, docs: DataFrame, threshold: int, width: int) -
             a, b = np.nonzero(np.triu((both > 0) & (100 * both >= threshold * (size[:, None] + size - both)), 1))
             if len(a):
                 own = ids[lo:hi]
-                least = own[_joined(hi - lo, a, b)]  # rows are sorted by id
+                least = own[grouped.joined(hi - lo, a, b)]  # rows are sorted by id
                 out[0].append(least[least != own])
                 out[1].append(own[least != own])
         if out[0]:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], ["a", "b"])
 
-    return stored(_by_group(groups.join(texts, "id"), "group", work, "a long, b long").distinct(), "links")
-
-
-def components(links: DataFrame) -> DataFrame:
-    """(id, component): the smallest id that each end of a link reaches. ``links`` has (a, b), a < b."""
-    edges = links.select("a", "b").distinct()
-    mark = None
-    while True:
-        # Large star: what is larger than a node goes to the smallest of its neighbours and itself.
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        edges = both.filter("b > a").join(least, "a").select(F.col("m").alias("a"), "b").filter("a < b").distinct()
-        # Small star: what is smaller than a node, and the node, go to the smallest of them.
-        down = edges.select(F.col("b").alias("u"), F.col("a").alias("v"))
-        least = down.groupBy("u").agg(F.min("v").alias("m"))
-        moved = down.join(least, "u").select(F.col("m").alias("a"), F.col("v").alias("b"))
-        kept = least.select(F.col("m").alias("a"), F.col("u").alias("b"))
-        edges = stored(moved.unionByName(kept).filter("a < b").distinct(), "stars")
-        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
-        if now == mark:
-            return edges.select(F.col("b").alias("id"), F.col("a").alias("component"))
-        mark = now
+    return stored(grouped.by_group(groups.join(texts, "id"), "group", work, "a long, b long").distinct(), "links")
 
 
 def classes_of(features: DataFrame) -> DataFrame:
@@ -350,7 +296,7 @@ def near_duplicates(docs: DataFrame, threshold: int = 85, width: int = SHINGLE,
     rows = features.join(same, ["one", "two"], "left")
     shared = rows.filter("id < doc_id").groupBy("doc_id").agg(F.min("id").alias("x"), F.max("id").alias("y"), F.countDistinct("one", "two").alias("n"))
     also = rows.filter("id IS NOT NULL").join(shared.filter("n > 1 OR x < y").select("doc_id"), "doc_id", "left_semi").filter("id < doc_id").select(F.col("id").alias("a"), F.col("doc_id").alias("b"))
-    reach = components(between.unionByName(also))
+    reach = grouped.components(between.unionByName(also))
     return (
         rows.join(reach, "id", "left")
         .withColumn("component_id", F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.coalesce("component", "id", "doc_id")))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticklake.llm import (
+    alignment,
     chat,
     exact_dedup,
     languages,
@@ -15,9 +16,11 @@ from ticklake.llm import (
     neighbours,
     packing,
     quality,
+    simhash,
     substrings,
+    whitening,
 )
-from ticklake.llm.registry import query, table
+from ticklake.llm.registry import QUERIES, query, table  # noqa: F401
 
 DUCK_WORD = r"'[^\x20\x09-\x0D]+'"
 
@@ -162,3 +165,26 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_token_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as packed rows of token ids."""
     return matrices.packed_matrices(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query()
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors projected on the 32 main components of their covariance and scaled to unit variance.
+
+    ``deviation`` is NULL where it is beyond a long; the operator itself has it as a decimal.
+    """
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    whitened = whitening.whiten(vectors)
+    return whitened.select("vec_id", "component", "n", F.col("deviation").try_cast("long").alias("deviation"), "whitened", "explained", "identity_error")
+
+
+@query()
+def op12_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and the components that three or fewer differing bits connect."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query()
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text's tokens by two vocabularies, cut into groups that cover the same bytes, with their links."""
+    return alignment.align(table(spark, sf_dir, "documents").select("doc_id", "text"))
