@@ -10,7 +10,8 @@ from ticklake.operators.flatten import transform
 from ticklake.operators.writers import TickerTable
 from ticklake.plans.pipeline import load_files
 from ticklake.session import scratch_dir
-from ticklake.sources import files
+from ticklake.sources import files, planned
+from ticklake.streaming.ingest import ingest_plans
 
 from .conftest import rows
 from .test_snapshots import full, snapshot
@@ -105,3 +106,56 @@ def test_incremental_load_reads_and_notes_only_what_is_chosen(spark, landing, tm
     assert load_files(spark, str(landing), table, "l2", state).count() == 0
     assert load_files(spark, str(landing), table, "l3", state, by_flag=False).count() == 1
     assert table.read().count() == 6
+
+
+ODD = ["with space/tick_1000.json", "tick%41ers_2000.json", "tick[1]ers_3000.json", "börse+#{a,b}?_4000.json", "plain_5000.json"]
+
+
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_any_name_is_loaded_once(spark, tmp_path, multi_line):
+    """Names that patterns or URLs would change are listed, paired, read and noted like others."""
+    root = tmp_path / "landing [x] 50%"
+    for name in ODD:
+        file = root / "venue é" / name
+        file.parent.mkdir(parents=True, exist_ok=True)
+        ms = int(name.removesuffix(".json").rsplit("_", 1)[1])
+        file.write_text(json.dumps(snapshot(full("A/B", 1.0), timestamp=ms), indent=2 if multi_line else None))
+    side = {"run_id": "r", "timestamp": "1000", "loaded": "true"}
+    (root / "venue é" / "with space" / "tick_1000.meta.json").write_text(json.dumps(side))
+    manifest = files.snapshot_manifest(spark, str(root), multi_line=multi_line)
+    assert rows(manifest, "extraction_timestamp", "run_id", "loaded") == [(1000, "r", "true")] + [(ms, None, None) for ms in (2000, 3000, 4000, 5000)]
+    assert {r.exchange_id for r in manifest.collect()} == {"venue é"}
+    table = TickerTable(spark, str(tmp_path / "table"))
+    loaded = [load_files(spark, str(root), table, f"l-{i}", str(tmp_path / "state"), multi_line=multi_line).count() for i in range(3)]
+    assert loaded == [4, 0, 0]
+    assert rows(table.read(), "extraction_timestamp") == [(2000,), (3000,), (4000,), (5000,)]
+
+
+def test_planned_files_that_are_gone_are_left_out(spark, landing, tmp_path):
+    listed = files.list_files(spark, str(landing), "tickers_?00000000.json").select("file_path")
+    planned.write_plan(listed, str(tmp_path / "plan"))
+    (landing / "binance" / "raw" / "tickers_100000000.json").unlink()
+    assert planned.read_plan(spark, str(tmp_path / "plan")).filter("missing").count() == 1
+    assert transform(files.split_corrupt(files.read_planned(spark, str(tmp_path / "plan")))[0]).count() == 4
+    assert planned.read_plan(spark, str(tmp_path / "never")).count() == 0
+
+
+def test_paths_have_one_spelling(spark, landing):
+    scanned = files.read_snapshots(spark, str(landing)).select("file_path")
+    assert rows(scanned) == rows(files.list_files(spark, str(landing), "tickers_?00000000.json"), "file_path")
+
+
+def test_stream_of_plans_takes_each_once(spark, landing, tmp_path):
+    plans, table = str(tmp_path / "plans"), TickerTable(spark, str(tmp_path / "table"))
+    listed = files.list_files(spark, str(landing), "tickers_?00000000.json").select("file_path")
+
+    def run():
+        ingest_plans(spark, plans, table, str(tmp_path / "checkpoint"), multi_line=True, quarantine=str(tmp_path / "bad")).awaitTermination()
+        return rows(table.read().select("extraction_timestamp").distinct(), "extraction_timestamp")
+
+    planned.write_plan(listed.filter("file_path LIKE '%1000%'"), f"{plans}/plan=0")
+    assert run() == [(100000000,)]
+    planned.write_plan(listed.filter("file_path LIKE '%2000%'"), f"{plans}/plan=1")
+    planned.write_plan(listed.filter("file_path LIKE '%3000%'"), f"{plans}/plan=2")
+    assert run() == run() == [(100000000,), (200000000,), (300000000,)]
+    assert table.read().count() == 6

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -21,6 +23,17 @@ def sidecar_path(path: Column) -> Column:
     return F.regexp_replace(path, r"\.json$", SIDECAR_SUFFIX)
 
 
+def plain_path(path: Column) -> Column:
+    """A file's name as it stands, from the URL that file scans report; local ones begin with ``file:/``."""
+    decoded = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(decoded, "^file:/+", "file:/")
+
+
+def literal(name: str) -> str:
+    """A name for readers that take patterns, matching nothing but itself."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", name)
+
+
 def is_sidecar(name: Column) -> Column:
     return F.endswith(name, F.lit(SIDECAR_SUFFIX))
 

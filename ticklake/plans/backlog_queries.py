@@ -13,8 +13,9 @@ from ticklake.plans.domain_sql import LATEST, LOOKBACK, MANIFEST, TICKER_COLUMNS
 from ticklake.plans.pipeline import extract, load_backlog, load_files, load_one
 from ticklake.plans.registry import query
 from ticklake.session import scratch_dir, stored
-from ticklake.sources import bind, files
+from ticklake.sources import bind, files, planned
 from ticklake.sources.lake import SnapshotLake
+from ticklake.streaming.ingest import ingest_plans
 
 CHOSEN = ["exchange_id", "extraction_timestamp", "snapshot_path"]
 _FULL = f"""WITH {MANIFEST}
@@ -227,8 +228,11 @@ def single_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_one(spark, lake, "raw_tickers", "click", newest)
 
 
-def _write_files(ticks: DataFrame, root: str) -> None:
-    """Snapshots and sidecars as another program leaves them: one JSON line a file, by venue and instant."""
+def _write_files(ticks: DataFrame, root: str, names: tuple[str, ...] = ("raw/tickers",)) -> None:
+    """Snapshots and sidecars as another program leaves them: one JSON line a file, by venue and instant.
+
+    ``names`` are what files are called below their venue, before the instant, in turn by the hour.
+    """
     key = [F.col("metadata.exchange_id").alias("venue"), F.col("metadata.timestamp").alias("instant")]
     text = F.to_json(F.struct("metadata", "data"))
     nested = envelope.envelopes(ticks).select(*key, text.alias("value"))
@@ -243,8 +247,9 @@ def _write_files(ticks: DataFrame, root: str) -> None:
         for batch in batches:
             for venue, instant, value, suffix in zip(*(batch.column(c).to_pylist() for c in ("venue", "instant", "value", "suffix")), strict=True):
                 store, path = fs.FileSystem.from_uri(root) if ":" in root.split("/")[0] else (fs.LocalFileSystem(), root)
-                store.create_dir(f"{path}/{venue}/raw", recursive=True)
-                with store.open_output_stream(f"{path}/{venue}/raw/tickers_{instant}{suffix}") as out:
+                name = f"{path}/{venue}/{names[instant // 3_600_000 % len(names)]}_{instant}{suffix}"
+                store.create_dir(name.rsplit("/", 1)[0], recursive=True)
+                with store.open_output_stream(name) as out:
                     out.write(value.encode())
             yield batch.slice(0, 0)
 
@@ -270,6 +275,42 @@ def files_backlog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts(files=listed, loaded=loaded, left=left, rows=tickers.read())
 
 
+ODD_NAMES = ("with space/tickers", "tick%41ers", "raw/tick[1]ers", "börse #1+{a,b}?")
+
+
+@query(
+    f"""WITH {MANIFEST}
+    SELECT 'files' AS what, count(*) AS n FROM manifest
+    UNION ALL SELECT 'loaded', count(*) FROM manifest WHERE NOT loaded
+    UNION ALL SELECT 'again', 0 UNION ALL SELECT 'third', 0
+    UNION ALL SELECT 'rows', count(*) FROM latest ANTI JOIN loaded USING (exchange_id, extraction_timestamp)"""
+)
+def files_odd_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names that URLs or patterns would change: paired with their sidecars, loaded, and not loaded again."""
+    root = scratch_dir(spark, "odd")
+    tickers = TickerTable(spark, f"{root}/tickers")
+    _write_files(bind.ticks(spark, sf_dir), f"{root}/landing", ODD_NAMES)
+    listed = files.snapshot_manifest(spark, f"{root}/landing", multi_line=False)
+    loads = {
+        what: load_files(spark, f"{root}/landing", tickers, load_id, f"{root}/state", multi_line=False)
+        for what, load_id in (("loaded", "load-1"), ("again", "load-2"), ("third", "load-3"))
+    }
+    return counts(files=listed, **loads, rows=tickers.read())
+
+
+@query(f"WITH {LATEST} SELECT {TICKER_COLUMNS} FROM latest")
+def files_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files chosen in two numbered plans and streamed into the table: each plan is taken once."""
+    root = scratch_dir(spark, "planned")
+    tickers = TickerTable(spark, f"{root}/tickers")
+    _write_files(bind.ticks(spark, sf_dir), f"{root}/landing", ODD_NAMES)
+    listed = files.snapshot_manifest(spark, f"{root}/landing", multi_line=False)
+    for number, part in enumerate(("NOT coalesce(loaded, 'false') = 'true'", "loaded = 'true'")):
+        planned.write_plan(listed.filter(part), f"{root}/plans/plan={number}")
+        ingest_plans(spark, f"{root}/plans", tickers, f"{root}/checkpoint", f"{root}/broken").awaitTermination()
+    return tickers.read().drop("date")
+
+
 @query(
     f"""WITH {MANIFEST}
     SELECT 'skipped' AS what, 2 AS n UNION ALL SELECT 'rows', count(*) FROM latest"""

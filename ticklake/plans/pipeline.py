@@ -14,7 +14,7 @@ from ticklake.operators.envelope import SNAPSHOT_KEY, envelopes
 from ticklake.operators.flatten import transform
 from ticklake.operators.writers import TickerTable
 from ticklake.session import existing, stored
-from ticklake.sources import files
+from ticklake.sources import files, planned
 from ticklake.sources.lake import CORRUPT, VERSION_KEY, SnapshotLake
 
 
@@ -88,7 +88,8 @@ def load_files(
 ) -> DataFrame:
     """Load the snapshot files below ``root`` that other programs wrote and that are not loaded yet.
 
-    Files are listed, paired with their sidecars and chosen by flag or by the table; only the chosen are read.
+    Files are listed once, paired with their sidecars and chosen by flag or by the table; only the chosen are read, by
+    the tasks that hold their rows of the plan. Names may hold blanks, percent signs, brackets, any letters.
     Sidecars belong to their writers: what was loaded is noted below ``state``, and a note overrules a sidecar.
     Unreadable files are set aside there. Returns the files that were loaded; as with ``load_backlog`` a
     repeated ``load_id`` takes the same files again.
@@ -101,15 +102,11 @@ def load_files(
     manifest = manifest.withColumn("loaded", F.when(F.col("noted"), "true").otherwise(F.col("loaded"))).drop("noted")
     plan = f"{state}/plans/load_id={load_id}"
     if not existing(spark, [plan])[0]:
-        backlog(manifest, None if by_flag else table.read(), style).write.parquet(plan)
+        planned.write_plan(backlog(manifest, None if by_flag else table.read(), style), plan)
     chosen = spark.read.schema(manifest.schema).parquet(plan)
-    # Spark takes paths from the driver; there are as many as files to load.
-    names = [r.file_path for r in chosen.select("file_path").collect()]
-    scanned = files.read_snapshots(spark, names, multi_line=multi_line, on_corrupt="quarantine")
-    good, bad = files.split_corrupt(scanned)
+    good, bad = files.split_corrupt(files.read_planned(spark, plan, multi_line=multi_line))
     table.append(transform(good.select("metadata", "data")), load_id)
     bad.write.mode("overwrite").parquet(f"{state}/quarantine/load_id={load_id}")
-    read = good.select(F.regexp_replace("file_path", "^file:/+", "file:/").alias("file_path")).distinct()
-    loaded = stored(chosen.join(read, "file_path", "left_semi"), "loaded")
+    loaded = stored(chosen.join(good.select("file_path").distinct(), "file_path", "left_semi"), "loaded")
     loaded.select("file_path").write.mode("overwrite").parquet(f"{notes}/load_id={load_id}")
     return loaded

@@ -10,7 +10,8 @@ from pyspark.sql import types as T
 from ticklake.contracts import SIDECAR, SNAPSHOT, STRING
 from ticklake.functions import paths
 from ticklake.functions.times import truncated_ms
-from ticklake.session import existing
+from ticklake.session import existing, scratch_dir
+from ticklake.sources import planned
 
 CORRUPT = "_corrupt_record"
 
@@ -33,7 +34,7 @@ def _scan(
         .option("pathGlobFilter", glob)
         .option("ignoreMissingFiles", on_missing == "empty")
     )
-    source = F.col("_metadata.file_path").alias("file_path")
+    source = paths.plain_path(F.col("_metadata.file_path")).alias("file_path")
     if on_missing == "empty":
         path, _ = existing(spark, [path] if isinstance(path, str) else path)
         if not path:
@@ -41,15 +42,27 @@ def _scan(
             return spark.createDataFrame([], T.StructType([*schema.fields, *[T.StructField(c, STRING) for c in extra]]))
     if on_corrupt == "quarantine":
         # Parsed from text, since a JSON scan refuses to filter on the corrupt text alone.
-        text = reader.text(path, wholetext=multi_line).select("value", source)
-        with_text = T.StructType([*schema.fields, T.StructField(CORRUPT, STRING)])
-        options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-        parsed = F.from_json("value", with_text, options).alias("parsed")
-        return text.select(parsed, "file_path").select("parsed.*", "file_path")
+        return parsed(reader.text(path, wholetext=multi_line).select("value", source), schema)
     strict = reader.schema(schema).option("multiLine", multi_line).option("mode", "FAILFAST")
     return strict.json(path).select("*", source)
 
 
+def parsed(text: DataFrame, schema: T.StructType) -> DataFrame:
+    """(value, file_path) as the schema's fields, the text of what can't be read, and the path."""
+    with_text = T.StructType([*schema.fields, T.StructField(CORRUPT, STRING)])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    fields = F.from_json("value", with_text, options).alias("parsed")
+    return text.select(fields, "file_path").select("parsed.*", "file_path")
+
+
+def read_planned(spark: SparkSession, plan: str, *, multi_line: bool = True) -> DataFrame:
+    """The snapshot files that a plan names, unreadable ones as text, as with ``on_corrupt="quarantine"``.
+
+    Tasks open the files themselves, by the names that ``list_files`` gave; a file that is gone since is left out.
+    """
+    return parsed(planned.read_plan(spark, plan, lines=not multi_line).filter("NOT missing"), SNAPSHOT)
+
+
 def read_snapshots(
     spark: SparkSession,
     path: str | list[str],
@@ -84,9 +97,14 @@ def split_corrupt(scanned: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def read_sidecars(spark: SparkSession, path: str, *, multi_line: bool = True) -> DataFrame:
     """Run metadata files below ``path``; an unreadable one keeps NULL fields, so it counts as unloaded."""
-    scanned = _scan(
-        spark, path, SIDECAR, f"*{paths.SIDECAR_SUFFIX}", multi_line, "empty", "quarantine"
-    )
+    return _sidecars(list_files(spark, path, f"*{paths.SIDECAR_SUFFIX}"), multi_line)
+
+
+def _sidecars(listed: DataFrame, multi_line: bool) -> DataFrame:
+    spark = listed.sparkSession
+    plan = scratch_dir(spark, "sidecars")
+    planned.write_plan(listed.select("file_path"), plan)
+    scanned = parsed(planned.read_plan(spark, plan, lines=not multi_line).filter("NOT missing"), SIDECAR)
     return scanned.withColumn("extraction_timestamp", truncated_ms(F.col("timestamp")))
 
 
@@ -99,7 +117,7 @@ def pair(data_files: DataFrame, sidecars: DataFrame) -> DataFrame:
 
 
 def list_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """Names, sizes and times of the files below ``path``; contents are not read."""
+    """Names, sizes and times of the files below the folder ``path``, which is no pattern; contents are not read."""
     schema = "file_path string, length long, modified_at timestamp"
     reader = (
         spark.read.format("binaryFile")
@@ -107,14 +125,13 @@ def list_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
         .option("pathGlobFilter", glob)
     )
     try:
-        found = reader.load(path)
+        found = reader.load(paths.literal(path))
     except AnalysisException as error:
         if _missing(error):
             return spark.createDataFrame([], schema)
         raise
-    return found.select(
-        F.col("path").alias("file_path"), "length", F.col("modificationTime").alias("modified_at")
-    )
+    name = F.regexp_replace("path", "^file:/+", "file:/").alias("file_path")
+    return found.select(name, "length", F.col("modificationTime").alias("modified_at"))
 
 
 def snapshot_manifest(spark: SparkSession, root: str, *, multi_line: bool = True) -> DataFrame:
@@ -123,11 +140,9 @@ def snapshot_manifest(spark: SparkSession, root: str, *, multi_line: bool = True
     The venue is the first folder below ``root``. The instant comes from the sidecar, or from the name where
     there is none. Only names are listed and sidecars read, no data file.
     """
-    listed = list_files(spark, root, "*.json").filter(~paths.is_sidecar(F.col("file_path")))
-    sidecars = read_sidecars(spark, root, multi_line=multi_line)
-    # One spelling of a path's scheme on both sides.
-    plain = F.regexp_replace("file_path", "^file:/+", "file:/")
-    paired = pair(listed.withColumn("file_path", plain), sidecars.withColumn("file_path", plain))
+    listed = list_files(spark, root, "*.json").select("file_path")
+    beside = paths.is_sidecar(F.col("file_path"))
+    paired = pair(listed.filter(~beside), _sidecars(listed.filter(beside), multi_line))
     named = F.regexp_extract("file_path", r"_(\d+)\.json$", 1)
     below = F.regexp_extract("file_path", r"\Q" + root.rstrip("/").removeprefix("file:").lstrip("/") + r"\E/([^/]+)/", 1)
     return paired.select(

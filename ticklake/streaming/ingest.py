@@ -13,7 +13,8 @@ from ticklake.contracts import SNAPSHOT, TICKER
 from ticklake.operators.bars import chronological
 from ticklake.operators.flatten import transform
 from ticklake.operators.writers import TickerTable
-from ticklake.sources.files import CORRUPT
+from ticklake.sources import planned
+from ticklake.sources.files import CORRUPT, parsed
 
 WATERMARK = "6 hours"
 DEDUP_SALTS = 16
@@ -119,14 +120,36 @@ def ingest(
     """
     if quarantine is None:
         return start_ingest(transform(stream_snapshots(spark, path, files_per_trigger, glob=glob)), table, checkpoint, name, every)
+    scanned = stream_snapshots(spark, path, files_per_trigger, "quarantine", glob)
+    return _start_split(scanned, table, checkpoint, every, name, quarantine)
 
+
+def _start_split(scanned: DataFrame, table: TickerTable, checkpoint: str, every: str | None, name: str, quarantine: str) -> StreamingQuery:
     def write(batch: DataFrame, n: int) -> None:
         load_id = batch_load_id(batch, n, name)
         broken = batch.filter(F.col(CORRUPT).isNotNull()).select(CORRUPT)
         broken.write.mode("overwrite").parquet(f"{quarantine}/load_id={load_id}")
-        table.append(transform(batch.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)), load_id)
+        table.append(transform(batch.filter(F.col(CORRUPT).isNull()).select("metadata", "data")), load_id)
+
+    return start(scanned, write, checkpoint, every)
+
+
+def ingest_plans(
+    spark: SparkSession,
+    plans: str,
+    table: TickerTable,
+    checkpoint: str,
+    quarantine: str,
+    multi_line: bool = False,
+    every: str | None = None,
+    name: str = "plans",
+) -> StreamingQuery:
+    """Load the files named by the plans ``plan=<n>`` below a folder, each plan once, as they are written.
 
-    return start(stream_snapshots(spark, path, files_per_trigger, "quarantine", glob), write, checkpoint, every)
+    Unlike a stream over a landing zone it lists nothing: whoever chooses files writes the plans.
+    """
+    scanned = parsed(planned.stream_plans(spark, plans, lines=not multi_line).filter("NOT missing"), SNAPSHOT)
+    return _start_split(scanned, table, checkpoint, every, name, quarantine)
 
 
 def stream_bars(ticks: DataFrame, width: str, watermark: str = WATERMARK) -> DataFrame:
