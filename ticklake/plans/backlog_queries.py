@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticklake.operators import backlog, envelope, flatten
+from ticklake.operators import backlog, envelope, flatten, loaded_index
 from ticklake.operators.writers import TickerTable
 from ticklake.plans.domain_sql import LATEST, LOOKBACK, MANIFEST, TICKER_COLUMNS
 from ticklake.plans.pipeline import extract, load_backlog, load_files, load_one
@@ -53,6 +53,42 @@ def backlog_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     return backlog.backlog_full(bind.manifest(ticks), loaded).select(*CHOSEN)
 
 
+# Some instants are no whole seconds, so that both kinds of bitmaps are used.
+_ODD = "extraction_timestamp + (extraction_timestamp // 3600000) % 3 * 7"
+
+
+def _odd(df: DataFrame) -> DataFrame:
+    return df.withColumn("extraction_timestamp", F.expr("extraction_timestamp + (extraction_timestamp div 3600000) % 3 * 7"))
+
+
+@query(
+    f"""WITH {MANIFEST}
+    SELECT exchange_id, {_ODD} AS extraction_timestamp, snapshot_path FROM manifest WHERE NOT loaded"""
+)
+def backlog_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The full-history backlog by bitmaps of what each load wrote, merged; one load is noted twice."""
+    ticks = bind.ticks(spark, sf_dir)
+    index = loaded_index.LoadedIndex(spark, scratch_dir(spark, "index"))
+    target = _odd(_target(ticks))
+    for load_id, part in (("load-1", "symbol < 'U15'"), ("load-2", "symbol >= 'U15'"), ("load-2", "symbol >= 'U15'")):
+        index.add(target.filter(part), load_id)
+    return loaded_index.backlog_indexed(_odd(bind.manifest(ticks)), index.read()).select(*CHOSEN)
+
+
+@query(f"WITH {LATEST} SELECT {TICKER_COLUMNS} FROM latest")
+def backlog_load_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two landings are loaded by full history, as the table's bitmap index has it; a third load finds nothing."""
+    root = scratch_dir(spark, "indexed")
+    lake, tickers = SnapshotLake(spark, f"{root}/lake"), TickerTable(spark, f"{root}/tickers", indexed=True)
+    ticks = bind.ticks(spark, sf_dir)
+    extract(_target(ticks), lake, "raw_tickers", "run-1", 1000)
+    load_backlog(lake, tickers, "load-1", style="files")
+    extract(ticks.filter(~bind.is_loaded(ticks)), lake, "raw_tickers", "run-2", 2000)
+    load_backlog(lake, tickers, "load-2", style="files")
+    load_backlog(lake, tickers, "load-3", style="files")
+    return tickers.read().drop("date")
+
+
 @query(_LOOKBACK)
 def backlog_lookback(spark: SparkSession, sf_dir: str) -> DataFrame:
     ticks = bind.ticks(spark, sf_dir)

@@ -12,6 +12,7 @@ from ticklake.operators.backlog import backlog
 from ticklake.operators.configs import configured_ticks
 from ticklake.operators.envelope import SNAPSHOT_KEY, envelopes
 from ticklake.operators.flatten import transform
+from ticklake.operators.loaded_index import backlog_indexed
 from ticklake.operators.writers import TickerTable
 from ticklake.session import existing, stored
 from ticklake.sources import files, planned
@@ -44,10 +45,15 @@ def load_backlog(
     Returns the manifest rows that were loaded. A run that failed is repeated with its ``load_id``:
     it takes the same snapshots again and replaces the rows it may have written. Landed lines that cannot be
     read are set aside (``on_corrupt="quarantine"``) or stop the load before anything is written (``"fail"``);
-    their snapshots, and those whose folder is gone, stay unmarked.
+    their snapshots, and those whose folder is gone, stay unmarked. An ``indexed`` table answers the full-history
+    strategy (``style="files"``) by its index.
     """
-    target = None if by_flag else (table.recent() if style == "objects" else table.read())
-    chosen = lake.plan(load_id, backlog(lake.manifest(), target, style))
+    if table.indexed and style == "files" and not by_flag:
+        wanted = backlog_indexed(lake.manifest(), table.loaded_index())
+    else:
+        target = None if by_flag else (table.recent() if style == "objects" else table.read())
+        wanted = backlog(lake.manifest(), target, style)
+    chosen = lake.plan(load_id, wanted)
     scanned = lake.scan(chosen)
     # Which snapshots are whole, and what is broken: small, and written down, as it is used twice.
     # With the data in view, so that a line is judged here as it is below.

@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from ticklake.functions.times import DAY_MS, HOUR_MS
 from ticklake.operators import quality
 from ticklake.operators.bars import bars
+from ticklake.operators.candles import CandleStore
 from ticklake.plans.domain_sql import LATEST, TICKER_COLUMNS, TICKS, TRADES
 from ticklake.plans.registry import query
 from ticklake.plans.snapshot_queries import transform_tickers
+from ticklake.session import scratch_dir
 from ticklake.sources import bind
 
 # Violated rules by name, in rule order; NULL where the rule holds.
@@ -66,6 +68,16 @@ def tick_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bars(bind.ticks(spark, sf_dir), 6 * HOUR_MS)
 
 
+@query(f"WITH {TICKS} " + BARS.format(bucket="ticker_timestamp_ms // 21600000 * 21600000", source="ticks", order=BY_ARRIVAL))
+def tick_bars_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Six-hour candles grown by three loads, the latest ticks first; one load brings other ticks, then its own again."""
+    ticks = bind.ticks(spark, sf_dir)
+    store = CandleStore(spark, scratch_dir(spark, "candles"), 6 * HOUR_MS)
+    for load_id, nth in (("load-3", 2), ("load-1", 1), ("load-2", 1), ("load-1", 0)):
+        store.add(ticks.filter(F.col("tick_id") % 3 == nth), load_id)
+    return store.read()
+
+
 @query(
     f"WITH {TRADES} "
     + BARS.format(bucket="ticker_timestamp_ms // 2592000000 * 2592000000", source="trades", order=BY_LINE)

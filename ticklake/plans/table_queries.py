@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import uuid
+from datetime import UTC, datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticklake.contracts import TICKER
+from ticklake.contracts import TICKER, struct_from_annotations
+from ticklake.functions.times import now_ms
 from ticklake.operators import flatten, quality, writers
 from ticklake.plans.domain_sql import LATEST, TICKER_COLUMNS, TICKS
 from ticklake.plans.registry import query
@@ -118,3 +121,66 @@ def dedup_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = quality.dedup_latest(ticks, ["ticker_timestamp_ms", "tick_id"])
     return flatten.transform(bind.records(kept))
 
+
+
+@query(f"WITH {LATEST} SELECT {TICKER_COLUMNS} FROM latest")
+def table_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four loads; closed days compacted; one of the loads again and one more; compacted again, hidden files dropped."""
+    table = writers.TickerTable(spark, scratch_dir(spark, "compacted"))
+    rows = transform_tickers(spark, sf_dir).withColumn("nth", F.pmod(F.col("extraction_timestamp") / 3_600_000, F.lit(5)))
+    loads = {n: rows.filter(F.col("nth") == n).drop("nth") for n in range(5)}
+    for n in range(4):
+        table.append(loads[n], f"load-{n}")
+    closed = datetime.fromtimestamp(rows.agg(F.max("extraction_timestamp")).first()[0] / 1000, UTC).date()
+    table.compact(closed)
+    table.append(loads[2], "load-2")
+    table.append(loads[4], "load-4")
+    table.compact(closed)
+    table.vacuum()
+    return table.read().drop("date")
+
+
+@query(
+    f"""WITH {LATEST}
+    SELECT 'skipped' AS what, 0 AS n UNION ALL SELECT 'created', 0
+    UNION ALL SELECT 'refused', 1 UNION ALL SELECT 'rows', count(*) FROM latest"""
+)
+def table_policies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An empty frame creates nothing or an empty table; a table that isn't there is refused or created."""
+    rows = transform_tickers(spark, sf_dir)
+    empty = rows.filter("last < -1e300")
+    skipped, place = _fresh_table(spark, "skipped")
+    writers.append_by_name(empty, skipped, on_empty="skip", location=place)
+    created, place = _fresh_table(spark, "created")
+    writers.append_by_name(empty, created, TICKER, on_empty="create", location=place)
+    written, place = _fresh_table(spark, "written")
+    refused = 0
+    try:
+        writers.append_by_name(rows, written, on_missing="error", location=place)
+    except ValueError:
+        refused = 1
+    writers.append_by_name(rows, written, on_missing="create", location=place)
+    count = F.count(F.lit(1)).alias("n")
+    sizes = [
+        spark.range(1).select(F.lit("skipped").alias("what"), F.lit(int(spark.catalog.tableExists(skipped))).cast("long").alias("n")),
+        spark.range(1).select(F.lit("refused").alias("what"), F.lit(refused).cast("long").alias("n")),
+        read_table(spark, created).agg(count).select(F.lit("created").alias("what"), "n"),
+        read_table(spark, written).agg(count).select(F.lit("rows").alias("what"), "n"),
+    ]
+    return reduce(DataFrame.unionByName, sizes)
+
+
+QUOTE = {"exchange_id": str, "symbol": str, "last": float | None, "seen": int, "late": bool}
+
+
+@query(
+    f"""WITH {LATEST}
+    SELECT exchange_id, symbol, last, true AS stamped, extraction_timestamp % 7200000 = 0 AS late FROM latest"""
+)
+def derived_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows conformed to a schema derived from plain annotations, stamped with the query's own time."""
+    rows = transform_tickers(spark, sf_dir).withColumn("seen", now_ms())
+    late = rows.withColumn("late", F.col("extraction_timestamp") % 7_200_000 == 0)
+    conformed = flatten.conform(late, struct_from_annotations(QUOTE))
+    year_2025 = 1_735_689_600_000
+    return conformed.select("exchange_id", "symbol", "last", (F.col("seen") > year_2025).alias("stamped"), "late")

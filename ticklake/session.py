@@ -83,3 +83,34 @@ def folders(spark: SparkSession, pattern: str) -> list[str]:
     place = spark._jvm.org.apache.hadoop.fs.Path(pattern)
     found = place.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(place)
     return [f.getPath().toString() for f in found or []]
+
+
+def drop(spark: SparkSession, name: str) -> bool:
+    """Delete a file or folder with all it holds; whether it was there."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(name)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def write_new(spark: SparkSession, name: str, text: str) -> None:
+    """Write a small file that isn't there yet; that it is there is an error."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(name)
+    out = place.getFileSystem(spark._jsc.hadoopConfiguration()).create(place, False)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, name: str) -> str:
+    """A small file's text."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(name)
+    read = place.getFileSystem(spark._jsc.hadoopConfiguration()).open(place)
+    try:
+        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(read)).decode()
+    finally:
+        read.close()
+
+
+def escaped(spark: SparkSession, value: str) -> str:
+    """A partition value as it is spelled in its folder's name."""
+    return spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(value)
