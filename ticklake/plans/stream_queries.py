@@ -6,16 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticklake.contracts import OHLCV
-from ticklake.operators import envelope, flatten
+from ticklake.operators import backlog, envelope, flatten
 from ticklake.operators.writers import TickerTable
 from ticklake.plans.backlog_queries import counts
-from ticklake.plans.domain_sql import LATEST, MANIFEST, TICKER_COLUMNS
+from ticklake.plans.domain_sql import LATEST, LOOKBACK, MANIFEST, TICKER_COLUMNS
 from ticklake.plans.quality_queries import BARS
 from ticklake.plans.registry import query
 from ticklake.plans.snapshot_queries import LATEST_TICKERS
 from ticklake.session import scratch_dir
 from ticklake.sources import bind
-from ticklake.streaming import ingest
+from ticklake.streaming import ingest, lookback
 
 
 def _land(ticks: DataFrame, path: str, copies: int = 1) -> None:
@@ -138,3 +138,27 @@ def stream_timed(spark: SparkSession, sf_dir: str) -> DataFrame:
     finally:
         query.stop()
     return table.read().drop("date")
+
+
+@query(
+    f"""WITH {LOOKBACK}
+    SELECT exchange_id, extraction_timestamp, snapshot_path FROM lookback
+    UNION ALL SELECT exchange_id, extraction_timestamp, snapshot_path FROM manifest WHERE loaded AND exchange_id = 'signup'"""
+)
+def stream_lookback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed snapshots streamed in two loads, each venue by its own window.
+
+    The table has all but one venue when the stream begins; that venue's loaded part is streamed first, and gets it all.
+    """
+    root = scratch_dir(spark, "lookback")
+    ticks = bind.ticks(spark, sf_dir)
+    landed = bind.manifest(ticks).select("exchange_id", "extraction_timestamp", "snapshot_path", "loaded")
+    late = (F.col("exchange_id") == "signup") & F.col("loaded")
+    in_table = backlog.loaded_timestamps(ticks.filter(bind.is_loaded(ticks) & (F.col("exchange_id") != "signup")))
+    for part in (late, ~late):
+        landed.filter(part).drop("loaded").write.mode("append").parquet(f"{root}/landed")
+        arriving = spark.readStream.schema(landed.drop("loaded").schema).parquet(f"{root}/landed")
+        chosen = lookback.lookback_stream(arriving, in_table).writeStream.format("parquet").option("path", f"{root}/chosen")
+        with lookback.state_store(spark):
+            chosen.option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(landed.drop("loaded").schema).parquet(f"{root}/chosen")
