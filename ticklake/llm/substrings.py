@@ -16,7 +16,7 @@ document's blocks in order beside a reference that holds all documents; counts n
 meet as sums.
 
 What moves: one hash per block (about two in 25 words) to find those that occur twice, blocks with a
-repeated seed, windows of such kinds, and texts twice, for those lookups. Counts are summed before they are
+repeated seed, windows of such kinds, and compressed texts twice, for those lookups. Counts are summed before they are
 shuffled, so copies of a passage meet as one row per task; joins with common blocks are split by AQE.
 
 Edge cases: NULL, empty and short texts have no window and lose nothing; a text of repeated words repeats
@@ -27,10 +27,9 @@ columns are carried unless they have a name of the result's.
 
 from __future__ import annotations
 
-import gc
-
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,10 +42,41 @@ RESULT = ("n_words", "n_removed", "kept")
 _OTHER = 0xA0761D6478BD642F
 
 
-def _release(df: DataFrame) -> None:
-    """Let go of the shuffle files of steps whose results are written: Spark drops them with the driver's garbage."""
-    gc.collect()
-    df.sparkSession.sparkContext._jvm.System.gc()
+def _packed(df: DataFrame) -> DataFrame:
+    """Texts compressed one by one, as they are shuffled (column ``z`` in place of ``text``)."""
+
+    def run(batches):
+        pack = zstandard.ZstdCompressor(level=3).compress
+        for b in batches:
+            at = b.schema.get_field_index("text")
+            z = pa.array([None if t is None else pack(t) for t in b.column(at).cast(pa.binary()).to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(b.num_columns) if i != at), z], [*(n for n in b.schema.names if n != "text"), "z"])
+
+    return df.mapInArrow(run, df.drop("text").schema.add("z", "binary"))
+
+
+def _unpacked(df: DataFrame, work, schema) -> DataFrame:
+    """``work`` on slices of a bounded number of text bytes, of rows whose texts are packed."""
+
+    def run(batches):
+        unpack = zstandard.ZstdDecompressor().decompress
+        for b in batches:
+            if not b.num_rows:
+                continue
+            at = b.schema.get_field_index("z")
+            # Sizes are written in front of the texts, so that slices are cut before anything is unpacked.
+            sizes = np.array([0 if z is None else zstandard.frame_content_size(z) for z in b.column(at).to_pylist()], np.int64)
+            which = np.cumsum(sizes) // words.SLICE_BYTES
+            cuts = [0, *(np.flatnonzero(np.diff(which)) + 1).tolist(), b.num_rows]
+            for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+                part = b.slice(lo, hi - lo)
+                texts = pa.array([None if z is None else unpack(z) for z in part.column(at).to_pylist()], pa.binary()).cast(pa.string())
+                columns = [texts if i == at else part.column(i) for i in range(b.num_columns)]
+                made = work(pa.RecordBatch.from_arrays(columns, ["text" if n == "z" else n for n in b.schema.names]))
+                if made.num_rows:
+                    yield made
+
+    return df.mapInArrow(run, schema)
 
 
 def _smallest(h: np.ndarray, span: int) -> np.ndarray:
@@ -115,7 +145,6 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     # Written, so that the join's sides are plain shuffles, of which AQE splits hot partitions.
     twice = stored(words.by_slice(texts, seeds, "seed long").groupBy("seed").count().filter("count > 1").select("seed"), "seeds")
     found = stored(words.by_slice(texts, members, "key long, digest long, seed long, block long, start int, windows int").join(twice, "seed"), "blocks")
-    _release(docs)
 
     # The index: how often each block occurs, and one of its places.
     place = F.xxhash64("key", "digest", "start")
@@ -142,8 +171,7 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
             ["one", "two", *again, "nth"],
         )
 
-    border = stored(words.by_slice(texts.join(asked, ["key", "digest"]), windows, "one long, two long, seed long, block long, copies long, nth int"), "borders")
-    _release(docs)
+    border = stored(_unpacked(_packed(texts).join(asked, ["key", "digest"]), windows, "one long, two long, seed long, block long, copies long, nth int"), "borders")
     again = border.groupBy("one", "two").agg(F.sum("copies").alias("n")).filter("n > 1").select("one", "two")
     shared = (
         border.filter("copies = 1")
@@ -154,7 +182,7 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     every = F.lit(-1).cast("long").alias("mask")
     verdict = index.filter("copies > 1").select("seed", "block", every).unionByName(shared.select("seed", "block", "mask"))
     factors = found.join(verdict, ["seed", "block"]).groupBy("key", "digest").agg(F.collect_set(F.struct("start", "windows", "mask")).alias("factors"))
-    judged = rows.join(factors, ["key", "digest"], "left").drop("key", "digest")
+    judged = _packed(rows).join(factors, ["key", "digest"], "left").drop("key", "digest")
 
     def cut(piece):
         w = words.split(piece.column("text"), hashed=False)
@@ -174,8 +202,8 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
             [piece.schema.names[i] for i in keep] + list(RESULT),
         )
 
-    schema = judged.drop("text", "factors").schema.add("n_words", "long", False).add("n_removed", "long", False).add("kept", "string", False)
-    out = words.by_slice(judged, cut, schema)
+    schema = judged.drop("z", "factors").schema.add("n_words", "long", False).add("n_removed", "long", False).add("kept", "string", False)
+    out = _unpacked(judged, cut, schema)
     return out.select(F.col("id").alias(id_column), *RESULT, *[F.col(f"c{i}").alias(c) for i, c in enumerate(carried)])
 
 
