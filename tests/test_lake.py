@@ -3,10 +3,13 @@
 from pathlib import Path
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
+from ticklake.operators.envelope import envelopes
 from ticklake.operators.flatten import transform
 from ticklake.operators.writers import TickerTable
+from ticklake.plans import pipeline
 from ticklake.plans.pipeline import extract, load_backlog, load_one
 from ticklake.session import scratch_dir
 from ticklake.sources.lake import SnapshotLake
@@ -228,3 +231,21 @@ def test_a_cluster_must_name_its_shared_folder(spark, monkeypatch):
 
     with pytest.raises(RuntimeError, match=r"spark\.checkpoint\.dir"):
         scratch_dir(Cluster, "x")
+
+
+def test_a_load_reads_its_lines_once(spark, tmp_path, monkeypatch):
+    """Counts tell that all is whole; a second look is taken only where a line is broken or a snapshot comes in parts."""
+    looks = []
+    judged = pipeline._judged
+    monkeypatch.setattr(pipeline, "_judged", lambda scanned: looks.append(1) or judged(scanned))
+    lake, table = SnapshotLake(spark, str(tmp_path / "lake")), TickerTable(spark, str(tmp_path / "tickers"))
+    some = ticks(spark, *[tick(i, 1, s) for i, s in enumerate("ABCDEFGH")], tick(9, 2, "A"))
+    lake.land(envelopes(some), "raw", "r-1", 1)
+    watch = Observation()
+    assert pipeline.load_backlog(lake, table, "l-1", by_flag=True, watch=watch).count() == 2 and not looks
+    assert {k: v for k, v in pipeline.counts_of(watch).items() if k != "names"} == {"lines": 2, "broken": 0, "symbols": 9}
+    watch = Observation()
+    assert pipeline.load_backlog(lake, table, "l-2", by_flag=True, watch=watch).count() == 0 and not looks
+    lake.land(envelopes(some.filter("extraction_timestamp = 1"), parts=2), "raw", "r-2", 2)
+    assert pipeline.load_backlog(lake, table, "l-3", by_flag=True).count() == 1 and len(looks) == 1
+    assert lake.manifest().filter("NOT loaded").count() == 0

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ticklake.operators import backlog, envelope, flatten, loaded_index
 from ticklake.operators.writers import TickerTable
 from ticklake.plans.domain_sql import LATEST, LOOKBACK, MANIFEST, TICKER_COLUMNS
-from ticklake.plans.pipeline import extract, load_backlog, load_files, load_one
+from ticklake.plans.pipeline import counts_of, extract, load_backlog, load_files, load_one
 from ticklake.plans.registry import query
 from ticklake.session import scratch_dir, stored
 from ticklake.sources import bind, files, planned
@@ -170,6 +170,21 @@ def backlog_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tickers.read().drop("date")
 
 
+@query(
+    f"""WITH {LATEST}
+    SELECT count(DISTINCT (exchange_id, extraction_timestamp)) AS lines, 0 AS broken, count(*) AS symbols FROM latest"""
+)
+def load_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a load counted while it wrote, its landed lines being read once."""
+    root = scratch_dir(spark, "observed")
+    lake, tickers = SnapshotLake(spark, f"{root}/lake"), TickerTable(spark, f"{root}/tickers")
+    extract(bind.ticks(spark, sf_dir), lake, "raw_tickers", "run-1", 1000)
+    watch = Observation()
+    load_backlog(lake, tickers, "load-1", by_flag=True, watch=watch)
+    counted = tuple(counts_of(watch)[c] for c in ("lines", "broken", "symbols"))
+    return spark.createDataFrame([counted], "lines long, broken int, symbols long")
+
+
 @query(
     f"""WITH {LOOKBACK}
     SELECT {TICKER_COLUMNS} FROM latest SEMI JOIN (

@@ -5,7 +5,8 @@ from __future__ import annotations
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ticklake.operators.backlog import backlog
@@ -39,9 +40,13 @@ def load_backlog(
     by_flag: bool = False,
     recorded_at: int | None = None,
     on_corrupt: str = "quarantine",
+    watch: Observation | None = None,
 ) -> DataFrame:
     """Load what is missing: choose, transform, commit, and only then mark what was read.
 
+    Landed lines are read and parsed once, by the write itself, which also counts them (``watch`` gets ``load_counts``). Only
+    where the counts tell that lines are broken or snapshots absent, or come in parts, are they looked at again.
+
     Returns the manifest rows that were loaded. A run that failed is repeated with its ``load_id``:
     it takes the same snapshots again and replaces the rows it may have written. Landed lines that cannot be
     read are set aside (``on_corrupt="quarantine"``) or stop the load before anything is written (``"fail"``);
@@ -54,23 +59,60 @@ def load_backlog(
         target = None if by_flag else (table.recent() if style == "objects" else table.read())
         wanted = backlog(lake.manifest(), target, style)
     chosen = lake.plan(load_id, wanted)
-    scanned = lake.scan(chosen)
-    # Which snapshots are whole, and what is broken: small, and written down, as it is used twice.
-    # With the data in view, so that a line is judged here as it is below.
-    seen = stored(scanned.select(*VERSION_KEY, CORRUPT, F.size("data").alias("symbols")).distinct(), "seen")
-    broken = seen.filter(F.col(CORRUPT).isNotNull())
-    if not broken.isEmpty():
-        if on_corrupt == "fail":
+    if on_corrupt == "fail":
+        broken, _ = _judged(lake.scan(chosen))
+        if not broken.isEmpty():
             raise ValueError(f"Load {load_id}: landed lines cannot be read, {broken.count()} of them")
-        lake.set_aside(broken, load_id)
+    watch = watch or Observation()
+    scanned = lake.scan(chosen).observe(watch, *load_counts())
     table.append(transform(scanned.filter(F.col(CORRUPT).isNull()).select("metadata", "data")), load_id)
-    same = [F.col(f"c.{c}").eqNullSafe(F.col(f"s.{c}")) for c in VERSION_KEY]
-    whole = seen.filter(F.col(CORRUPT).isNull())
-    loaded = chosen.alias("c").join(whole.alias("s"), reduce(and_, same), "left_semi")
+    expected = chosen.agg(F.count(F.lit(1)).alias("lines"), _names()).first()
+    counted = counts_of(watch)
+    if (counted["lines"], counted["names"]) == (expected["lines"], expected["names"]):
+        # One readable line for each snapshot, as usual: nothing is read a second time.
+        loaded = chosen
+    else:
+        broken, whole = _judged(lake.scan(chosen))
+        if not broken.isEmpty():
+            lake.set_aside(broken, load_id)
+        same = [F.col(f"c.{c}").eqNullSafe(F.col(f"s.{c}")) for c in VERSION_KEY]
+        loaded = chosen.alias("c").join(whole.alias("s"), reduce(and_, same), "left_semi")
     lake.mark_loaded(loaded, recorded_at)
     return loaded
 
 
+def _names() -> Column:
+    """A sum that two sets of snapshots, each once, only share if they are the same, but for one chance in 10^18."""
+    return F.sum(F.xxhash64(*VERSION_KEY).cast("decimal(20,0)")).alias("names")
+
+
+def load_counts() -> list[Column]:
+    """What a load observes of the lines it reads: readable ones, broken ones, symbols, and which snapshots."""
+    good = F.col(CORRUPT).isNull()
+    name = F.when(good, F.xxhash64(*VERSION_KEY).cast("decimal(20,0)"))
+    return [
+        F.count_if(good).alias("lines"),
+        F.count_if(~good).alias("broken"),
+        F.coalesce(F.sum(F.when(good, F.size("data"))), F.lit(0)).alias("symbols"),
+        F.sum(name).alias("names"),
+    ]
+
+
+def counts_of(watch: Observation) -> dict[str, object]:
+    """What a load counted. Where there was nothing to read Spark drops the step that counts, and all counts are 0."""
+    try:
+        return watch.get
+    except Py4JJavaError:
+        return {"lines": 0, "broken": 0, "symbols": 0, "names": None}
+
+
+def _judged(scanned: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(broken lines, whole snapshots) of a scan, written down, as both are used."""
+    # With the data in view, so that a line is judged here as it is where rows are made.
+    seen = stored(scanned.select(*VERSION_KEY, CORRUPT, F.size("data").alias("symbols")).distinct(), "seen")
+    return seen.filter(F.col(CORRUPT).isNotNull()), seen.filter(F.col(CORRUPT).isNull())
+
+
 def load_one(
     spark: SparkSession,
     lake: SnapshotLake,

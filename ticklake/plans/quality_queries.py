@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticklake.functions.times import DAY_MS, HOUR_MS
-from ticklake.operators import quality
+from ticklake.operators import across, gaps, quality, ranges
 from ticklake.operators.bars import bars
 from ticklake.operators.candles import CandleStore
-from ticklake.plans.domain_sql import LATEST, TICKER_COLUMNS, TICKS, TRADES
+from ticklake.plans.domain_sql import LATEST, MANIFEST, TICKER_COLUMNS, TICKS, TRADES
 from ticklake.plans.registry import query
 from ticklake.plans.snapshot_queries import transform_tickers
 from ticklake.session import scratch_dir
@@ -114,3 +114,55 @@ def bar_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
 def freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Age of each venue's newest snapshot on 2024-02-15, stale after 15 days."""
     return quality.freshness(bind.ticks(spark, sf_dir), 1_707_955_200_000, 15 * DAY_MS)
+
+
+@query(
+    f"""WITH {MANIFEST}, steps AS (
+      SELECT exchange_id, extraction_timestamp // 3600000 AS slot,
+             lag(extraction_timestamp // 3600000) OVER (PARTITION BY exchange_id ORDER BY extraction_timestamp) AS before
+      FROM loaded)
+    SELECT exchange_id, (before + 1) * 3600000 AS gap_start, (slot - 1) * 3600000 AS gap_end, slot - before - 1 AS missing
+    FROM steps WHERE slot - before > 1"""
+)
+def missing_polls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hours without a loaded snapshot, venue by venue, sorted in blocks of five hours."""
+    ticks = bind.ticks(spark, sf_dir)
+    return gaps.missing_polls(ticks.filter(bind.is_loaded(ticks)), HOUR_MS, 5 * HOUR_MS)
+
+
+@query(
+    f"""WITH {LATEST}, l AS (
+      SELECT exchange_id, symbol, min(last) AS low, max(last) AS high, count(last) AS n FROM latest
+      WHERE extraction_timestamp < (SELECT max(extraction_timestamp) FROM latest) - 86400000 GROUP BY 1, 2)
+    SELECT exchange_id, symbol, extraction_timestamp, last,
+           coalesce(last < l.low + (l.high - l.low) * 0.25::DOUBLE OR last > l.high - (l.high - l.low) * 0.25::DOUBLE, false) AS out_of_range
+    FROM latest LEFT JOIN l USING (exchange_id, symbol)"""
+)
+def price_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prices against limits from all days but the newest, by merged sketches, whose ends are exact at any size.
+
+    The slack is negative here, so that some prices break their limits.
+    """
+    rows = transform_tickers(spark, sf_dir).select("exchange_id", "symbol", "extraction_timestamp", "last")
+    newest = rows.agg(F.max("extraction_timestamp")).scalar()
+    history = ranges.day_sketches(rows.filter(F.col("extraction_timestamp") < newest - DAY_MS))
+    return ranges.judged(rows, ranges.limits(history, 0.0, 1.0, -0.25))
+
+
+@query(
+    f"""WITH {LATEST}, grid AS (
+      SELECT i.symbol, i.extraction_timestamp, v.exchange_id
+      FROM (SELECT DISTINCT symbol, extraction_timestamp FROM latest) i
+      JOIN (SELECT DISTINCT symbol, exchange_id FROM latest) v ON i.symbol = v.symbol),
+    last_quotes AS (
+      SELECT g.symbol, g.extraction_timestamp, g.exchange_id, q.bid, q.ask FROM grid g ASOF JOIN latest q
+        ON g.symbol = q.symbol AND g.exchange_id = q.exchange_id AND g.extraction_timestamp >= q.extraction_timestamp)
+    SELECT symbol, extraction_timestamp, max(bid) AS best_bid,
+           first(exchange_id ORDER BY bid DESC, exchange_id) FILTER (bid IS NOT NULL) AS bid_venue,
+           min(ask) AS best_ask, first(exchange_id ORDER BY ask, exchange_id) FILTER (ask IS NOT NULL) AS ask_venue,
+           count(*) AS venues
+    FROM last_quotes GROUP BY 1, 2"""
+)
+def best_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best bid and ask of all venues at each instant, by the last quote of each."""
+    return across.best(transform_tickers(spark, sf_dir), 6 * HOUR_MS)

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from ticklake.contracts import LONG, MANIFEST, SNAPSHOT, STRING
 from ticklake.functions.paths import asset_path, snapshot_path
-from ticklake.functions.times import to_epoch_ms
+from ticklake.functions.times import to_epoch_ms, utc_date
 from ticklake.operators.flatten import is_snapshot
 from ticklake.operators.reduce import latest_by
 from ticklake.session import existing, stored
@@ -31,8 +31,15 @@ _STORED = T.StructType(
     ]
 )
 _LOGGED = T.StructType(
-    [*MANIFEST.struct.fields, T.StructField("withdrawn", T.BooleanType()), T.StructField("recorded_at", LONG)]
+    [
+        *MANIFEST.struct.fields,
+        T.StructField("withdrawn", T.BooleanType()),
+        T.StructField("recorded_at", LONG),
+        T.StructField("run_day", T.DateType()),
+    ]
 )
+# The log lies in folders by dataset and day of the run, so a landing reads its own day's records only.
+_LOG_FOLDERS = ("dataset", "run_day")
 
 # The same snapshot may be landed by several runs.
 VERSION_KEY = ["dataset", "exchange_id", "extraction_timestamp", "run_timestamp", "run_id"]
@@ -91,8 +98,9 @@ class SnapshotLake:
         if keys is None:
             keys = self._stored([folder]).filter(F.col(CORRUPT).isNull())
         landed = keys.select("exchange_id", "extraction_timestamp").distinct()
-        before = self._log().filter((F.col("run_id") == run_id) & (F.col("run_timestamp") == run_timestamp))
-        before = before.filter(F.col("dataset") == dataset).select("exchange_id", "extraction_timestamp").distinct()
+        before = self._log().filter((F.col("dataset") == dataset) & (F.col("run_day") == utc_date(run["run_timestamp"])))
+        before = before.filter((F.col("run_id") == run_id) & (F.col("run_timestamp") == run_timestamp))
+        before = before.select("exchange_id", "extraction_timestamp").distinct()
         state = landed.withColumn("withdrawn", F.lit(False)).unionByName(before.withColumn("withdrawn", F.lit(True)))
         state = state.groupBy("exchange_id", "extraction_timestamp").agg(F.min("withdrawn").alias("withdrawn"))
         asset = asset_path(F.concat_ws("_", "exchange_id", F.lit(dataset)))
@@ -126,8 +134,8 @@ class SnapshotLake:
     def _record(self, entries: DataFrame, recorded_at: int | None) -> None:
         """Add to the log. Records are ordered by ``recorded_at``, by default the time of writing."""
         at = int(time.time() * 1000) if recorded_at is None else recorded_at
-        logged = entries.withColumn("recorded_at", F.lit(at).cast("bigint"))
-        logged.write.mode("append").parquet(self.manifest_root)
+        logged = entries.withColumn("recorded_at", F.lit(at).cast("bigint")).withColumn("run_day", utc_date(F.col("run_timestamp")))
+        logged.hint("rebalance", *[F.col(c) for c in _LOG_FOLDERS]).write.partitionBy(*_LOG_FOLDERS).mode("append").parquet(self.manifest_root)
 
     def _log(self) -> DataFrame:
         read = self.spark.read.schema(_LOGGED)
@@ -142,7 +150,7 @@ class SnapshotLake:
     def compact_manifest(self) -> None:
         """Write the manifest's log anew with the last record of each version; not while a landing or load runs."""
         kept = stored(latest_by(self._log(), VERSION_KEY, ["recorded_at", "loaded"]).filter(~F.coalesce("withdrawn", F.lit(False))), "manifest")
-        kept.write.mode("overwrite").parquet(self.manifest_root)
+        kept.write.partitionBy(*_LOG_FOLDERS).mode("overwrite").parquet(self.manifest_root)
 
     def scan(self, chosen: DataFrame | None = None) -> DataFrame:
         """Lines of the runs of the chosen manifest rows (all by default): metadata, data, version key, corrupt text.
