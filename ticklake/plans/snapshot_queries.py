@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from ticklake.functions import paths
 from ticklake.functions.times import stamp, to_epoch_ms
-from ticklake.operators import envelope, flatten, metrics
+from ticklake.operators import envelope, flatten, metrics, unknown
 from ticklake.plans.domain_sql import LATEST, MANIFEST, TICKER_COLUMNS, TICKS
 from ticklake.plans.registry import query
-from ticklake.session import scratch_dir
+from ticklake.session import scratch_dir, stored
 from ticklake.sources import bind, files
 from ticklake.sources.lake import SnapshotLake
 
@@ -247,3 +247,43 @@ def sample_head(spark: SparkSession, sf_dir: str) -> DataFrame:
     order = ["exchange_id", "extraction_timestamp", "symbol"]
     return metrics.sample_head(transform_tickers(spark, sf_dir), order)
 
+
+
+@query(
+    f"""WITH {LATEST}
+    SELECT 'fee' AS field, 'BIGINT' AS kind, count(*) AS tickers, count(DISTINCT exchange_id) AS venues FROM latest WHERE tick_id % 3 <> 0
+    UNION ALL SELECT 'note', 'STRING', count(*), count(DISTINCT exchange_id) FROM latest WHERE exchange_id = 'click'
+    UNION ALL SELECT 'depth', 'OBJECT<level: BIGINT>', count(*), count(DISTINCT exchange_id) FROM latest"""
+)
+def unknown_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed tickers with fields that the contract doesn't have: which, of what type, how often."""
+    return unknown.report(unknown.ticker_fields(_with_extras(spark, sf_dir)))
+
+
+@query(
+    f"""WITH {LATEST}
+    SELECT exchange_id, extraction_timestamp, symbol, last,
+           CASE WHEN tick_id % 3 <> 0 THEN (tick_id % 10)::VARCHAR END AS fee, '{{"level":' || tick_id % 4 || '}}' AS depth FROM latest"""
+)
+def kept_extras(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contract rows as ever, with what the contract doesn't have beside them."""
+    lines = stored(_with_extras(spark, sf_dir), "lines")
+    rows = flatten.transform(flatten.parse_json_text(lines))
+    beside = unknown.extras(unknown.ticker_fields(lines))
+    both = rows.join(beside, ["exchange_id", "extraction_timestamp", "symbol"], "left")
+    return both.select("exchange_id", "extraction_timestamp", "symbol", "last", F.try_element_at("extras", F.lit("fee")).alias("fee"), F.try_element_at("extras", F.lit("depth")).alias("depth"))
+
+
+def _with_extras(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Snapshots as JSON text, whose tickers have a fee (two of three), a note (one venue) and a nested depth."""
+    ticks = envelope.latest_ticks(bind.ticks(spark, sf_dir).select("exchange_id", "extraction_timestamp", "symbol", "tick_id", "last"))
+    ticker = F.struct(
+        "symbol",
+        "last",
+        F.when(F.col("tick_id") % 3 != 0, F.col("tick_id") % 10).alias("fee"),
+        F.when(F.col("exchange_id") == "click", F.lit("n")).alias("note"),
+        F.struct((F.col("tick_id") % 4).alias("level")).alias("depth"),
+    )
+    nested = ticks.groupBy("exchange_id", "extraction_timestamp").agg(F.map_from_entries(F.collect_list(F.struct("symbol", ticker))).alias("data"))
+    metadata = F.struct(F.col("extraction_timestamp").alias("timestamp"), "exchange_id").alias("metadata")
+    return nested.select(F.to_json(F.struct(metadata, "data")).alias("value"))
