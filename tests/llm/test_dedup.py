@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ticklake.llm import exact_dedup, near_dedup, substrings
+from ticklake.llm import exact_dedup, groups as grouped, near_dedup, substrings
 
 from .data import SCHEMA, documents, words
 
@@ -120,7 +120,7 @@ def test_near_large_nodes_branch_and_are_compared_in_blocks(spark, leaf, depth,
     df = spark.createDataFrame(rows, "doc_id long, text string")
     features = near_dedup.words.by_slice(df, lambda p: near_dedup._features(p, 5), "doc_id long, n_shingles long, one long, two long, sketch binary")
     links = near_dedup.links(near_dedup.classes_of(features), df, 85, 5, leaf=leaf, depth=depth)
-    reach = {r.id: r.component for r in groups.components(links).collect()}
+    reach = {r.id: r.component for r in grouped.components(links).collect()}
     expected = near_brute(rows, 85)
     assert {(i, reach.get(i, i)) for i, _ in rows} == {(k[0], k[2]) for k in expected}
 
@@ -134,7 +134,7 @@ def test_common_counts():
 
 def test_components_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(1, 30)] + [(50, 60), (55, 60)], "a long, b long")
-    got = {r.id: r.component for r in groups.components(links).collect()}
+    got = {r.id: r.component for r in grouped.components(links).collect()}
     assert got == {i: 1 for i in range(2, 31)} | {55: 50, 60: 50}
 
 
