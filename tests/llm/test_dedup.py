@@ -125,6 +125,57 @@ def test_near_large_nodes_branch_and_are_compared_in_blocks(spark, leaf, depth,
     assert {(i, reach.get(i, i)) for i, _ in rows} == {(k[0], k[2]) for k in expected}
 
 
+def near_links(spark, rows, **limits):
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    features = near_dedup.words.by_slice(df, lambda p: near_dedup._features(p, 5), "doc_id long, n_shingles long, one long, two long, sketch binary")
+    return near_dedup.links(near_dedup.classes_of(features), df, 85, 5, **limits)
+
+
+def test_near_work_grows_with_a_cluster_not_its_square(spark, monkeypatch):
+    """Rows compared and texts confirmed, for clusters of distinct near copies far above a leaf."""
+    monkeypatch.setattr(near_dedup, "LEAF", 32)
+    monkeypatch.setattr(near_dedup, "STAR", 8)
+    seen = {}
+    candidates, confirmed = near_dedup._candidates, near_dedup._confirmed
+
+    def count_rows(nodes, threshold):
+        nodes = near_dedup.stored(nodes, "counted")
+        seen["rows"] += nodes.count()
+        return candidates(nodes, threshold)
+
+    def count_texts(groups, *rest):
+        groups = near_dedup.stored(groups.distinct(), "counted")
+        seen["texts"] += groups.count()
+        return confirmed(groups, *rest)
+
+    monkeypatch.setattr(near_dedup, "_candidates", count_rows)
+    monkeypatch.setattr(near_dedup, "_confirmed", count_texts)
+    base, per = [f"b{i}" for i in range(120)], []
+    for n in (150, 600):
+        seen.update(rows=0, texts=0)
+        rows = [(i, " ".join([*base[: i % 119], f"own{i}", *base[i % 119 + 1 :]])) for i in range(n)]
+        reach = {r.id: r.component for r in grouped.components(near_links(spark, rows, leaf=32)).collect()}
+        assert reach == dict.fromkeys(range(1, n), 0)
+        per.append((seen["rows"] / n, seen["texts"] / n))
+    assert per[1][0] < 1.5 * per[0][0] and per[1][1] < 1.5 * per[0][1] and per[1][1] < 8, per
+
+
+def test_near_clusters_that_one_text_connects(spark, monkeypatch):
+    """Two clusters too unlike to be linked but for a text between them; long groups go on in portions."""
+    monkeypatch.setattr(near_dedup, "LEAF", 8)
+    monkeypatch.setattr(near_dedup, "STAR", 4)
+    monkeypatch.setattr(near_dedup, "SHINGLES", 400)
+    base = [f"b{i}" for i in range(200)]
+    other = [*base[:170], *(f"c{i}" for i in range(30))]
+    between = [*base[:185], *(f"c{i}" for i in range(15, 30))]
+    rows = [(i, " ".join([*base[:i], f"own{i}", *base[i + 1 :]])) for i in range(40)]
+    rows += [(100 + i, " ".join([*other[:i], f"own{i}x", *other[i + 1 :]])) for i in range(40)]
+    for extra in ([], [(50, " ".join(between))]):
+        links = near_links(spark, rows + extra, leaf=8, depth=2)
+        reach = {r.id: r.component for r in grouped.components(links).collect()}
+        assert {(i, reach.get(i, i)) for i, _ in rows + extra} == {(k[0], k[2]) for k in near_brute(rows + extra, 85)}
+
+
 def test_common_counts():
     rng = np.random.default_rng(1)
     sets = [np.unique(rng.integers(0, 9000, n).astype(np.uint64)) for n in (1, 50, 4000, 6000, 0, 300)]

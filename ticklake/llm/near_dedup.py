@@ -6,8 +6,11 @@ values of randomly chosen coordinates, one at each level, the first without repe
 their shingles stay together with probability j. A node with at most ``leaf`` classes is compared exhaustively by
 sketch; larger ones branch on, for at most ``DEPTH`` levels.
 
-Nodes that are still large after ``DEPTH`` levels hold classes that resemble each other: they are compared in full,
-as pairs of blocks, so nothing is capped.
+Large nodes are mostly clusters of distinct near copies. Before they branch on, ``PIVOTS`` random members of a node
+are compared with all others, and each class is confirmed with the one pivot it resembles most: a cluster falls into one
+component with one confirmation a class. From then on two classes of one component are never compared, and nodes that
+hold nothing else are dropped, so work grows with a cluster's size, not its square. Nodes that are still large and
+mixed after ``DEPTH`` levels are compared in full, as pairs of blocks of different components, so nothing is capped.
 
 Candidates agree in at least ``least`` coordinates. ``least`` and the number of trees follow from the threshold
 (``plan``): by the binomial the cut loses at most a tenth of ``MISS``, and cut and trees together, which share one
@@ -16,11 +19,12 @@ that gives 20 trees and 38 coordinates (one pair in 710,000 is missed, in small
 27 and 33 (one in 570,000, in small nodes one in 12 million). Thresholds of about 0.65 and less would need more
 trees than a sketch has coordinates; they get that many, and ``missed`` tells what these lose. Groups of classes connected by candidates, not pairs, go on: their full sets are built anew from
 whole texts, all links among them are counted exactly, and each class is returned with the smallest one it is
-connected with. So neither copies nor groups of near copies are expanded into pairs. Components come from
+connected with. Groups of many or long texts are confirmed in portions of about ``SHINGLES`` shingles. So neither copies nor groups of near copies are expanded into pairs. Components come from
 alternating large-star and small-star steps.
 
 Edge cases: NULL or empty text has an empty set, links with nothing and is kept; a text shorter than a
-shingle is one shingle; rows with a NULL id link with nothing, get a NULL component and are kept; rows that
+shingle is one shingle; very long texts count whole, their sets are held one block at a time; extra columns are
+ignored (``deduplicated`` returns them as they are); equal texts are one class, the smallest id of it stays; rows with a NULL id link with nothing, get a NULL component and are kept; rows that
 share an id are one node, though each keeps its own set; an empty table gives an empty result.
 """
 
@@ -46,6 +50,9 @@ TREES = 14  # at least
 MISS = 2e-6
 LEAF = 512
 DEPTH = 3
+STAR = 64  # classes in a node above which it gets pivots
+PIVOTS = 8  # expected in such a node
+SHINGLES = 2_000_000  # in one confirmation, but for longer single texts
 
 _rng = np.random.default_rng(6)
 _MULTIPLY = _rng.integers(0, 1 << 63, SKETCH, dtype=np.uint64) << np.uint64(1) | np.uint64(1)
@@ -150,44 +157,128 @@ def _branch(nodes: DataFrame, picks: int, salt: int) -> DataFrame:
     return nodes.select("path", "id", "sketch").mapInArrow(run, "path long, id long")
 
 
+def _agreeing(sk: np.ndarray, size: np.ndarray, a: np.ndarray, b: np.ndarray, threshold: int, least: int) -> np.ndarray:
+    """Which of the pairs (a, b) are candidates: sizes allow the threshold and sketches agree."""
+    out = 100 * np.minimum(size[a], size[b]) >= threshold * np.maximum(size[a], size[b])
+    at = np.flatnonzero(out)
+    out[at] = (sk[a[at]] == sk[b[at]]).sum(-1) >= least
+    return out
+
+
+def _portions(size: np.ndarray) -> list[np.ndarray]:
+    """Places in portions that two at a time hold about ``SHINGLES``, but for a longer last text of each."""
+    portion = (np.cumsum(size) - size) // max(1, SHINGLES // 2)
+    return np.split(np.arange(len(size)), np.flatnonzero(np.diff(portion)) + 1)
+
+
 def _candidates(nodes: DataFrame, threshold: int) -> DataFrame:
     """(group, id): within each node the classes that are connected by candidate pairs, compared exhaustively.
 
-    A group's name is made of its members, so that the trees find it once.
+    Classes of one ``part`` are connected already and make no pair. A group's name is made of its members, so that the
+    trees find it once; a group of many shingles goes on as all pairs of its portions.
     """
     _, least = plan(threshold)
 
     def work(table, cuts):
-        size, ids = table.column("size").to_numpy(), table.column("id").to_numpy()
+        size, ids, part = (table.column(c).to_numpy() for c in ("size", "id", "part"))
         sketches = _sketches(table.column("sketch").combine_chunks())
         groups, members = [], []
         for lo, hi in zip(cuts, [*cuts[1:], table.num_rows], strict=True):
+            own = part[lo:hi]
+            if (own == own[0]).all():
+                continue
             a, b = np.triu_indices(hi - lo, 1)
-            n, sk = size[lo:hi], sketches[lo:hi]
-            ok = 100 * np.minimum(n[a], n[b]) >= threshold * np.maximum(n[a], n[b])
-            a, b = a[ok], b[ok]
-            ok = (sk[a] == sk[b]).sum(-1) >= least
+            other = own[a] != own[b]
+            a, b = a[other], b[other]
+            ok = _agreeing(sketches[lo:hi], size[lo:hi], a, b, threshold, least)
             a, b = a[ok], b[ok]
             if len(a):
                 label = grouped.joined(hi - lo, a, b)
                 for root in np.unique(label[a]):
-                    own = np.unique(ids[lo:hi][label == root])
-                    if len(own) > 1:
-                        groups.append(np.full(len(own), xxhash.xxh3_64_intdigest(own.tobytes()), np.uint64).view(np.int64))
-                        members.append(own)
+                    own, first = np.unique(ids[lo:hi][label == root], return_index=True)
+                    pieces = _portions(size[lo:hi][label == root][first])
+                    for i, x in enumerate(pieces):
+                        for y in pieces[i + 1 :] or ([x[:0]] if i == 0 else []):
+                            both = own[np.concatenate([x, y])]
+                            if len(both) > 1:
+                                groups.append(np.full(len(both), xxhash.xxh3_64_intdigest(both.tobytes()), np.uint64).view(np.int64))
+                                members.append(both)
         if groups:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(groups)), pa.array(np.concatenate(members))], ["group", "id"])
 
-    return grouped.by_group(nodes.select("path", "id", "size", "sketch"), "path", work, "group long, id long")
+    return grouped.by_group(nodes.select("path", "id", "size", "sketch", "part"), "path", work, "group long, id long")
+
+
+def _stars(nodes: DataFrame, threshold: int, salt: int) -> DataFrame:
+    """(group, id): pivots of each node that are candidates of each other, and each class with its likeliest pivot.
+
+    Pivots are the classes whose hash is below a share of the node, so the nodes of a cluster choose alike. Members
+    meet them in blocks of about a leaf.
+    """
+    _, least = plan(threshold)
+    blocks = F.ceil(F.col("n") / LEAF).cast("int")
+    share = F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(1 << 32)) / float(1 << 32)
+    pivots = nodes.filter(share < PIVOTS / F.col("n"))
+    everywhere = pivots.withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1))).withColumn("pivot", F.lit(True))
+    members = nodes.withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int")).withColumn("pivot", F.lit(False))
+    met = members.unionByName(everywhere).select(F.xxhash64("path", "block").alias("path"), "id", "size", "sketch", "part", "pivot")
+
+    def work(table, cuts):
+        size, ids, part = (table.column(c).to_numpy() for c in ("size", "id", "part"))
+        leads = table.column("pivot").to_numpy()
+        sketches = _sketches(table.column("sketch").combine_chunks())
+        out = [], [], [], []
+        for lo, hi in zip(cuts, [*cuts[1:], table.num_rows], strict=True):
+            lead = lo + np.flatnonzero(leads[lo:hi])
+            follow = lo + np.flatnonzero(~leads[lo:hi])
+            a, b = np.repeat(follow, len(lead)), np.tile(lead, len(follow))
+            other = part[a] != part[b]
+            a, b = a[other], b[other]
+            ok = _agreeing(sketches, size, a, b, threshold, least)
+            a, b = a[ok], b[ok]
+            for column, values in zip(out, (ids[a], ids[b], size[a], (sketches[a] == sketches[b]).sum(-1)), strict=True):
+                column.append(values)
+        if sum(map(len, out[0])):
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], ["id", "lead", "size", "same"])
+
+    near = grouped.by_group(met, "path", work, "id long, lead long, size long, same long")
+    best = F.max_by(F.col("lead"), F.struct("same", -F.col("lead"))).alias("lead")
+    stars = stored(near.groupBy("id").agg(best, F.first("size").alias("size")), "stars")
+    split = stars.groupBy("lead").agg(F.greatest(F.ceil(2 * F.count(F.lit(1)) / LEAF), F.ceil(F.sum("size") / SHINGLES)).alias("splits"))
+    dealt = stars.join(split, "lead").select(F.xxhash64("lead", F.pmod(F.xxhash64("id"), "splits")).alias("group"), "id", "lead")
+    return (
+        dealt.select("group", "id")
+        .unionByName(dealt.select("group", F.col("lead").alias("id")))
+        .unionByName(_candidates(pivots, threshold))
+        .distinct()
+    )
+
+
+def _parts(nodes: DataFrame, known: DataFrame | None) -> DataFrame:
+    """``nodes`` with the component each class is known to be in (``part``), its own id by default."""
+    if known is None:
+        return nodes.withColumn("part", F.col("id"))
+    reach = known.withColumnRenamed("component", "part")
+    return nodes.join(reach, "id", "left").withColumn("part", F.coalesce("part", "id"))
 
 
 def _blocks(nodes: DataFrame) -> DataFrame:
-    """Nodes too large for one comparison as all pairs of blocks of about half a leaf, by hashes of ids."""
-    count = F.ceil(2 * F.col("n") / LEAF).cast("int")
-    own = F.pmod(F.xxhash64("id"), count).cast("int")
-    dealt = nodes.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), count - 1)))
+    """Nodes too large for one comparison as pairs of blocks of about half a leaf, by hashes of ids.
+
+    A component with more classes than a block has its own blocks, which don't meet each other.
+    """
+    held = nodes.groupBy("path", "part").agg(F.count(F.lit(1)).alias("m"))
+    held = held.withColumn("whole", F.when(2 * F.col("m") > LEAF, F.col("part")))
+    blocks = held.groupBy(F.col("path").alias("node"), F.col("whole").alias("its")).agg(F.ceil(2 * F.sum("m") / LEAF).cast("int").alias("splits"))
+    own = held.join(blocks, (F.col("path") == F.col("node")) & F.col("whole").eqNullSafe(F.col("its")))
+    dealt = nodes.join(own.select("path", "part", "whole", "splits"), ["path", "part"])
+    dealt = dealt.withColumn("own", F.xxhash64("whole", F.pmod(F.xxhash64("id"), "splits").cast("int")))
+    # A row for each half leaf of a node.
+    others = blocks.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("splits") - 1)))
+    others = others.select(F.col("node").alias("path"), "its", F.xxhash64("its", "block").alias("other"))
+    met = dealt.join(others, "path").filter("whole IS NULL OR its IS NULL OR whole != its")
     pair = F.xxhash64("path", F.least("own", "other"), F.greatest("own", "other"))
-    return dealt.select(pair.alias("path"), "id", "size", "sketch")
+    return met.select(pair.alias("path"), "id", "size", "sketch", "part")
 
 
 def common(sets: list[np.ndarray]) -> np.ndarray:
@@ -201,7 +292,7 @@ def common(sets: list[np.ndarray]) -> np.ndarray:
     doc, column = doc[column >= 0], column[column >= 0]
     order = np.argsort(column, kind="stable")
     doc, column = doc[order], column[order]
-    out = np.zeros((len(sets), len(sets)), np.float32)
+    out = np.zeros((len(sets), len(sets)))  # each summand is exact in single precision, the sum in double
     for lo in range(0, len(shared), 2048):
         i, j = np.searchsorted(column, [lo, lo + 2048])
         x = np.zeros((len(sets), 2048), np.float32)
@@ -237,9 +328,10 @@ def _confirmed(groups: DataFrame, docs: DataFrame, threshold: int, width: int) -
         for lo, hi in zip(cuts, [*cuts[1:], table.num_rows], strict=True):
             if hi - lo < 2:
                 continue
-            value, first = shingles(pa.array([unzip.decompress(x).decode() for x in z.slice(lo, hi - lo).to_pylist()], pa.large_string()), width)
-            size = np.diff(first)
-            both = common([value[i:j] for i, j in zip(first[:-1], first[1:], strict=True)])
+            # One text at a time: sets are kept, texts are not.
+            sets = [shingles(pa.array([unzip.decompress(z[i].as_py()).decode()], pa.large_string()), width)[0] for i in range(lo, hi)]
+            size = np.array([len(x) for x in sets])
+            both = common(sets)
             a, b = np.nonzero(np.triu((both > 0) & (100 * both >= threshold * (size[:, None] + size - both)), 1))
             if len(a):
                 own = ids[lo:hi]
@@ -263,22 +355,29 @@ def links(
 ) -> DataFrame:
     """Pairs (a, b) of ids of classes with different sets that confirmed links connect."""
     trees = trees or plan(threshold, depth)[0]
-    nodes, found = _branch(classes.withColumn("path", F.lit(0).cast("long")), trees, 1), []
+    nodes, found, sure, known = _branch(classes.withColumn("path", F.lit(0).cast("long")), trees, 1), [], [], None
     for level in range(1, depth + 1):
         nodes = stored(nodes, "nodes")
         sizes = stored(nodes.groupBy("path").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "sizes")
         # Most classes are alone in their nodes; only the others get their sketches.
         members = stored(nodes.join(sizes, "path").join(classes.select("id", "size", "sketch"), "id"), "members")
-        found.append(members.filter(F.col("n") <= leaf))
-        large = members.filter(F.col("n") > leaf)
+        crowded = members.filter(F.col("n") > min(STAR, leaf))
+        if not crowded.isEmpty():
+            sure.append(_confirmed(_stars(_parts(crowded, known), threshold, level), docs, threshold, width))
+            known = grouped.components(reduce(DataFrame.unionByName, sure))
+        found.append(members.filter(F.col("n") <= leaf).select("path", "id", "size", "sketch"))
+        large = _parts(members.filter(F.col("n") > leaf), known)
+        mixed = large.groupBy("path").agg(F.min("part").alias("x"), F.max("part").alias("y")).filter("x < y").select("path")
+        large = stored(large.join(mixed, "path", "left_semi"), "large")
         if large.isEmpty():
             break
-        if level == depth:
-            found.append(_blocks(large))
-        else:
+        if level < depth:
             nodes = _branch(large, 1, level + 1)
-    compared = reduce(DataFrame.unionByName, [f.select("path", "id", "size", "sketch") for f in found])
-    return _confirmed(_candidates(compared, threshold), docs, threshold, width)
+    compared = _parts(reduce(DataFrame.unionByName, found), known)
+    if level == depth:
+        compared = compared.unionByName(_blocks(large).select(*compared.columns))
+    sure.append(_confirmed(_candidates(compared, threshold), docs, threshold, width))
+    return reduce(DataFrame.unionByName, sure)
 
 
 def near_duplicates(docs: DataFrame, threshold: int = 85, width: int = SHINGLE, trees: int | None = None) -> DataFrame:
