@@ -249,3 +249,23 @@ def test_a_load_reads_its_lines_once(spark, tmp_path, monkeypatch):
     lake.land(envelopes(some.filter("extraction_timestamp = 1"), parts=2), "raw", "r-2", 2)
     assert pipeline.load_backlog(lake, table, "l-3", by_flag=True).count() == 1 and len(looks) == 1
     assert lake.manifest().filter("NOT loaded").count() == 0
+
+
+def test_many_runs_are_joined_not_named(spark, lake, table, monkeypatch):
+    """Above a bounded number of runs the driver names datasets only; what is loaded is the same, broken lines too."""
+    for n in range(6):
+        extract(ticks(spark, tick(2 * n, 100 + n), tick(2 * n + 1, 100 + n, exchange="y")), lake, "raw_tickers", f"r{n}", 5 + n)
+    for part in Path(lake._run_folder("raw_tickers", 5, "r0")).glob("exchange_id=y/*.json"):
+        part.write_text(part.read_text()[:20] + "\n")
+        part.with_name(f".{part.name}.crc").unlink(missing_ok=True)
+    chosen = lake.manifest().filter("run_timestamp < 9")
+    shape = ("dataset", "run_id", "exchange_id", "_corrupt_record", "extraction_timestamp")
+    named = rows(lake.scan(chosen), *shape)
+    monkeypatch.setattr("ticklake.sources.lake.NAMED_RUNS", 2)
+    seen = []
+    stored_of = lake._stored
+    monkeypatch.setattr(lake, "_stored", lambda where=None: seen.append(where) or stored_of(where))
+    assert rows(lake.scan(chosen), *shape) == named and len(named) == 8
+    assert seen == [[f"{lake.snapshot_root}/dataset=raw_tickers"]]
+    assert load_backlog(lake, table, "l1", by_flag=True).count() == 11
+    assert rows(lake.quarantined(), "exchange_id", "run_id") == [("y", "r0")]

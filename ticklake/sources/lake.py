@@ -20,6 +20,7 @@ from ticklake.session import existing, stored
 
 CORRUPT = "_corrupt_record"
 RUN = ["dataset", "run_timestamp", "run_id"]
+NAMED_RUNS = 256  # whose folders a scan names one by one
 _STORED = T.StructType(
     [
         *SNAPSHOT.fields,
@@ -155,16 +156,21 @@ class SnapshotLake:
     def scan(self, chosen: DataFrame | None = None) -> DataFrame:
         """Lines of the runs of the chosen manifest rows (all by default): metadata, data, version key, corrupt text.
 
-        Only those runs' folders are listed and read. A folder that is gone is left out; its snapshots are then
-        missing from the result. Unreadable lines have their text in ``_corrupt_record`` and no other value but
+        Only those runs' folders are read. The folders of few runs are named one by one; of more than ``NAMED_RUNS`` the
+        driver never holds a list: their datasets are listed by tasks, and the runs joined, which prunes the
+        folders that are read. A folder that is gone is left out; its snapshots are then missing from the result. Unreadable lines have their text in ``_corrupt_record`` and no other value but
         their folder's. ``chosen`` should be a stored table, as ``plan`` returns it.
         """
         if chosen is None:
             chosen, found = self.manifest(), self._stored()
         else:
-            # One row per landing run; a plan names few.
-            runs = chosen.select(*RUN).distinct().collect()
-            found = self._stored([self._run_folder(*r) for r in runs]) if runs else self._stored([])
+            runs = chosen.select(*RUN).distinct()
+            few = runs.limit(NAMED_RUNS + 1).collect()
+            if len(few) <= NAMED_RUNS:
+                found = self._stored([self._run_folder(*r) for r in few])
+            else:
+                datasets = chosen.select("dataset").distinct().collect()
+                found = self._stored([f"{self.snapshot_root}/dataset={d.dataset}" for d in datasets]).join(runs, RUN, "left_semi")
         # A snapshot may lack its venue or instant, so those two compare NULLs as equal.
         same = F.lit(True)
         for c in VERSION_KEY:
