@@ -134,7 +134,6 @@ def near_links(spark, rows, **limits):
 def test_near_work_grows_with_a_cluster_not_its_square(spark, monkeypatch):
     """Rows compared and texts confirmed, for clusters of distinct near copies far above a leaf."""
     monkeypatch.setattr(near_dedup, "LEAF", 32)
-    monkeypatch.setattr(near_dedup, "STAR", 8)
     seen = {}
     candidates, confirmed = near_dedup._candidates, near_dedup._confirmed
 
@@ -163,7 +162,6 @@ def test_near_work_grows_with_a_cluster_not_its_square(spark, monkeypatch):
 def test_near_clusters_that_one_text_connects(spark, monkeypatch):
     """Two clusters too unlike to be linked but for a text between them; long groups go on in portions."""
     monkeypatch.setattr(near_dedup, "LEAF", 8)
-    monkeypatch.setattr(near_dedup, "STAR", 4)
     monkeypatch.setattr(near_dedup, "SHINGLES", 400)
     base = [f"b{i}" for i in range(200)]
     other = [*base[:170], *(f"c{i}" for i in range(30))]

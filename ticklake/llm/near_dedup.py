@@ -50,8 +50,7 @@ TREES = 14  # at least
 MISS = 2e-6
 LEAF = 512
 DEPTH = 3
-STAR = 64  # classes in a node above which it gets pivots
-PIVOTS = 8  # expected in such a node
+PIVOTS = 8  # expected in a large node
 SHINGLES = 2_000_000  # in one confirmation, but for longer single texts
 
 _rng = np.random.default_rng(6)
@@ -262,6 +261,12 @@ def _parts(nodes: DataFrame, known: DataFrame | None) -> DataFrame:
     return nodes.join(reach, "id", "left").withColumn("part", F.coalesce("part", "id"))
 
 
+def _mixed(nodes: DataFrame) -> DataFrame:
+    """The nodes that hold more than one component."""
+    mixed = nodes.groupBy("path").agg(F.min("part").alias("x"), F.max("part").alias("y")).filter("x < y").select("path")
+    return nodes.join(mixed, "path", "left_semi")
+
+
 def _blocks(nodes: DataFrame) -> DataFrame:
     """Nodes too large for one comparison as pairs of blocks of about half a leaf, by hashes of ids.
 
@@ -361,14 +366,12 @@ def links(
         sizes = stored(nodes.groupBy("path").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "sizes")
         # Most classes are alone in their nodes; only the others get their sketches.
         members = stored(nodes.join(sizes, "path").join(classes.select("id", "size", "sketch"), "id"), "members")
-        crowded = members.filter(F.col("n") > min(STAR, leaf))
+        crowded = _mixed(_parts(members.filter(F.col("n") > leaf), known))
         if not crowded.isEmpty():
-            sure.append(_confirmed(_stars(_parts(crowded, known), threshold, level), docs, threshold, width))
+            sure.append(_confirmed(_stars(crowded, threshold, level), docs, threshold, width))
             known = grouped.components(reduce(DataFrame.unionByName, sure))
         found.append(members.filter(F.col("n") <= leaf).select("path", "id", "size", "sketch"))
-        large = _parts(members.filter(F.col("n") > leaf), known)
-        mixed = large.groupBy("path").agg(F.min("part").alias("x"), F.max("part").alias("y")).filter("x < y").select("path")
-        large = stored(large.join(mixed, "path", "left_semi"), "large")
+        large = stored(_mixed(_parts(members.filter(F.col("n") > leaf), known)), "large")
         if large.isEmpty():
             break
         if level < depth:
