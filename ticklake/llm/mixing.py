@@ -81,10 +81,12 @@ def mix(
     buckets: int = BUCKETS,
     seed: str = SEED,
     carry: tuple[str, ...] = (),
+    ordered: bool = True,
 ) -> DataFrame:
     """``docs`` with (doc_id, source, size) -> doc_id, source, size, source_size, target, taken, ``finish``, ``carry``.
 
-    ``finish`` is the virtual time at which the document's first pass is done; rows are range-sorted by it.
+    ``finish`` is the virtual time at which the document's first pass is done; rows are range-sorted by it, unless
+    ``ordered`` is false.
     """
     key = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
     rows = docs.select("doc_id", "source", "size", *carry, key.alias("_key")).withColumn(
@@ -132,7 +134,7 @@ def mix(
         F.when(F.col("target") > 0, (F.col("_before") + F.col("size")) / F.col("target")).alias("finish"),
         *carry,
     )
-    return mixed.repartitionByRange("finish").sortWithinPartitions("finish")
+    return mixed.repartitionByRange("finish").sortWithinPartitions("finish") if ordered else mixed
 
 
 def expanded(docs: DataFrame, weights=cycling_weights, share: float = 1.0, max_repeats: int = 3) -> DataFrame:
@@ -142,7 +144,8 @@ def expanded(docs: DataFrame, weights=cycling_weights, share: float = 1.0, max_r
     """
     row = F.struct(*[F.col(c) for c in docs.columns])
     sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), row.alias("_row"))
-    mixed = mix(sized, weights, share, max_repeats, carry=("_row",))
+    # Sorted once, below, by the time of each pass.
+    mixed = mix(sized, weights, share, max_repeats, carry=("_row",), ordered=False)
     copies = F.floor(F.col("taken") / F.col("size") + 0.5).cast("int")
     passes = F.explode(F.sequence(F.lit(0), copies - 1)).alias("_pass")
     served = mixed.filter((F.col("size") > 0) & (copies > 0)).select("_row", "finish", "source_size", "target", passes)
