@@ -159,6 +159,32 @@ def test_near_work_grows_with_a_cluster_not_its_square(spark, monkeypatch):
     assert per[1][0] < 1.5 * per[0][0] and per[1][1] < 1.5 * per[0][1] and per[1][1] < 8, per
 
 
+def test_near_texts_are_read_once_and_parts_joined_to_classes(spark, monkeypatch):
+    """Nodes that stay large and mixed on every level cost no further pass over texts and no join a place in a tree."""
+    monkeypatch.setattr(near_dedup, "LEAF", 8)
+    read, joined, parts = spark.sparkContext.accumulator(0), [], near_dedup._parts
+
+    def counted(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    def count_rows(classes, known):
+        joined.append(classes.count())
+        return parts(classes, known)
+
+    monkeypatch.setattr(near_dedup, "_parts", count_rows)
+    base = [f"b{i}" for i in range(100)]
+    rows = [(i, " ".join([*base[:i], f"own{i}", *base[i + 1 :]])) for i in range(40)]
+    rows += [(100 + i, " ".join([*base[:80], *(f"far{i}x{k}" for k in range(20))])) for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    features = near_dedup.words.by_slice(df, lambda p: near_dedup._features(p, 5), "doc_id long, n_shingles long, one long, two long, sketch binary")
+    links = near_dedup.links(near_dedup.classes_of(features), df.mapInArrow(counted, df.schema), 85, 5, leaf=8)
+    reach = {r.id: r.component for r in grouped.components(links).collect()}
+    assert {(i, reach.get(i, i)) for i, _ in rows} == {(k[0], k[2]) for k in near_brute(rows, 85)}
+    assert read.value == len(rows) and joined and max(joined) <= len(rows), (read.value, joined)
+
+
 def test_near_clusters_that_one_text_connects(spark, monkeypatch):
     """Two clusters too unlike to be linked but for a text between them; long groups go on in portions."""
     monkeypatch.setattr(near_dedup, "LEAF", 8)

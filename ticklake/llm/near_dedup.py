@@ -6,11 +6,12 @@ values of randomly chosen coordinates, one at each level, the first without repe
 their shingles stay together with probability j. A node with at most ``leaf`` classes is compared exhaustively by
 sketch; larger ones branch on, for at most ``DEPTH`` levels.
 
-Large nodes are mostly clusters of distinct near copies. Before they branch on, ``PIVOTS`` random members of a node
-are compared with all others, and each class is confirmed with the one pivot it resembles most: a cluster falls into one
-component with one confirmation a class. From then on two classes of one component are never compared, and nodes that
-hold nothing else are dropped, so work grows with a cluster's size, not its square. Nodes that are still large and
-mixed after ``DEPTH`` levels are compared in full, as pairs of blocks of different components, so nothing is capped.
+Branching sheds what only shares a passage; nodes that are still large after ``DEPTH`` levels are mostly clusters of
+distinct near copies, met in most trees. Of these, nodes with the same least member (by hash) become one, so a cluster is
+worked off a few times, not once a tree. ``PIVOTS`` random members of such a node are compared with all others, and the
+candidates are confirmed in portions, each with all the pivots: a cluster falls into one component with one confirmation a class. From then on two classes of one component are never compared, in nodes of any level, and large nodes that
+hold nothing else are dropped, so work grows with a cluster's size, not its square. Large nodes that are still mixed
+are compared in full, as pairs of blocks of different components, so nothing is capped.
 
 Candidates agree in at least ``least`` coordinates. ``least`` and the number of trees follow from the threshold
 (``plan``): by the binomial the cut loses at most a tenth of ``MISS``, and cut and trees together, which share one
@@ -19,7 +20,8 @@ that gives 20 trees and 38 coordinates (one pair in 710,000 is missed, in small
 27 and 33 (one in 570,000, in small nodes one in 12 million). Thresholds of about 0.65 and less would need more
 trees than a sketch has coordinates; they get that many, and ``missed`` tells what these lose. Groups of classes connected by candidates, not pairs, go on: their full sets are built anew from
 whole texts, all links among them are counted exactly, and each class is returned with the smallest one it is
-connected with. Groups of many or long texts are confirmed in portions of about ``SHINGLES`` shingles. So neither copies nor groups of near copies are expanded into pairs. Components come from
+connected with. Texts are taken from the table once, compressed, for all classes that share a node; what is known of components
+is joined to classes, not to their places in trees. Groups of many or long texts are confirmed in portions of about ``SHINGLES`` shingles. So neither copies nor groups of near copies are expanded into pairs. Components come from
 alternating large-star and small-star steps.
 
 Edge cases: NULL or empty text has an empty set, links with nothing and is kept; a text shorter than a
@@ -50,7 +52,7 @@ TREES = 14  # at least
 MISS = 2e-6
 LEAF = 512
 DEPTH = 3
-PIVOTS = 8  # expected in a large node
+PIVOTS = 24  # expected in a large node
 SHINGLES = 2_000_000  # in one confirmation, but for longer single texts
 
 _rng = np.random.default_rng(6)
@@ -143,7 +145,8 @@ def _sketches(column: pa.Array) -> np.ndarray:
 
 
 def _branch(nodes: DataFrame, picks: int, salt: int) -> DataFrame:
-    """One level down: a row for each child a class goes to."""
+    """One level down: a row for each child a class goes to, with size and sketch if there is one child."""
+    carried = ["id", "size", "sketch"] if picks == 1 else ["id"]
 
     def run(batches):
         for b in batches:
@@ -151,17 +154,23 @@ def _branch(nodes: DataFrame, picks: int, salt: int) -> DataFrame:
                 path = b.column("path").to_numpy()
                 child = _paths(_sketches(b.column("sketch")), path, picks, salt)
                 row = pa.array(np.repeat(np.arange(b.num_rows), picks))
-                yield pa.RecordBatch.from_arrays([pa.array(child.ravel()), b.column("id").take(row)], ["path", "id"])
+                kept = [b.column(c).take(row) for c in carried]
+                yield pa.RecordBatch.from_arrays([pa.array(child.ravel()), *kept], ["path", *carried])
 
-    return nodes.select("path", "id", "sketch").mapInArrow(run, "path long, id long")
+    schema = "path long, id long, size long, sketch binary" if picks == 1 else "path long, id long"
+    return nodes.select("path", "id", "size", "sketch").mapInArrow(run, schema)
 
 
-def _agreeing(sk: np.ndarray, size: np.ndarray, a: np.ndarray, b: np.ndarray, threshold: int, least: int) -> np.ndarray:
-    """Which of the pairs (a, b) are candidates: sizes allow the threshold and sketches agree."""
-    out = 100 * np.minimum(size[a], size[b]) >= threshold * np.maximum(size[a], size[b])
-    at = np.flatnonzero(out)
-    out[at] = (sk[a[at]] == sk[b[at]]).sum(-1) >= least
-    return out
+def _agreeing(x: tuple, y: tuple, threshold: int, least: int) -> np.ndarray:
+    """Which pairs of x and y, both (sketches, sizes, parts), are candidates: a matrix.
+
+    Sizes allow the threshold, sketches agree, and parts differ.
+    """
+    same = np.zeros((len(x[1]), len(y[1])), np.uint8)
+    for k in range(SKETCH):
+        same += x[0][:, k, None] == np.ascontiguousarray(y[0][:, k])
+    small, large = np.minimum(x[1][:, None], y[1]), np.maximum(x[1][:, None], y[1])
+    return np.where((x[2][:, None] != y[2]) & (100 * small >= threshold * large) & (same >= least), same, 0)
 
 
 def _portions(size: np.ndarray) -> list[np.ndarray]:
@@ -186,11 +195,8 @@ def _candidates(nodes: DataFrame, threshold: int) -> DataFrame:
             own = part[lo:hi]
             if (own == own[0]).all():
                 continue
-            a, b = np.triu_indices(hi - lo, 1)
-            other = own[a] != own[b]
-            a, b = a[other], b[other]
-            ok = _agreeing(sketches[lo:hi], size[lo:hi], a, b, threshold, least)
-            a, b = a[ok], b[ok]
+            node = sketches[lo:hi], size[lo:hi], own
+            a, b = np.nonzero(np.triu(_agreeing(node, node, threshold, least), 1))
             if len(a):
                 label = grouped.joined(hi - lo, a, b)
                 for root in np.unique(label[a]):
@@ -208,57 +214,61 @@ def _candidates(nodes: DataFrame, threshold: int) -> DataFrame:
     return grouped.by_group(nodes.select("path", "id", "size", "sketch", "part"), "path", work, "group long, id long")
 
 
-def _stars(nodes: DataFrame, threshold: int, salt: int) -> DataFrame:
-    """(group, id): pivots of each node that are candidates of each other, and each class with its likeliest pivot.
+def _merged(nodes: DataFrame) -> DataFrame:
+    """Nodes (path, id, size, sketch) with the same least member, by hash, as one; with the number of their classes (n)."""
+    lead = nodes.groupBy("path").agg(F.min(F.xxhash64("id")).alias("lead"))
+    placed = nodes.join(lead, "path").groupBy("lead", "id").agg(F.first("size").alias("size"), F.first("sketch").alias("sketch"))
+    placed = stored(placed.withColumnRenamed("lead", "path"), "merged")
+    return placed.join(placed.groupBy("path").agg(F.count(F.lit(1)).alias("n")), "path")
+
+
+def _stars(nodes: DataFrame, threshold: int) -> DataFrame:
+    """(group, id): classes that are candidates of a pivot of their node, in portions of about half a leaf, each with all the pivots.
 
     Pivots are the classes whose hash is below a share of the node, so the nodes of a cluster choose alike. Members
-    meet them in blocks of about a leaf.
+    meet them in blocks of about a leaf, and each goes on in the node that has the pivot it resembles most.
     """
     _, least = plan(threshold)
     blocks = F.ceil(F.col("n") / LEAF).cast("int")
-    share = F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(1 << 32)) / float(1 << 32)
+    share = F.pmod(F.xxhash64("id", F.lit(1)), F.lit(1 << 32)) / float(1 << 32)
     pivots = nodes.filter(share < PIVOTS / F.col("n"))
     everywhere = pivots.withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1))).withColumn("pivot", F.lit(True))
     members = nodes.withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int")).withColumn("pivot", F.lit(False))
-    met = members.unionByName(everywhere).select(F.xxhash64("path", "block").alias("path"), "id", "size", "sketch", "part", "pivot")
+    met = members.unionByName(everywhere).withColumnRenamed("path", "node")
+    met = met.select(F.xxhash64("node", "block").alias("path"), "node", "id", "size", "sketch", "part", "pivot")
 
     def work(table, cuts):
-        size, ids, part = (table.column(c).to_numpy() for c in ("size", "id", "part"))
+        size, ids, part, node = (table.column(c).to_numpy() for c in ("size", "id", "part", "node"))
         leads = table.column("pivot").to_numpy()
         sketches = _sketches(table.column("sketch").combine_chunks())
         out = [], [], [], []
         for lo, hi in zip(cuts, [*cuts[1:], table.num_rows], strict=True):
             lead = lo + np.flatnonzero(leads[lo:hi])
             follow = lo + np.flatnonzero(~leads[lo:hi])
-            a, b = np.repeat(follow, len(lead)), np.tile(lead, len(follow))
-            other = part[a] != part[b]
-            a, b = a[other], b[other]
-            ok = _agreeing(sketches, size, a, b, threshold, least)
-            a, b = a[ok], b[ok]
-            for column, values in zip(out, (ids[a], ids[b], size[a], (sketches[a] == sketches[b]).sum(-1)), strict=True):
-                column.append(values)
+            if len(lead) and len(follow):
+                same = _agreeing(*((sketches[x], size[x], part[x]) for x in (follow, lead)), threshold, least).max(1)
+                follow, same = follow[same > 0], same[same > 0].astype(np.int64)
+                for column, values in zip(out, (ids[follow], node[follow], size[follow], same), strict=True):
+                    column.append(values)
         if sum(map(len, out[0])):
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], ["id", "lead", "size", "same"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], ["id", "node", "size", "same"])
 
-    near = grouped.by_group(met, "path", work, "id long, lead long, size long, same long")
-    best = F.max_by(F.col("lead"), F.struct("same", -F.col("lead"))).alias("lead")
+    near = grouped.by_group(met, "path", work, "id long, node long, size long, same long")
+    best = F.max_by("node", F.struct("same", "node")).alias("node")
     stars = stored(near.groupBy("id").agg(best, F.first("size").alias("size")), "stars")
-    split = stars.groupBy("lead").agg(F.greatest(F.ceil(2 * F.count(F.lit(1)) / LEAF), F.ceil(F.sum("size") / SHINGLES)).alias("splits"))
-    dealt = stars.join(split, "lead").select(F.xxhash64("lead", F.pmod(F.xxhash64("id"), "splits")).alias("group"), "id", "lead")
-    return (
-        dealt.select("group", "id")
-        .unionByName(dealt.select("group", F.col("lead").alias("id")))
-        .unionByName(_candidates(pivots, threshold))
-        .distinct()
-    )
+    splits = F.greatest(F.ceil(2 * F.count(F.lit(1)) / LEAF), F.ceil(F.sum("size") / SHINGLES)).cast("int").alias("splits")
+    split = stars.groupBy("node").agg(splits)
+    dealt = stars.join(split, "node").withColumn("block", F.pmod(F.xxhash64("id"), "splits").cast("int"))
+    shared = pivots.select(F.col("path").alias("node"), "id").join(split, "node").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("splits") - 1)))
+    return dealt.select("node", "block", "id").unionByName(shared.select("node", "block", "id")).select(F.xxhash64("node", "block").alias("group"), "id")
 
 
-def _parts(nodes: DataFrame, known: DataFrame | None) -> DataFrame:
-    """``nodes`` with the component each class is known to be in (``part``), its own id by default."""
+def _parts(classes: DataFrame, known: DataFrame | None) -> DataFrame:
+    """``classes``, one row each, with the component each is known to be in (``part``), its own id by default."""
     if known is None:
-        return nodes.withColumn("part", F.col("id"))
+        return classes.withColumn("part", F.col("id"))
     reach = known.withColumnRenamed("component", "part")
-    return nodes.join(reach, "id", "left").withColumn("part", F.coalesce("part", "id"))
+    return classes.join(reach, "id", "left").withColumn("part", F.coalesce("part", "id"))
 
 
 def _mixed(nodes: DataFrame) -> DataFrame:
@@ -306,10 +316,8 @@ def common(sets: list[np.ndarray]) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def _confirmed(groups: DataFrame, docs: DataFrame, threshold: int, width: int) -> DataFrame:
-    """Pairs (a, b): each class with the smallest id that it is connected with by links of full sets in a group."""
-    groups = stored(groups.distinct(), "groups")
-    ends = groups.select(F.col("id").alias("end")).distinct()
+def _texts(ends: DataFrame, docs: DataFrame) -> DataFrame:
+    """(id, z, crowded): different texts, compressed, of the ids in ``ends`` (id, crowded)."""
 
     def pack(batches):
         zip_ = zstandard.ZstdCompressor(level=1)
@@ -317,14 +325,16 @@ def _confirmed(groups: DataFrame, docs: DataFrame, threshold: int, width: int) -
             packed = [zip_.compress((x or "").encode()) for x in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(packed, pa.binary())], ["id", "z"])
 
-    texts = (
-        # Never by broadcast: the plan is then the same at every size.
-        docs.join(ends.hint("merge"), docs["doc_id"] == ends["end"], "left_semi")
-        .groupBy("doc_id", F.xxhash64("text"))
-        .agg(F.first("text").alias("text"))
-        .select("doc_id", "text")
-        .mapInArrow(pack, "id long, z binary")
-    )
+    ends = ends.groupBy("id").agg(F.max("crowded").alias("crowded"))
+    packed = docs.filter("doc_id IS NOT NULL").select("doc_id", "text").mapInArrow(pack, "id long, z binary")
+    # Never by broadcast: the plan is then the same at every size.
+    return stored(packed.join(ends.hint("merge"), "id").distinct(), "texts")
+
+
+def _confirmed(groups: DataFrame, texts: DataFrame, threshold: int, width: int) -> DataFrame:
+    """Pairs (a, b): each class with the smallest id that it is connected with by links of full sets in a group."""
+    groups = groups.distinct()
+    texts = texts.select("id", "z")
 
     def work(table, cuts):
         unzip = zstandard.ZstdDecompressor()
@@ -333,8 +343,15 @@ def _confirmed(groups: DataFrame, docs: DataFrame, threshold: int, width: int) -
         for lo, hi in zip(cuts, [*cuts[1:], table.num_rows], strict=True):
             if hi - lo < 2:
                 continue
-            # One text at a time: sets are kept, texts are not.
-            sets = [shingles(pa.array([unzip.decompress(z[i].as_py()).decode()], pa.large_string()), width)[0] for i in range(lo, hi)]
+            # A slice of texts at a time: sets are kept, texts are not.
+            sets, texts, held = [], [], 0
+            for i in range(lo, hi):
+                texts.append(unzip.decompress(z[i].as_py()).decode())
+                held += len(texts[-1])
+                if held >= words.SLICE_BYTES or i == hi - 1:
+                    value, first = shingles(pa.array(texts, pa.large_string()), width)
+                    sets += np.split(value, first[1:-1])
+                    texts, held = [], 0
             size = np.array([len(x) for x in sets])
             both = common(sets)
             a, b = np.nonzero(np.triu((both > 0) & (100 * both >= threshold * (size[:, None] + size - both)), 1))
@@ -360,26 +377,33 @@ def links(
 ) -> DataFrame:
     """Pairs (a, b) of ids of classes with different sets that confirmed links connect."""
     trees = trees or plan(threshold, depth)[0]
-    nodes, found, sure, known = _branch(classes.withColumn("path", F.lit(0).cast("long")), trees, 1), [], [], None
+    nodes, small = _branch(classes.withColumn("path", F.lit(0).cast("long")), trees, 1), []
     for level in range(1, depth + 1):
         nodes = stored(nodes, "nodes")
         sizes = stored(nodes.groupBy("path").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "sizes")
-        # Most classes are alone in their nodes; only the others get their sketches.
-        members = stored(nodes.join(sizes, "path").join(classes.select("id", "size", "sketch"), "id"), "members")
-        crowded = _mixed(_parts(members.filter(F.col("n") > leaf), known))
-        if not crowded.isEmpty():
-            sure.append(_confirmed(_stars(crowded, threshold, level), docs, threshold, width))
-            known = grouped.components(reduce(DataFrame.unionByName, sure))
-        found.append(members.filter(F.col("n") <= leaf).select("path", "id", "size", "sketch"))
-        large = stored(_mixed(_parts(members.filter(F.col("n") > leaf), known)), "large")
-        if large.isEmpty():
+        members = nodes.join(sizes, "path")
+        if level == 1:
+            members = stored(members, "members")  # most classes are alone in their nodes
+        small.append(members.filter(F.col("n") <= leaf).select("path", "id"))
+        large = members.filter(F.col("n") > leaf)
+        large = stored(large if level > 1 else large.join(classes.select("id", "size", "sketch"), "id"), "large")
+        if level == depth or large.isEmpty():
             break
-        if level < depth:
-            nodes = _branch(large, 1, level + 1)
-    compared = _parts(reduce(DataFrame.unionByName, found), known)
-    if level == depth:
-        compared = compared.unionByName(_blocks(large).select(*compared.columns))
-    sure.append(_confirmed(_candidates(compared, threshold), docs, threshold, width))
+        nodes = _branch(large, 1, level + 1)
+    found = stored(reduce(DataFrame.unionByName, small), "small")
+    crowd = stored(large.select("id").distinct(), "crowd")
+    texts = _texts(found.select("id", F.lit(False).alias("crowded")).unionByName(crowd.withColumn("crowded", F.lit(True))), docs)
+
+    sure, known, mixed = [], None, large
+    if not large.isEmpty():
+        mixed = stored(_merged(large).withColumn("part", F.col("id")), "crowded")
+        sure.append(_confirmed(_stars(mixed, threshold), texts.filter("crowded"), threshold, width))
+        known = grouped.components(sure[0])
+        mixed = stored(_mixed(mixed.drop("part").join(_parts(crowd, known), "id")), "mixed")
+    compared = found.join(_parts(classes.select("id", "size", "sketch"), known), "id").select("path", "id", "size", "sketch", "part")
+    if not mixed.isEmpty():
+        compared = compared.unionByName(_blocks(mixed))
+    sure.append(_confirmed(_candidates(compared, threshold), texts, threshold, width))
     return reduce(DataFrame.unionByName, sure)
 
 
