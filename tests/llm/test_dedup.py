@@ -185,6 +185,27 @@ def test_near_texts_are_read_once_and_parts_joined_to_classes(spark, monkeypatch
     assert read.value == len(rows) and joined and max(joined) <= len(rows), (read.value, joined)
 
 
+def test_near_only_merged_nodes_are_looked_at_for_several_components(spark, monkeypatch):
+    """At the pipeline's threshold: fewer rows than half the classes' places in one level of all trees."""
+    monkeypatch.setattr(near_dedup, "LEAF", 8)
+    seen, mixed = [], near_dedup._mixed
+
+    def count_rows(nodes):
+        seen.append(nodes.count())
+        return mixed(nodes)
+
+    monkeypatch.setattr(near_dedup, "_mixed", count_rows)
+    base = [f"b{i}" for i in range(100)]
+    rows = [(i, " ".join([*base[:i], f"own{i}", *base[i + 1 :]])) for i in range(40)]
+    rows += [(100 + i, " ".join([*base[:75], *(f"far{i}x{k}" for k in range(25))])) for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    features = near_dedup.words.by_slice(df, lambda p: near_dedup._features(p, 5), "doc_id long, n_shingles long, one long, two long, sketch binary")
+    links = near_dedup.links(near_dedup.classes_of(features), df, 80, 5, leaf=8)
+    reach = {r.id: r.component for r in grouped.components(links).collect()}
+    assert {(i, reach.get(i, i)) for i, _ in rows} == {(k[0], k[2]) for k in near_brute(rows, 80)}
+    assert seen and 2 * sum(seen) < near_dedup.plan(80)[0] * len(rows), seen
+
+
 def test_near_clusters_that_one_text_connects(spark, monkeypatch):
     """Two clusters too unlike to be linked but for a text between them; long groups go on in portions."""
     monkeypatch.setattr(near_dedup, "LEAF", 8)
